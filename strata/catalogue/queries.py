@@ -57,7 +57,7 @@ def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.zone_lookup(spark, sf_dir).select(*lookups.select_list(trips.ZONE_LOOKUP_COLUMNS))
+    return B.zone_lookup(spark, sf_dir).selectExpr(*lookups.select_list(trips.ZONE_LOOKUP_COLUMNS))
 
 
 def order_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Dimension]]:
@@ -673,7 +673,7 @@ def ingest_bronze(spark, sf_dir):
     """Bronze after an ingest and a second run that finds nothing to do."""
     landed, table, ledger = _ingested(spark, sf_dir)
     bronze.ingest(spark, landed, table, ledger, "batch-2")
-    return tables.read(spark, table).select(
+    return tables.read(spark, table, merge_schema=True).select(
         "o_orderkey", "o_totalprice", "year", "month", "_ingestion_batch_id"
     )
 
@@ -712,7 +712,7 @@ def ledger_backfill(spark, sf_dir):
     """The ledger rebuilt from bronze lineage holds as many rows as bronze, for the same files."""
     landed, table, ledger = _ingested(spark, sf_dir)
     rebuilt = landing.ledger_from_bronze(
-        tables.read(spark, table), landing.manifest(spark, landed)
+        tables.read(spark, table, merge_schema=True), landing.manifest(spark, landed)
     )
     columns = ["source_file", "file_size_bytes", "ingestion_batch_id", "row_count"]
     same = checks.same_rows(
@@ -721,7 +721,7 @@ def ledger_backfill(spark, sf_dir):
         rebuilt.select(*columns),
     )
     counts = checks.row_counts(
-        {"bronze": tables.read(spark, table), "ledger": (rebuilt, "row_count")}
+        {"bronze": tables.read(spark, table, merge_schema=True), "ledger": (rebuilt, "row_count")}
     )
     return same.unionByName(
         checks.report(counts, [checks.same_count("bronze = ledger", "ledger", "bronze")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_, or_
 
@@ -35,11 +35,6 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return _combine(conditions, or_, False)
 
 
-def passes(columns: Sequence[str], test: str) -> Column:
-    """``test`` holds, or one of its columns is NULL. Never NULL itself."""
-    return any_of(F.col(c).isNull() for c in columns) | F.expr(test)
-
-
 def seconds_between(start: str, end: str) -> Column:
     """Whole seconds from ``start`` to ``end`` (bigint)."""
     return F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))

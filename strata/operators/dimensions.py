@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from strata.functions import expressions as X
 from strata.operators.keys import dense_key
+from strata.sources import tables
 from strata.specs import Calendar, Lookup
 
 
@@ -31,25 +32,25 @@ def dimension(
     keyed = dense_key(members, natural_key, surrogate_key, known_rows)
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in keyed.schema])
     row = default_member(nullable, surrogate_key, natural_key, description, text)
-    return members.sparkSession.createDataFrame([row], nullable).unionByName(keyed)
+    return tables.inline_rows(members.sparkSession, [row], nullable).unionByName(keyed)
 
 
 def lookup_dimension(spark: SparkSession, lookup: Lookup, text: str) -> DataFrame:
-    """A dimension from static lookup rows."""
+    """A dimension from a short static lookup; its rows are at hand, so they are numbered here."""
     schema = T.StructType(
         [
+            T.StructField(lookup.surrogate_key, T.LongType()),
             T.StructField(lookup.natural_key, T.IntegerType()),
             T.StructField(lookup.description, T.StringType()),
         ]
     )
-    return dimension(
-        spark.createDataFrame(list(lookup.rows), schema),
-        lookup.natural_key,
-        lookup.surrogate_key,
-        lookup.description,
-        text,
-        known_rows=len(lookup.rows),
+    if len({key for key, _ in lookup.rows}) < len(lookup.rows):
+        raise ValueError(f"{lookup.name} has duplicate keys")
+    unknown = default_member(
+        schema, lookup.surrogate_key, lookup.natural_key, lookup.description, text
     )
+    members = [(place, *row) for place, row in enumerate(sorted(lookup.rows), start=1)]
+    return tables.inline_rows(spark, [unknown, *members], schema)
 
 
 def days(spark: SparkSession, calendar: Calendar) -> DataFrame:

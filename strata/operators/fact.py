@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import expressions as X
-from strata.operators.joins import BROADCAST_ROWS, lookup_join
+from strata.operators.joins import lookup_join
 from strata.specs import Calendar, Role
 from strata.trips import END, FACT_COLUMNS, FACT_INPUT, FACT_ROLES, START
 
@@ -23,11 +23,6 @@ class Dimension:
     surrogate_key: str
     known_rows: int | None = None
 
-    def sized(self) -> Dimension:
-        """The same with its size measured, up to the broadcast bound, once for all its uses."""
-        rows = self.rows.select(self.surrogate_key).limit(BROADCAST_ROWS + 1).count()
-        return replace(self, known_rows=rows)
-
 
 def within(df: DataFrame, ts: str, calendar: Calendar) -> DataFrame:
     """The rows whose timestamp falls on a day of the calendar.
@@ -61,22 +56,18 @@ def resolve_keys(
     df: DataFrame, dimensions: Mapping[str, Dimension], roles: Sequence[Role]
 ) -> DataFrame:
     """Add one surrogate key per role; a NULL or unknown reference becomes 0."""
+    references = {role.name: f"_ref_{role.name}" for role in roles}
+    df = df.withColumns(
+        {references[r.name]: F.coalesce(F.col(r.source), F.lit(0)) for r in roles}
+    )
     for role in roles:
-        dim = dimensions[role.dimension]
-        reference = f"_ref_{role.name}"
+        dim, reference = dimensions[role.dimension], references[role.name]
         keys = dim.rows.select(
             F.col(dim.natural_key).alias(reference), F.col(dim.surrogate_key).alias(role.name)
         )
-        df = lookup_join(
-            df.withColumn(reference, F.coalesce(F.col(role.source), F.lit(0))),
-            keys,
-            reference,
-            known_rows=dim.known_rows,
-        )
-        df = df.drop(reference).withColumn(
-            role.name, F.coalesce(F.col(role.name), F.lit(0)).cast("bigint")
-        )
-    return df
+        df = lookup_join(df, keys, reference, known_rows=dim.known_rows)
+    found = {r.name: F.coalesce(F.col(r.name), F.lit(0)).cast("bigint") for r in roles}
+    return df.withColumns(found).drop(*references.values())
 
 
 def build_fact(

@@ -26,7 +26,7 @@ def normalize(
 
     ``load_time`` defaults to the time of the query; pass a literal for a repeatable result.
     """
-    return raw.select(*select_list(columns)).withColumns(
+    return raw.selectExpr(*select_list(columns)).withColumns(
         {
             duration: X.minutes_between(start, end),
             loaded_at: F.current_timestamp() if load_time is None else load_time,

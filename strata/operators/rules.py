@@ -7,28 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import expressions as X
 from strata.specs import Rule
 
 FAILURES = "validation_failures"
 
 
-def passed(rule: Rule) -> Column:
-    return X.passes(rule.columns, rule.test)
+def valid(rules: Sequence[Rule]) -> Column:
+    """The row passes every rule."""
+    return F.expr(" AND ".join(f"({rule.passes})" for rule in rules) or "true")
 
 
 def failure_codes(rules: Sequence[Rule]) -> Column:
     """The codes of the failed rules, in rule order; an empty array for a clean row."""
-    codes = [F.when(~passed(rule), F.lit(rule.code)) for rule in rules]
-    return F.array_compact(F.array(*codes))
+    codes = [f"CASE WHEN NOT ({rule.passes}) THEN '{rule.code}' END" for rule in rules]
+    return F.expr(f"array_compact(array({', '.join(codes)}))")
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add one flag per rule, the failure codes, and ``is_valid``."""
-    flags = {rule.flag: passed(rule) for rule in rules}
-    return df.withColumns(flags).withColumns(
-        {FAILURES: failure_codes(rules), "is_valid": X.all_of(F.col(flag) for flag in flags)}
-    )
+    flags = {rule.flag: F.expr(rule.passes) for rule in rules}
+    return df.withColumns({**flags, FAILURES: failure_codes(rules), "is_valid": valid(rules)})
 
 
 def clean(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -37,13 +35,12 @@ def clean(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     The condition is a plain conjunction over the columns, so it reaches the Parquet scan and no
     failure array is built for the (usual) good row.
     """
-    return df.where(X.all_of(passed(rule) for rule in rules))
+    return df.where(valid(rules))
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The rows that fail a rule, with their failure codes."""
-    rejected = df.where(~X.all_of(passed(rule) for rule in rules))
-    return rejected.withColumn(FAILURES, failure_codes(rules))
+    return df.where(~valid(rules)).withColumn(FAILURES, failure_codes(rules))
 
 
 def rule_counts(rejected: DataFrame) -> DataFrame:

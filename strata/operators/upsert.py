@@ -88,8 +88,10 @@ def _staging(target: str) -> str:
 def _finish(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
     """Move the staged partitions that changed into the target, file by file, without a shuffle."""
     staging = _staging(target)
-    staged = tables.read(spark, f"{staging}/rows")
-    changed = partitions_of(staged.where(F.col(ACTION).isin(*CHANGED)), partition_by)
+    changed = []
+    if tables.exists(spark, f"{staging}/rows"):
+        staged = tables.read(spark, f"{staging}/rows")
+        changed = partitions_of(staged.where(F.col(ACTION).isin(*CHANGED)), partition_by)
     if changed:
         rows = in_partitions(staged, partition_by, changed).drop(ACTION)
         tables.overwrite_partitions(rows, target, partition_by, spread=False)
@@ -125,13 +127,13 @@ def upsert(
     if not tables.exists(spark, target):
         written = tables.overwrite(source, target, partition_by)
         return action_counts(written.withColumn(ACTION, F.lit("inserted")))
-    touched = in_partitions(
-        tables.read(spark, target), partition_by, partitions_of(source, partition_by)
-    )
+    current = tables.read(spark, target, source.schema)
+    touched = in_partitions(current, partition_by, partitions_of(source, partition_by))
     merged = merge(touched, source, keys, hash_column, version_column, null_safe)
     staged = tables.overwrite(merged, f"{staging}/rows", partition_by)
-    counts = action_counts(staged).collect()
-    summary = spark.createDataFrame(counts, "action string, row_count bigint")
+    staged_counts = action_counts(staged)
+    counts = staged_counts.collect()
+    summary = tables.inline_rows(spark, counts, staged_counts.schema)
     tables.overwrite(summary, f"{staging}/done")
     _finish(spark, target, partition_by)
     return summary

@@ -11,26 +11,30 @@ from strata.operators import checks
 from strata.sources import landing, tables
 
 
+def _read(spark: SparkSession, ledger: str) -> DataFrame:
+    return tables.read(spark, ledger, landing.LEDGER_SCHEMA)
+
+
 def backfill_ledger(spark: SparkSession, bronze: str, ledger: str, files: DataFrame) -> int:
     """Rebuild an empty ledger from the lineage columns of a loaded bronze table."""
-    if not tables.exists(spark, bronze) or not tables.read(spark, ledger).isEmpty():
+    if not tables.exists(spark, bronze) or not _read(spark, ledger).isEmpty():
         return 0
-    rebuilt = landing.ledger_from_bronze(tables.read(spark, bronze), files)
+    rebuilt = landing.ledger_from_bronze(landing.lineage(spark, bronze), files)
     # One row per file; kept on the driver only as a count, the rows go to the ledger.
     lost = rebuilt.where(F.col("file_size_bytes").isNull()).limit(5).collect()
     if lost:
         names = ", ".join(row.source_file for row in lost)
         raise FileNotFoundError(f"bronze holds rows of files that are not landed any more: {names}")
     tables.append(rebuilt, ledger)
-    return tables.read(spark, ledger).count()
+    return _read(spark, ledger).count()
 
 
 def reconcile(spark: SparkSession, bronze: str, ledger: str) -> DataFrame:
     """The rows in bronze are the rows in the ledger."""
     counts = checks.row_counts(
         {
-            "bronze": tables.read(spark, bronze),
-            "ledger": (tables.read(spark, ledger), "row_count"),
+            "bronze": landing.lineage(spark, bronze),
+            "ledger": (_read(spark, ledger), "row_count"),
         }
     )
     return checks.report(counts, [checks.same_count("bronze = ledger", "ledger", "bronze")])
@@ -53,23 +57,21 @@ def ingest(
     tables.ensure(spark, ledger, landing.LEDGER_SCHEMA)
     files = landing.manifest(spark, landing_path, pattern)
     backfill_ledger(spark, bronze, ledger, files)
-    todo = landing.pending(files, tables.read(spark, ledger))
+    todo = landing.pending(files, _read(spark, ledger))
     keys = landing.load_files(spark, todo, bronze, batch_id, pattern)
     if keys:
         # The ledger is read below and appended to, so the batch is pinned to its file keys.
         batch = files.where(F.col("_file_key").isin(keys))
         counts = landing.loaded_counts(spark, bronze, keys)
         tables.append(landing.ledger_rows(batch, counts, batch_id), ledger)
-    book = tables.read(spark, ledger)
+    book = _read(spark, ledger)
     loaded = book.where(F.col("ingestion_batch_id") == batch_id)
-    if not tables.exists(spark, bronze):
-        raise FileNotFoundError(f"no landed file to load below {landing_path}")
     counts = checks.row_counts(
         {
             "files_landed": files,
             "files_loaded": loaded,
             "rows_loaded": (loaded, "row_count"),
-            "rows_bronze": tables.read(spark, bronze),
+            "rows_bronze": landing.lineage(spark, bronze),
             "rows_ledger": (book, "row_count"),
         }
     )
@@ -85,8 +87,8 @@ def validate(
     not_null: tuple[str, ...],
 ) -> DataFrame:
     """Bronze checks: not empty, equal to the ledger, columns and types, no NULL time."""
-    rows = tables.read(spark, bronze)
-    counts = checks.row_counts({"bronze": rows, "ledger": (tables.read(spark, ledger), "row_count")})
+    rows = tables.read(spark, bronze, merge_schema=True)
+    counts = checks.row_counts({"bronze": rows, "ledger": (_read(spark, ledger), "row_count")})
     totals = checks.report(
         counts,
         [

@@ -12,6 +12,7 @@ from strata import trips
 from strata.operators import checks, marts
 from strata.operators.dimensions import date_dimension, days, dimension, lookup_dimension
 from strata.operators.fact import Dimension, build_fact, within
+from strata.operators.joins import BROADCAST_ROWS
 from strata.sources import tables
 from strata.specs import Calendar
 
@@ -29,18 +30,20 @@ class GoldTables:
         return f"{self.base}/{name}" if tables.is_path(self.base) else f"{self.base}.{name}"
 
 
-def zone_dimension(zones: DataFrame) -> DataFrame:
-    return dimension(zones, "location_id", "zone_sk", "zone_name", trips.NOT_PROVIDED)
+def zone_dimension(zones: DataFrame, known_rows: int | None = None) -> DataFrame:
+    return dimension(zones, "location_id", "zone_sk", "zone_name", trips.NOT_PROVIDED, known_rows)
 
 
 def trip_dimensions(
     spark: SparkSession, zones: DataFrame, calendar: Calendar
 ) -> dict[str, Dimension]:
     """All five dimensions as frames; ``zones`` is the zone lookup."""
-    zone_rows = Dimension(zone_dimension(zones), "location_id", "zone_sk").sized()
+    # Counted once, up to the broadcast bound, for the numbering and for every join.
+    n_zones = zones.limit(BROADCAST_ROWS + 1).count()
+    zone_rows = zone_dimension(zones, n_zones)
     date_rows = date_dimension(days(spark, calendar))
     built = {
-        "dim_zones": zone_rows,
+        "dim_zones": Dimension(zone_rows, "location_id", "zone_sk", n_zones + 1),
         "dim_date": Dimension(date_rows, "full_date", "date_sk", calendar.days),
     }
     for lookup in LOOKUPS:

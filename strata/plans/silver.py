@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,28 +62,25 @@ def clean_batch(normalized: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     return with_row_hash(dedup.latest_per_key(valid, trips.TRIP_KEY, trips.LOADED_AT))
 
 
+@dataclass(frozen=True)
+class RunCounts:
+    rows_in: int
+    rows_clean: int
+    rows_quarantined: int
+    rows_deduped: int
+
+
 def metrics_row(
     run_id: str,
     started_at: dt.datetime,
     finished_at: dt.datetime,
     bronze_table: str,
-    counts: DataFrame,
+    counts: RunCounts,
     rejected: DataFrame,
 ) -> DataFrame:
-    """One run as a row: ``counts`` holds rows_in, rows_clean, rows_quarantined, rows_deduped."""
+    """One run as a row; the failures per rule are counted over the rejected rows alone."""
     failures = rules.rule_map(rules.rule_counts(rejected)).first()["rules_failed"]
-    n = counts.first()
-    row = (
-        run_id,
-        started_at,
-        finished_at,
-        n["rows_in"],
-        n["rows_clean"],
-        n["rows_quarantined"],
-        n["rows_deduped"],
-        failures,
-        bronze_table,
-    )
+    row = (run_id, started_at, finished_at, *astuple(counts), failures, bronze_table)
     return rejected.sparkSession.createDataFrame([row], METRICS_SCHEMA)
 
 
@@ -112,7 +109,7 @@ def run(
     batch = tables.overwrite(
         clean_batch(rows, checks), scratch_path(spark, "clean-batch"), PARTITIONS
     )
-    actions = upsert.upsert(
+    upsert.upsert(
         batch,
         target.clean,
         trips.TRIP_KEY,
@@ -121,19 +118,14 @@ def run(
         trips.LOADED_AT,
         null_safe,
     )
-    actions.count()
-    rows_in, quarantined, unique = bronze.count(), rejected.count(), batch.count()
-    counts = spark.createDataFrame(
-        [
-            (
-                rows_in,
-                tables.read(spark, target.clean).count(),
-                quarantined,
-                rows_in - quarantined - unique,
-            )
-        ],
-        "rows_in bigint, rows_clean bigint, rows_quarantined bigint, rows_deduped bigint",
+    rows_in, quarantined = bronze.count(), rejected.count()
+    counts = RunCounts(
+        rows_in=rows_in,
+        rows_clean=tables.read(spark, target.clean, batch.schema).count(),
+        rows_quarantined=quarantined,
+        rows_deduped=rows_in - quarantined - batch.count(),
     )
-    row = metrics_row(run_id, started_at, dt.datetime.now(dt.timezone.utc), bronze_table, counts, rejected)
+    finished_at = dt.datetime.now(dt.timezone.utc)
+    row = metrics_row(run_id, started_at, finished_at, bronze_table, counts, rejected)
     tables.append(row, target.metrics)
     return row

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources import tables
@@ -16,12 +15,13 @@ from strata.specs import Column
 def read_csv(spark: SparkSession, path: str, columns: Sequence[Column]) -> DataFrame:
     """A CSV file with a header, all strings, then renamed and cast; a bad value becomes NULL."""
     raw = spark.read.option("header", "true").csv(path)
-    return raw.select(*select_list(columns))
+    return raw.selectExpr(*select_list(columns))
 
 
-def select_list(columns: Sequence[Column]) -> list:
+def select_list(columns: Sequence[Column]) -> list[str]:
+    """The columns as SQL select expressions."""
     return [
-        (F.col(c.source).try_cast(c.cast) if c.cast else F.col(c.source)).alias(c.name)
+        (f"try_cast(`{c.source}` AS {c.cast})" if c.cast else f"`{c.source}`") + f" AS `{c.name}`"
         for c in columns
     ]
 
@@ -35,7 +35,7 @@ def first_available(
     except AnalysisException:
         if not tables.exists(spark, table):
             return None, None
-    return tables.read(spark, table).select(*select_list(columns)), table
+    return tables.read(spark, table).selectExpr(*select_list(columns)), table
 
 
 def skipped(spark: SparkSession, check: str, path: str, table: str) -> DataFrame:
@@ -43,4 +43,4 @@ def skipped(spark: SparkSession, check: str, path: str, table: str) -> DataFrame
     schema = T.StructType(
         [T.StructField("check", T.StringType()), T.StructField("message", T.StringType())]
     )
-    return spark.createDataFrame([(check, f"no lookup at {path} or {table}")], schema)
+    return tables.inline_rows(spark, [(check, f"no lookup at {path} or {table}")], schema)

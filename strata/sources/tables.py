@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def is_path(target: str) -> bool:
@@ -34,20 +39,46 @@ def exists(spark: SparkSession, target: str) -> bool:
     return path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
 
 
-def read(spark: SparkSession, target: str) -> DataFrame:
+def read(
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType | str | None = None,
+    merge_schema: bool = False,
+) -> DataFrame:
+    """The table. For a path table, a known ``schema`` saves the job that looks for it.
+
+    ``merge_schema`` is for files that may differ in columns. It reads the footer of every file
+    first (as a job), so it is for bronze only: all other tables are written with one schema.
+    """
     if not is_path(target):
         return spark.table(target)
-    return spark.read.option("mergeSchema", "true").parquet(target)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(target)
+    return spark.read.option("mergeSchema", merge_schema).parquet(target)
+
+
+def read_or_empty(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    if exists(spark, target):
+        return read(spark, target, schema)
+    return inline_rows(spark, [], schema)
+
+
+def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows held in the plan itself, so that Spark knows their size and needs no scan."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    data = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(data, schema=arrow), schema)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def ensure(spark: SparkSession, target: str, schema: StructType) -> None:
+def ensure(spark: SparkSession, target: str, schema: T.StructType) -> None:
     """Create the (unpartitioned) table empty if it is not there."""
     if not exists(spark, target):
-        overwrite(spark.createDataFrame([], schema), target)
+        overwrite(inline_rows(spark, [], schema), target)
 
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
@@ -78,17 +109,16 @@ def overwrite(
     """Replace the whole table, schema included; returns it as written."""
     rows = rebalanced(df, partition_by) if spread else df
     _save(_writer(rows, "overwrite", partition_by), target)
-    return read(df.sparkSession, target)
+    return read(df.sparkSession, target, df.schema)
 
 
-def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
     _save(_writer(df, "append", partition_by), target)
-    return read(df.sparkSession, target)
 
 
 def overwrite_partitions(
     df: DataFrame, target: str, partition_by: Sequence[str], spread: bool = True
-) -> DataFrame:
+) -> None:
     """Replace only the table partitions that ``df`` has rows for; creates a missing table."""
     spark = df.sparkSession
     rows = rebalanced(df, partition_by) if spread else df
@@ -98,7 +128,11 @@ def overwrite_partitions(
     elif not exists(spark, target):
         _save(_writer(rows, "error", partition_by), target)
     else:
-        rows = rows.select(*spark.table(target).columns)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(target)
-    return read(spark, target)
+        # insertInto takes the mode from the session only; as a write option it has no effect.
+        mode = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            rows = rows.select(*spark.table(target).columns)
+            rows.write.mode("overwrite").insertInto(target)
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, mode)

@@ -34,6 +34,11 @@ class Rule:
     def code(self) -> str:
         return f"invalid_{self.name}"
 
+    @property
+    def passes(self) -> str:
+        """SQL text of "this row passes"; never NULL."""
+        return " OR ".join([*(f"{c} IS NULL" for c in self.columns), f"({self.test})"])
+
 
 @dataclass(frozen=True)
 class Lookup:
