@@ -185,11 +185,13 @@ def _line_load(spark: SparkSession, sf_dir: str, shipped) -> DataFrame:
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *UPSERT_KEY, "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"
     )
-    hashed = rows.withColumn(
-        "_row_hash", X.content_hash(["l_partkey", "l_returnflag", "l_shipdate"])
+    return dedup.latest_per_key(rows, UPSERT_KEY, "l_shipdate").withColumns(
+        {
+            "_row_hash": X.content_hash(["l_partkey", "l_returnflag", "l_shipdate"]),
+            "year": F.year("o_orderdate"),
+            "month": F.month("o_orderdate"),
+        }
     )
-    latest = dedup.latest_per_key(hashed, UPSERT_KEY, "l_shipdate")
-    return latest.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
 
 
 def _first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +204,7 @@ def _second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert(batch: DataFrame, target: str) -> DataFrame:
     spark = batch.sparkSession
-    staged = tables.overwrite(batch, scratch_path(spark, "batch"), silver.PARTITIONS)
+    staged = tables.overwrite(batch, scratch_path(spark, "batch"))
     return upsert.upsert(
         staged, target, UPSERT_KEY, silver.PARTITIONS, "_row_hash", "l_shipdate"
     )

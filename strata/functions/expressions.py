@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,23 +17,21 @@ HASH_SEPARATOR = "||"
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
-def _combine(conditions: Iterable[Column], join, empty: bool) -> Column:
-    """Fold in halves, so that thousands of conditions still make a shallow expression."""
-    terms = list(conditions)
-    if not terms:
-        return F.lit(empty)
-    while len(terms) > 1:
-        pairs = [terms[i : i + 2] for i in range(0, len(terms), 2)]
-        terms = [reduce(join, pair) for pair in pairs]
-    return terms[0]
-
-
 def all_of(conditions: Iterable[Column]) -> Column:
-    return _combine(conditions, and_, True)
-
-
-def any_of(conditions: Iterable[Column]) -> Column:
-    return _combine(conditions, or_, False)
+    return reduce(and_, conditions)
+
+
+def sql_literal(value) -> str:
+    """A partition value as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value}'"
+    return str(value)
 
 
 def seconds_between(start: str, end: str) -> Column:

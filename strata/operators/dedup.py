@@ -27,7 +27,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFra
         for field in df.schema
         if field.name not in settled and not isinstance(field.dataType, _UNORDERED)
     ]
+    # The hash of the key leads the sort, so nearly every comparison ends at its 8-byte prefix,
+    # even where the first key column has few values. The key columns still decide.
     rank = F.row_number().over(
-        Window.partitionBy(*keys).orderBy(F.col(order_by).desc_nulls_last(), *ties)
+        Window.partitionBy("_key_hash", *keys).orderBy(F.col(order_by).desc_nulls_last(), *ties)
+    )
+    return (
+        df.withColumn("_key_hash", F.xxhash64(*keys))
+        .withColumn("_rank", rank)
+        .where("_rank = 1")
+        .drop("_rank", "_key_hash")
     )
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

@@ -68,12 +68,11 @@ def action_counts(merged: DataFrame) -> DataFrame:
 
 def in_partitions(df: DataFrame, partition_by: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
     """Only the given table partitions, as literals so that the scan lists nothing else."""
-    return df.where(
-        X.any_of(
-            X.all_of(F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, row))
-            for row in values
-        )
-    )
+    wanted = [
+        " AND ".join(f"`{c}` <=> {X.sql_literal(v)}" for c, v in zip(partition_by, row))
+        for row in values
+    ]
+    return df.where(" OR ".join(f"({one})" for one in wanted) or "false")
 
 
 def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
@@ -100,6 +99,12 @@ def _finish(spark: SparkSession, target: str, partition_by: Sequence[str]) -> No
     tables.drop_path(spark, staging)
 
 
+def recover(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
+    """Complete the swap of a run that died after its merge; nothing to do otherwise."""
+    if tables.path_exists(spark, f"{_staging(target)}/done"):
+        _finish(spark, target, partition_by)
+
+
 def upsert(
     source: DataFrame,
     target: str,
@@ -122,8 +127,7 @@ def upsert(
     if not tables.is_path(target):
         raise ValueError("upsert needs a path table; register a catalog table on its location")
     staging = _staging(target)
-    if tables.path_exists(spark, f"{staging}/done"):
-        _finish(spark, target, partition_by)
+    recover(spark, target, partition_by)
     if not tables.exists(spark, target):
         written = tables.overwrite(source, target, partition_by)
         return action_counts(written.withColumn(ACTION, F.lit("inserted")))

@@ -106,18 +106,22 @@ def run(
     load_time = F.lit(started_at) if load_time is None else load_time
     rows = normalized_trips(bronze, load_time)
     rejected = tables.overwrite(rules.quarantine(rows, checks), target.quarantine, PARTITIONS)
-    batch = tables.overwrite(
-        clean_batch(rows, checks), scratch_path(spark, "clean-batch"), PARTITIONS
-    )
-    upsert.upsert(
-        batch,
-        target.clean,
-        trips.TRIP_KEY,
-        PARTITIONS,
-        trips.ROW_HASH,
-        trips.LOADED_AT,
-        null_safe,
-    )
+    unique = clean_batch(rows, checks)
+    upsert.recover(spark, target.clean, PARTITIONS)
+    if tables.exists(spark, target.clean):
+        # Written once, without a layout: the merge reads it twice and shuffles it anyway.
+        batch = tables.overwrite(unique, scratch_path(spark, "clean-batch"))
+        upsert.upsert(
+            batch,
+            target.clean,
+            trips.TRIP_KEY,
+            PARTITIONS,
+            trips.ROW_HASH,
+            trips.LOADED_AT,
+            null_safe,
+        )
+    else:
+        batch = tables.overwrite(unique, target.clean, PARTITIONS)
     rows_in, quarantined = bronze.count(), rejected.count()
     counts = RunCounts(
         rows_in=rows_in,
