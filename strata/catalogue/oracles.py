@@ -344,7 +344,7 @@ SELECT count(*) AS trips,
        count(*) FILTER (rate_code_sk = 0) AS unknown_rate_code_sk,
        count(*) FILTER (vendor_sk = 0) AS unknown_vendor_sk
 FROM fact"""
-ORACLES["fact_roundtrip"] = f"""{_ORDER_STAR}
+ORACLES["fact_roundtrip"] = f"""{_EVENT_STAR}
 SELECT pickup_date_sk, count(*) AS trips, {_fixed('fare_amount')} AS fares
 FROM fact GROUP BY pickup_date_sk"""
 ORACLES["labelled_sample"] = f"""{_EVENT_STAR}

@@ -30,7 +30,9 @@ def file_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing_path)
     )
-    return landing.with_file_columns(rows, pattern)
+    return landing.with_file_columns(rows, pattern).withColumn(
+        "_file_size", F.col("_metadata.file_size")
+    )
 
 
 def load_available(
@@ -47,15 +49,18 @@ def load_available(
 
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"stream-{number}"
-        rows = landing.with_lineage(batch, batch_id)
+        rows = landing.with_lineage(batch.drop("_file_size"), batch_id)
         tables.overwrite_partitions(rows, bronze, landing.BRONZE_PARTITIONS, spread=False)
-        files = landing.pending(
-            landing.manifest(spark, landing_path, pattern), tables.read(spark, ledger)
+        # The batch itself names its files, so the landing folder is not listed again.
+        files = batch.groupBy(F.col("_source_file").alias("source_file"), "_file_key").agg(
+            F.max("_file_size").alias("file_size_bytes")
         )
-        keys = [row["_file_key"] for row in batch.select("_file_key").distinct().collect()]
-        counts = landing.loaded_counts(spark, bronze, keys)
-        done = files.where(F.col("_file_key").isin(keys))
-        tables.append(landing.ledger_rows(done, counts, batch_id), ledger)
+        new = landing.pending(files, tables.read(spark, ledger, landing.LEDGER_SCHEMA))
+        keys = [row["_file_key"] for row in new.select("_file_key").collect()]
+        if keys:
+            done = files.where(F.col("_file_key").isin(keys))
+            counts = landing.loaded_counts(spark, bronze, keys)
+            tables.append(landing.ledger_rows(done, counts, batch_id), ledger)
 
     return (
         file_stream(spark, landing_path, schema, pattern)
