@@ -709,6 +709,8 @@ _MONTHS = """CAST(year(o_orderdate) AS INTEGER) AS year,
   CAST(month(o_orderdate) AS INTEGER) AS month"""
 ORACLES["ingest_bronze"] = f"""
 SELECT o_orderkey, o_totalprice, {_MONTHS}, 'batch-1' AS _ingestion_batch_id FROM orders"""
+ORACLES["file_manifest"] = f"""
+SELECT DISTINCT {_MONTHS}, true AS all_sized, true AS all_keyed FROM orders"""
 ORACLES["pending_files"] = f"""
 SELECT DISTINCT {_MONTHS}, CASE WHEN year(o_orderdate) = 1996 THEN 'pending' ELSE 'loaded' END
   AS status, CAST(1 AS BIGINT) AS months FROM orders"""

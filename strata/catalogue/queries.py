@@ -674,10 +674,11 @@ def ingest_bronze(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    """Landed files with their sizes per month."""
+    """The months with landed files, and whether every file has its size and a key of its own."""
     files = landing.manifest(spark, _land_orders(spark, sf_dir))
     return files.groupBy("year", "month").agg(
-        F.count("*").alias("files"), (F.sum("file_size_bytes") > 0).alias("has_size")
+        (F.min("file_size_bytes") > 0).alias("all_sized"),
+        (F.count_distinct("_file_key") == F.count("*")).alias("all_keyed"),
     )
 
 

@@ -12,8 +12,12 @@ BROADCAST_ROWS = 500_000
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops reading as soon as it has more."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.
+
+    A plain count: it reads no column and adds up per task, where a limit would bring up to
+    ``rows`` rows of every task into one.
+    """
+    return df.count() <= rows
 
 
 def lookup_join(
@@ -27,7 +31,7 @@ def lookup_join(
     """Join many rows with a lookup that has at most one row per key.
 
     The lookup is broadcast only when its size is known to be small: by ``known_rows``, or by
-    counting up to the bound. Beyond the bound it is a shuffled join, where adaptive execution
+    counting it. Beyond the bound it is a shuffled join, where adaptive execution
     splits the partitions of a hot key.
     """
     small = known_rows <= max_rows if known_rows is not None else fits(lookup, max_rows)

@@ -58,7 +58,7 @@ def ingest(
     files = landing.manifest(spark, landing_path, pattern)
     backfill_ledger(spark, bronze, ledger, files)
     todo = landing.pending(files, _read(spark, ledger))
-    keys = landing.load_files(spark, todo, bronze, batch_id, pattern)
+    keys = landing.load_files(spark, todo, bronze, batch_id)
     if keys:
         # The ledger is read below and appended to, so the batch is pinned to its file keys.
         batch = files.where(F.col("_file_key").isin(keys))

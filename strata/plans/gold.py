@@ -12,7 +12,6 @@ from strata import trips
 from strata.operators import checks, marts
 from strata.operators.dimensions import date_dimension, days, dimension, lookup_dimension
 from strata.operators.fact import Dimension, build_fact, within
-from strata.operators.joins import BROADCAST_ROWS
 from strata.sources import tables
 from strata.specs import Calendar
 
@@ -38,8 +37,8 @@ def trip_dimensions(
     spark: SparkSession, zones: DataFrame, calendar: Calendar
 ) -> dict[str, Dimension]:
     """All five dimensions as frames; ``zones`` is the zone lookup."""
-    # Counted once, up to the broadcast bound, for the numbering and for every join.
-    n_zones = zones.limit(BROADCAST_ROWS + 1).count()
+    # Counted once, for the numbering and for every join.
+    n_zones = zones.count()
     zone_rows = zone_dimension(zones, n_zones)
     date_rows = date_dimension(days(spark, calendar))
     built = {

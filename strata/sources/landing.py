@@ -39,19 +39,28 @@ LINEAGE_SCHEMA = T.StructType(
 )
 
 
+FILE_SCHEMA = "_source_file string, year int, month int, _file_key string"
+# Files per write of a load. Their list is broadcast to the rows, so it has to be bounded.
+FILES_PER_WRITE = 100_000
+
+
 def file_of_row() -> Column:
     """The file a row was read from, spelt as the file listing spells it."""
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(encoded)
+    path = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
 
 
-def _month_columns(path: Column, pattern: str) -> dict[str, Column]:
-    return {
-        "year": F.regexp_extract(path, pattern, 1).try_cast("int"),
-        "month": F.regexp_extract(path, pattern, 2).try_cast("int"),
-        # The letter keeps partition discovery from reading a key as a number.
-        "_file_key": F.concat(F.lit("k"), F.md5(path)),
-    }
+def with_month(files: DataFrame, path: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
+    """Add year, month and key to one row per file; only files whose path tells a month."""
+    return files.withColumns(
+        {
+            "year": F.regexp_extract(path, pattern, 1).try_cast("int"),
+            "month": F.regexp_extract(path, pattern, 2).try_cast("int"),
+            # The letter keeps partition discovery from reading a key as a number.
+            "_file_key": F.concat(F.lit("k"), F.md5(path)),
+        }
+    ).where(F.col("year").isNotNull() & F.col("month").between(1, 12))
 
 
 def manifest(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
@@ -66,9 +75,7 @@ def manifest(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) ->
         .load(landing)
         .select(F.col("path").alias("source_file"), F.col("length").alias("file_size_bytes"))
     )
-    return listing.withColumns(_month_columns(F.col("source_file"), pattern)).where(
-        F.col("year").isNotNull() & F.col("month").between(1, 12)
-    )
+    return with_month(listing, "source_file", pattern)
 
 
 def file_status(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -93,44 +100,37 @@ def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
-def with_file_columns(rows: DataFrame, pattern: str = MONTH_IN_PATH) -> DataFrame:
-    """Add the file a row came from, and its year, month and file key."""
-    return rows.withColumn("_source_file", file_of_row()).withColumns(
-        _month_columns(F.col("_source_file"), pattern)
-    )
-
+def with_lineage(rows: DataFrame, files: DataFrame, batch_id: str) -> DataFrame:
+    """Add year, month and file key of ``_source_file``, the load time and the batch id.
 
-def with_lineage(rows: DataFrame, batch_id: str) -> DataFrame:
+    ``files`` is a bounded list of files. Looking a path up costs a row far less than matching a
+    pattern and hashing would. A row of a file that is not listed is an error, never dropped.
+    """
+    rows = rows.join(F.broadcast(files), "_source_file", "left")
+    unlisted = F.raise_error(F.concat(F.lit("not a listed file: "), "_source_file"))
     return rows.withColumns(
-        {"_ingestion_timestamp": F.current_timestamp(), "_ingestion_batch_id": F.lit(batch_id)}
+        {
+            "year": F.coalesce("year", unlisted.cast("int")),
+            "_ingestion_timestamp": F.current_timestamp(),
+            "_ingestion_batch_id": F.lit(batch_id),
+        }
     )
 
 
-def read_files(
-    spark: SparkSession, paths: list[str], batch_id: str, pattern: str = MONTH_IN_PATH
-) -> DataFrame:
-    """All rows of the files in one scan, with the lineage columns."""
-    rows = spark.read.option("mergeSchema", "true").parquet(*paths)
-    return with_lineage(with_file_columns(rows, pattern), batch_id)
-
-
-def load_files(
-    spark: SparkSession,
-    files: DataFrame,
-    bronze: str,
-    batch_id: str,
-    pattern: str = MONTH_IN_PATH,
-) -> list[str]:
+def load_files(spark: SparkSession, files: DataFrame, bronze: str, batch_id: str) -> list[str]:
     """Write the rows of ``files`` to bronze; returns the file keys.
 
     The list of paths comes to the driver, as it does in any Spark file scan; rows never do.
-    A task writes the rows of the file split it read, so the load needs no shuffle.
+    All files of a write are read in one scan, and a task writes the rows of the file split it
+    read, so the load needs no shuffle.
     """
-    listed = files.select("source_file", "_file_key").collect()
-    if not listed:
-        return []
-    rows = read_files(spark, [row.source_file for row in listed], batch_id, pattern)
-    tables.overwrite_partitions(rows, bronze, BRONZE_PARTITIONS, spread=False)
+    listed = files.select("source_file", "year", "month", "_file_key").collect()
+    for start in range(0, len(listed), FILES_PER_WRITE):
+        part = listed[start : start + FILES_PER_WRITE]
+        rows = spark.read.option("mergeSchema", "true").parquet(*[r.source_file for r in part])
+        known = tables.inline_rows(spark, part, T.StructType.fromDDL(FILE_SCHEMA))
+        loaded = with_lineage(rows.withColumn("_source_file", file_of_row()), known, batch_id)
+        tables.overwrite_partitions(loaded, bronze, BRONZE_PARTITIONS, spread=False)
     return [row["_file_key"] for row in listed]
 
 

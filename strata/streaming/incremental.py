@@ -15,30 +15,27 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.sources import landing, tables
 
 
-def file_stream(
-    spark: SparkSession,
-    landing_path: str,
-    schema: T.StructType,
-    pattern: str = landing.MONTH_IN_PATH,
-    files_per_batch: int = 1000,
-) -> DataFrame:
-    """The landed files as a stream, with the lineage columns a file's path tells."""
+FILES_PER_BATCH = 1000
+
+
+def file_stream(spark: SparkSession, landing_path: str, schema: T.StructType | str) -> DataFrame:
+    """The landed rows as a stream, each with the path and the size of its file."""
     rows = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
         .parquet(landing_path)
     )
-    return landing.with_file_columns(rows, pattern).withColumn(
-        "_file_size", F.col("_metadata.file_size")
+    return rows.withColumns(
+        {"_source_file": landing.file_of_row(), "_file_size": F.col("_metadata.file_size")}
     )
 
 
 def load_available(
     spark: SparkSession,
     landing_path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     bronze: str,
     ledger: str,
     checkpoint: str,
@@ -49,21 +46,23 @@ def load_available(
 
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"stream-{number}"
-        rows = landing.with_lineage(batch.drop("_file_size"), batch_id)
+        # The batch names its files itself (at most FILES_PER_BATCH); none is listed again.
+        sizes = batch.groupBy("_source_file").agg(F.max("_file_size").alias("file_size_bytes"))
+        files = landing.with_month(sizes, "_source_file", pattern)
+        known = files.drop("file_size_bytes")
+        listed = batch.drop("_file_size").join(F.broadcast(known), "_source_file", "left_semi")
+        rows = landing.with_lineage(listed, known, batch_id)
         tables.overwrite_partitions(rows, bronze, landing.BRONZE_PARTITIONS, spread=False)
-        # The batch itself names its files, so the landing folder is not listed again.
-        files = batch.groupBy(F.col("_source_file").alias("source_file"), "_file_key").agg(
-            F.max("_file_size").alias("file_size_bytes")
-        )
-        new = landing.pending(files, tables.read(spark, ledger, landing.LEDGER_SCHEMA))
-        keys = [row["_file_key"] for row in new.select("_file_key").collect()]
-        if keys:
-            done = files.where(F.col("_file_key").isin(keys))
-            counts = landing.loaded_counts(spark, bronze, keys)
+        recorded = tables.read(spark, ledger, landing.LEDGER_SCHEMA)
+        new = landing.pending(files.withColumnRenamed("_source_file", "source_file"), recorded)
+        found = new.collect()
+        if found:
+            done = tables.inline_rows(spark, found, new.schema)
+            counts = landing.loaded_counts(spark, bronze, [row["_file_key"] for row in found])
             tables.append(landing.ledger_rows(done, counts, batch_id), ledger)
 
     return (
-        file_stream(spark, landing_path, schema, pattern)
+        file_stream(spark, landing_path, schema)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
