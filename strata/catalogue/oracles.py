@@ -236,7 +236,7 @@ def _count_rules(rules: dict[str, str], columns: str = "", source: str = "norm")
 
 
 ORACLES["rule_counts"] = f"WITH {_ORDERS} {_count_rules(_ORDER_RULES)}"
-ORACLES["derived_trip_measures"] = f"""WITH {_silver(_EVENT_TRIPS, {'all': 'true'})}, {_MEASURES}
+ORACLES["derived_measures"] = f"""WITH {_silver(_EVENT_TRIPS, {'all': 'true'})}, {_MEASURES}
 SELECT pickup_datetime, trip_duration_seconds, trip_speed_mph, tip_percentage, pickup_hour,
        dropoff_hour
 FROM derived"""
@@ -329,7 +329,7 @@ FROM events"""
 _CUSTOMERS = """SELECT row_number() OVER (ORDER BY c_custkey) AS customer_sk, c_custkey, c_name,
   c_mktsegment FROM customer"""
 ORACLES["surrogate_key"] = _CUSTOMERS
-ORACLES["sample_of_keys"] = f"""
+ORACLES["key_sample"] = f"""
 SELECT c_custkey, customer_sk FROM ({_CUSTOMERS}) ORDER BY c_custkey LIMIT 10"""
 
 # --- Fact, marts, reports -----------------------------------------------------------------------
@@ -347,7 +347,7 @@ FROM fact"""
 ORACLES["fact_roundtrip"] = f"""{_EVENT_STAR}
 SELECT pickup_date_sk, count(*) AS trips, {_fixed('fare_amount')} AS fares
 FROM fact GROUP BY pickup_date_sk"""
-ORACLES["labelled_sample"] = f"""{_EVENT_STAR}
+ORACLES["resolve_labels"] = f"""{_EVENT_STAR}
 SELECT pickup_datetime, pickup_date_sk, d.full_date AS pickup_full_date, pickup_location_id,
        pickup_zone_sk, pz.zone_name AS pickup_zone_name, dropoff_location_id, dropoff_zone_sk,
        dz.zone_name AS dropoff_zone_name, f.payment_type_sk, payment_type_description,

@@ -33,7 +33,8 @@ CATALOGUE: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    CATALOGUE[function.__name__] = function
+    """Register under the function's name; a trailing underscore only avoids an operator's name."""
+    CATALOGUE[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -121,7 +122,7 @@ def rule_counts(spark, sf_dir):
 
 
 @query
-def derived_trip_measures(spark, sf_dir):
+def derived_measures_(spark, sf_dir):
     rows = derived_measures(event_rows(spark, sf_dir))
     return rows.select(
         "pickup_datetime",
@@ -307,7 +308,7 @@ def surrogate_key(spark, sf_dir):
 
 
 @query
-def sample_of_keys(spark, sf_dir):
+def key_sample_(spark, sf_dir):
     return key_sample(_customer_dimension(spark, sf_dir), "c_custkey", "customer_sk", 10)
 
 
@@ -345,7 +346,7 @@ def fact_roundtrip(spark, sf_dir):
 
 
 @query
-def labelled_sample(spark, sf_dir):
+def resolve_labels_(spark, sf_dir):
     fact, dims = event_star(spark, sf_dir)
     return resolve_labels(fact, dims, ["pickup_datetime", "fare_amount"], 5)
 
