@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontaminate, line_dedup, quality_rules, toxicity, url_filter
+from strata.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    quality_pu,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 from strata.llm import text as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +96,17 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = X.remainder(F.col("doc_id"), 3) == 1
+    weights = quality_pu.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), quality_pu.score(F.col("text"), weights).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 # The rules of the registered query.
 URL_RULES = (
     url_filter.UrlRule("allow", "org", "/"),
