@@ -16,6 +16,7 @@ from strata.llm import (
     quality_rules,
     toxicity,
     url_filter,
+    warc,
 )
 from strata.llm import text as X
 
@@ -38,6 +39,33 @@ def hex_sha(data: Column) -> Column:
     return F.sha2(data, 256)
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.archive_pages(spark, read(spark, sf_dir, "pages"))
+    found = warc.resolve(warc.read_records(packages))
+    return found.select(
+        F.col("record_id").try_cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+ORACLES["op1_warc"] = """
+WITH rows AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM rows WHERE payload_bytes >= 100
+  GROUP BY payload_digest)
+SELECT page_id, payload_bytes, r.payload_digest,
+  CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id < page_id THEN first_id END AS refers_to
+FROM rows r LEFT JOIN firsts f ON r.payload_digest = f.payload_digest
+"""
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
