@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     bpe,
     decontaminate,
+    kneser_ney,
     line_dedup,
     quality_pu,
     quality_rules,
@@ -153,6 +154,25 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = X.remainder(F.col("doc_id"), 7) == 2
+    model = kneser_ney.fit(docs.where(~held_out))
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), kneser_ney.score(F.col("text"), model).alias("s")
+    )
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "s.n_tokens",
+        "s.n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "s.base_score",
+        "s.score",
+    )
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
