@@ -13,6 +13,7 @@ from strata.llm import (
     decontaminate,
     kneser_ney,
     line_dedup,
+    minhash,
     quality_pu,
     quality_rules,
     toxicity,
@@ -154,6 +155,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
