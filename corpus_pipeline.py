@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, line_dedup, toxicity
+from strata.llm import bpe, decontaminate, line_dedup, minhash, toxicity
+from strata.llm import text as X
 from strata.session import scratch_path
 
 # The learnt and the hashed stages have no SQL form; the tests hold them against brute force.
@@ -35,6 +36,44 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate class the document with the smallest id stays, once.
+
+    Documents without words are in no class and stay.
+    """
+    known = minhash.classes(docs.select("doc_id", "text"))
+    keepers = known.where(F.col("id").eqNullSafe(F.col("class_id")))
+    # Of a class whose documents all lack an id, or share the smallest, one text stays.
+    keepers = keepers.groupBy("class").agg(F.min(F.struct("node", "id")).alias("k"))
+    keepers = keepers.select("k.node.a", "k.node.b", F.col("k.id").alias("id"))
+    rows = docs.select(
+        F.struct("*").alias("doc"),
+        X.fingerprint(F.col("text")).alias("print"),
+        (F.btrim(X.filled(F.col("text")), F.lit(X.SPACE)) == "").alias("wordless"),
+    )
+    same = (
+        (F.col("print.a") == F.col("a"))
+        & (F.col("print.b") == F.col("b"))
+        & F.col("doc.doc_id").eqNullSafe(F.col("id"))
+    )
+    named = rows.where("NOT wordless").select("doc", "print", F.col("doc.doc_id").alias("own"))
+    kept = named.join(keepers, same, "left_semi").dropDuplicates(["print", "own"])
+    return kept.select("doc.*").unionAll(rows.where("wordless").select("doc.*"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go.
+
+    What leaks is a matter of the text alone, so texts are told apart by their prints, not by ids.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    texts = docs.select(X.fingerprint(F.col("text")).alias("doc_id"), "text")
+    leaked = decontaminate.leaks(texts, benchmark).select("doc_id.a", "doc_id.b").distinct()
+    rows = docs.select(F.struct("*").alias("doc"), X.fingerprint(F.col("text")).alias("print"))
+    same = (F.col("print.a") == F.col("a")) & (F.col("print.b") == F.col("b"))
+    return rows.join(leaked, same, "left_anti").select("doc.*")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its token ids, checked by decoding them."""
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -51,6 +90,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", dedup_lines),
+    ("near_dedup", near_dedup),
+    ("decontamination", drop_leaks),
     ("byte_bpe", encode),
 ]
 

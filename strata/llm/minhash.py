@@ -346,7 +346,7 @@ def components(edges: DataFrame, stage: _Stage) -> DataFrame:
 
 def classes(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text"):
     """One row per distinct text with words: ``node`` (its print), ``id`` (the smallest id that has
-    it) and ``class_id``."""
+    it), ``class`` (the smallest print of its class) and ``class_id``."""
     rows = docs.select(
         X.fingerprint(F.col(text)).alias("node"), F.col(doc_id).alias("id"), F.col(text).alias("text")
     )
@@ -361,7 +361,7 @@ def classes(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", t
     ids = named.groupBy("class").agg(F.min("id").alias("class_id"))
     ids = ids.select(F.col("class.a").alias("a"), F.col("class.b").alias("b"), "class_id")
     same = (F.col("class.a") == F.col("a")) & (F.col("class.b") == F.col("b"))
-    return named.join(ids, same).select("node", "id", "class_id")
+    return named.join(ids, same).select("node", "id", "class", "class_id")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
