@@ -13,11 +13,12 @@ set of links; its id is the smallest document id in it.
    so registers agree with a probability equal to the similarity. A process stops as soon as its
    next point comes later than all registers.
 3. Banding: texts that agree in all registers of a band share a bucket. Buckets are never expanded
-   into all pairs. In each round every member is compared with a few pivots of its bucket; members
-   that are surely close to a pivot leave the bucket, since the pivot stands for them. The number of
-   pivots doubles until no bucket has two members left, so there is no cap on a bucket's size. Bands
-   take their pivots in four different orders, so a large group does not hang on one pivot.
-4. Candidates are first compared by their registers (two bytes each), and those that could reach the
+   into all pairs. In each round every member is compared with a few pivots of its bucket. A member
+   leaves the bucket once pairs that are surely close, found in any bucket, put it in the class of
+   one of its pivots. The number of pivots grows fourfold until no bucket holds two classes, so
+   there is no cap on a bucket's size. Bands take their pivots in four different orders, so a
+   large group does not hang on one pivot.
+4. Candidates are first compared by their registers (one byte each), and those that could reach the
    threshold by the exact overlap of the whole multisets.
 
 Defined cases: texts without words (null, empty) are linked to nothing, not even to each other:
@@ -46,11 +47,12 @@ SHINGLE = 5
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.8
-    rows: int = 6
+    rows: int = 8
     bands: int = 30
-    # Shares of equal registers: with 180 of them one standard deviation is 0.03 at 0.8.
-    maybe: float = 0.65
-    sure: float = 0.85
+    # Shares of equal registers: with 240 of them one standard deviation is 0.026 at 0.8.
+    maybe: float = 0.68
+    sure: float = 0.83
+    slack: float = 0.12
 
     @property
     def registers(self) -> int:
@@ -129,14 +131,14 @@ def signatures(doc, value, weight, texts: int, m: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray, sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each band, two bytes of each register) per text."""
+    """(bucket of each band, one byte of each register) per text."""
     times = signatures(*weighted(*shingles(hashes, sizes)), len(sizes), s.registers)
     bits = _mix(times.view(U) + np.arange(s.registers, dtype=U) * U(0x9E3779B97F4A7C15))
     banded = bits.reshape(len(sizes), s.bands, s.rows)
     bucket = np.zeros((len(sizes), s.bands), U)
     for k in range(s.rows):
         bucket = _mix(bucket + banded[:, :, k])
-    return bucket, (bits >> U(48)).astype(np.uint16)
+    return bucket, (bits >> U(56)).astype(np.uint8)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -155,9 +157,9 @@ def _lists(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(text: Column, s: Settings) -> Column:
-    """Struct of ``buckets`` (array<bigint>) and ``registers`` (binary); null without words."""
+    """Struct of ``buckets``, ``registers`` (binary) and ``size`` (shingles) of texts with words."""
 
-    @F.arrow_udf("struct<buckets array<bigint>, registers binary>")
+    @F.arrow_udf("struct<buckets array<bigint>, registers binary, size int>")
     def compute(rows: pa.Array) -> pa.Array:
         flat, sizes = _lists(rows)
         ends, buckets, registers, start = np.cumsum(sizes), [], [], 0
@@ -172,9 +174,12 @@ def sketches(text: Column, s: Settings) -> Column:
         offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * s.bands)
         values = pa.array(np.concatenate(buckets) if buckets else np.zeros(0, np.int64))
         return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(offsets, values), pa.array(registers, pa.binary())],
-            ["buckets", "registers"],
-            mask=pa.array(sizes == 0),
+            [
+                pa.ListArray.from_arrays(offsets, values),
+                pa.array(registers, pa.binary()),
+                pa.array(np.maximum(sizes - SHINGLE + 1, 1), pa.int32()),
+            ],
+            ["buckets", "registers", "size"],
         )
 
     return compute(word_hashes(text))
@@ -184,7 +189,7 @@ def _agreement(a: Column, b: Column) -> Column:
     @F.arrow_udf("double")
     def share(left: pa.Array, right: pa.Array) -> pa.Array:
         rows = zip(left.to_pylist(), right.to_pylist())
-        equal = [np.mean(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) for x, y in rows]
+        equal = [np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) for x, y in rows]
         return pa.array(equal, pa.float64())
 
     return share(a, b)
@@ -201,7 +206,7 @@ def _overlap(a: Column, b: Column) -> Column:
         pairs = zip(arrays(left), arrays(right))
         return pa.array([similarity(x, y) for x, y in pairs], pa.float64())
 
-    return exact(word_hashes(a), word_hashes(b))
+    return exact(a, b)
 
 
 # --- Plan ---------------------------------------------------------------------------------------
@@ -223,12 +228,13 @@ class _Stage:
 
 def _nodes(rows: DataFrame, s: Settings) -> DataFrame:
     """One row per distinct text with words: node, smallest id, buckets, registers."""
-    sketched = rows.select("node", "id", sketches(F.col("text"), s).alias("s"))
-    some = sketched.where(F.col("s").isNotNull())
-    return some.groupBy("node").agg(
+    some = rows.where(F.btrim(X.filled(F.col("text")), F.lit(X.SPACE)) != "")
+    sketched = some.select("node", "id", sketches(F.col("text"), s).alias("s"))
+    return sketched.groupBy("node").agg(
         F.min("id").alias("id"),
         F.any_value("s.buckets").alias("buckets"),
         F.any_value("s.registers").alias("registers"),
+        F.any_value("s.size").alias("size"),
     )
 
 
@@ -240,59 +246,93 @@ def _compared(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("node", "pivot", _agreement(F.col("ra"), F.col("rb")).alias("agree"))
 
 
+def _with_class(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
+    on = label.select(F.col("node").alias("of"), F.col("class").alias(name))
+    joined = rows.join(on, F.col(node) == F.col("of"), "left").drop("of")
+    return joined.withColumn(name, F.coalesce(name, node))
+
+
 def candidates(nodes: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
     """Pairs (node, pivot) that agree in at least the share ``maybe`` of their registers."""
-    spread = nodes.select("node", F.posexplode("buckets").alias("band", "bucket"))
+    spread = nodes.select("node", "size", F.posexplode("buckets").alias("band", "bucket"))
     members = spread.select(
         F.xxhash64("band", "bucket").alias("bucket"),
-        F.struct(F.xxhash64("node", F.col("band") % 4).alias("o"), "node").alias("member"),
+        F.struct(F.xxhash64("node", F.col("band") % 4).alias("o"), "node", "size").alias("member"),
     )
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("m"))
-    shared = sizes.where("n > 1").select((F.col("bucket") + F.lit(0)).alias("of"), F.col("m.node").alias("pivot"))
-    rest = stage.kept(
+    shared = sizes.where("n > 1").select(
+        (F.col("bucket") + F.lit(0)).alias("of"), F.col("m.node").alias("pivot")
+    )
+    first = stage.kept(
         members.join(shared, F.col("bucket") == F.col("of"))
         .where(F.col("member.node") != F.col("pivot"))
-        .select("bucket", "member", "pivot")
+        .select("bucket", "member", F.col("member.node").alias("node"), "pivot")
     )
-    tables, pivots = [], 1
-    pairs = rest.select(F.col("member.node").alias("node"), "pivot")
+    found = [stage.kept(_compared(first.select("node", "pivot").distinct(), nodes))]
+    label = _provisional(found, stage, s)
+    known = first.join(found[0], ["node", "pivot"])
+    both = _with_class(_with_class(known, label, "node", "class"), label, "pivot", "pivot_class")
+    rest = stage.kept(both.where("class != pivot_class").select("bucket", "member", "node", "agree"))
+    pivots = 1
     while True:
-        found = stage.kept(_compared(pairs.distinct(), nodes))
-        tables.append(found.where(F.col("agree") >= s.maybe).select("node", "pivot"))
-        near = found.where(F.col("agree") >= s.sure).select("node", "pivot")
-        # Those a pivot stands for, and the pivots themselves, leave the bucket.
-        pairs_now = rest.select("bucket", "member", F.col("member.node").alias("node"), "pivot")
-        gone = pairs_now.join(near, ["node", "pivot"], "left_semi").select("bucket", "member")
-        if pivots > 1:
-            gone = gone.unionAll(heads.select("bucket", "member"))
-        left = stage.kept(
-            rest.select("bucket", "member").distinct().join(gone, ["bucket", "member"], "left_anti")
-        )
-        full = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        left = left.join(full, "bucket", "left_semi")
-        if left.isEmpty():
+        # Buckets that hold members of one class only have no pair left to look at.
+        now = _with_class(rest, label, "node", "class")
+        kinds = now.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        open_ = kinds.where("low != high").select("bucket")
+        now = stage.kept(now.join(open_, "bucket", "left_semi"))
+        if now.isEmpty():
             break
-        pivots *= 2
-        heads = _first(left, pivots)
-        ahead = heads.select(F.col("bucket").alias("of"), F.col("member").alias("head"))
-        rest = stage.kept(
-            left.join(ahead, (F.col("bucket") == F.col("of")) & (F.col("member") != F.col("head")))
-            .select("bucket", "member", F.col("head.node").alias("pivot"))
+        pivots *= 4
+        heads = stage.kept(_first(now, pivots))
+        ahead = heads.select(
+            F.col("bucket").alias("of"),
+            F.col("node").alias("pivot"),
+            F.col("class").alias("pivot_class"),
+            F.col("agree").alias("pivot_agree"),
+            F.col("size").alias("pivot_size"),
         )
-        heads = stage.kept(heads)
-        pairs = rest.select(F.col("member.node").alias("node"), "pivot")
-    ordered = F.array_sort(F.array("node", "pivot"))
-    both = reduce(DataFrame.unionAll, tables).select(ordered.alias("two")).distinct()
-    return both.select(F.col("two")[0].alias("node"), F.col("two")[1].alias("pivot"))
+        # One minus the similarity is a metric: two texts whose distances to the first pivot differ
+        # by more than the threshold allows cannot be linked (the slack is over three deviations);
+        # nor can two of which one has too few shingles.
+        apart = 1 - s.threshold + s.slack
+        differ = (
+            (F.col("bucket") == F.col("of"))
+            & (F.col("class") != F.col("pivot_class"))
+            & (F.abs(F.col("agree") - F.col("pivot_agree")) <= apart)
+            & (F.col("member.size") >= s.threshold * F.col("pivot_size"))
+            & (F.col("pivot_size") >= s.threshold * F.col("member.size"))
+        )
+        pairs = now.join(ahead, differ).select(
+            F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")
+        )
+        found.append(stage.kept(_compared(pairs.distinct(), nodes)))
+        label = _provisional(found, stage, s)
+        # A member leaves if a pivot of its bucket stands for its class, or if it was a pivot.
+        led = _with_class(heads.select("bucket", "node"), label, "node", "class")
+        led = led.select("bucket", "class").distinct()
+        now = _with_class(now.drop("class"), label, "node", "class")
+        rest = stage.kept(now.join(led, ["bucket", "class"], "left_anti").drop("class"))
+    near = reduce(DataFrame.unionAll, found).where(F.col("agree") >= s.maybe)
+    return near.select(
+        F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")
+    ).distinct()
+
+
+def _provisional(found: list[DataFrame], stage: _Stage, s: Settings) -> DataFrame:
+    """Classes by the pairs that are surely close, to tell which comparisons are still needed."""
+    near = reduce(DataFrame.unionAll, found).where(F.col("agree") >= s.sure)
+    return components(near.select("node", "pivot"), stage)
 
 
 def _first(members: DataFrame, n: int) -> DataFrame:
     """The first ``n`` members of each bucket; Spark limits each group before the shuffle."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("bucket").orderBy("member")
+    # Those most like the first pivot come first: they lie in the middle of a group of variants, so
+    # more of the group is close to them than to one another.
+    order = Window.partitionBy("bucket").orderBy(F.desc("agree"), "member")
     ranked = members.withColumn("place", F.row_number().over(order))
-    return ranked.where(F.col("place") <= n).drop("place")
+    return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "member.size")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
@@ -303,12 +343,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, stage: _Stage,
         F.col("node").alias("of"), F.col("id").alias("of_id")
     )
     one = (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("of_id"))
-    texts = stage.kept(rows.join(wanted, one, "left_semi").select("node", "text"))
-    a = texts.select("node", F.col("text").alias("ta"))
-    b = texts.select(F.col("node").alias("pivot"), F.col("text").alias("tb"))
+    moved = rows.join(wanted, one, "left_semi")
+    texts = stage.kept(moved.select("node", word_hashes(F.col("text")).alias("words")))
+    a = texts.select("node", F.col("words").alias("a"))
+    b = texts.select(F.col("node").alias("pivot"), F.col("words").alias("b"))
     both = pairs.join(a, "node").join(b, "pivot")
-    exact = both.select("node", "pivot", _overlap(F.col("ta"), F.col("tb")).alias("similarity"))
-    return stage.kept(exact.where(F.col("similarity") >= s.threshold))
+    # Written before it is filtered: else Spark would compute it once more for the filter.
+    exact = stage.kept(both.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity")))
+    return exact.where(F.col("similarity") >= s.threshold)
 
 
 def components(edges: DataFrame, stage: _Stage) -> DataFrame:
