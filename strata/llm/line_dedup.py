@@ -49,13 +49,17 @@ def dedup_lines(
     held = lines.select("key", "id").distinct()
     shared = (
         held.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id")).alias("keeper"))
+        # max passes over nulls, which is what makes a null id the smallest.
+        .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("key", "keeper")
+        .select(F.col("key.a").alias("a"), F.col("key.b").alias("b"), "keeper")
     )
+    # Joined by the parts of the key, not the key: so both sides are dealt anew for the join, and
+    # Spark may split the lines of a hot key over tasks. The shared keys are the small side.
+    same_key = (F.col("key.a") == F.col("a")) & (F.col("key.b") == F.col("b"))
     dropped = (
-        lines.join(shared, "key")
-        .where(~F.struct("id").eqNullSafe(F.col("keeper")))
+        lines.join(shared, same_key)
+        .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id", "print")
         .agg(F.collect_list("pos").alias("gone"))
         .select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "gone")
