@@ -140,7 +140,8 @@ def score(text: Column, weights: dict, intercept: float, bits: int = Settings.bi
             out[start:stop] = np.bincount(doc, dense[feature], stop - start)
         return pa.array(1.0 / (1.0 + np.exp(-np.clip(out + intercept, -35, 35))))
 
-    return probability(word_hashes(text))
+    # A filter on the score must not make Spark compute it twice.
+    return probability.asNondeterministic()(word_hashes(text))
 
 
 def predict(docs: DataFrame, labels: DataFrame, fold: Column, s: Settings = Settings()) -> DataFrame:
