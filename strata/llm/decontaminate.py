@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from strata.llm import text as X
 
-MASKS = ("111111", "11011011", "1110010011", "1011000101011")
+# All of one weight, so that all take the same number of places.
+MASKS = ("111111", "11011011", "1110010011", "1011000100011")
 WINDOW = 13
 AGREE = 0.8
 # Seeds of items that one pass over the texts may broadcast (about 40 bytes each and the tokens).
@@ -36,20 +37,26 @@ def tokens(text: Column) -> Column:
 
 
 def seeds(rows: DataFrame, column: str) -> DataFrame:
-    """One row per position and mask that fits there: ``at`` and ``seed``, beside all columns."""
-    count = len(MASKS)
-    steps = F.sequence(F.lit(0), F.size(column) * count - 1)
-    # One explode over positions times masks; the hash is then plain generated code.
-    cells = rows.where(F.size(column) > 0).withColumn("cell", F.explode(steps))
-    at, mask = F.expr(f"cell DIV {count}").cast("int"), F.col("cell") % count
-    hashes, ends = F.lit(None).cast("bigint"), F.lit(0)
-    for k, pattern in enumerate(MASKS):
-        places = [i for i, bit in enumerate(pattern) if bit == "1"]
-        picked = F.xxhash64(F.lit(k), *[F.get(column, at + i) for i in places])
-        hashes = F.when(mask == k, picked).otherwise(hashes)
-        ends = F.when(mask == k, at + len(pattern)).otherwise(ends)
-    fitting = cells.where(ends <= F.size(column))
-    return fitting.withColumns({"at": at, "seed": hashes}).drop("cell")
+    """One row per mask and position where it fits: ``at`` and ``seed``, beside all columns.
+
+    The masks are rows of places, so one short expression serves them all: a method that spells
+    out each mask would be too long for the JVM to compile.
+    """
+    places = [[i for i, bit in enumerate(mask) if bit == "1"] for mask in MASKS]
+    cells = [
+        F.struct(
+            F.lit(k).alias("mask"),
+            F.lit(len(MASKS[k])).alias("span"),
+            *[F.lit(i).alias(f"p{n}") for n, i in enumerate(own)],
+        )
+        for k, own in enumerate(places)
+    ]
+    masks = rows.withColumn("m", F.explode(F.array(*cells)))
+    fitting = masks.where(F.size(column) >= F.col("m.span"))
+    starts = F.sequence(F.lit(0), F.size(column) - F.col("m.span"))
+    at = fitting.withColumn("at", F.explode(starts))
+    picked = [F.get(column, F.col("at") + F.col(f"m.p{n}")) for n in range(len(places[0]))]
+    return at.withColumn("seed", F.xxhash64("m.mask", *picked)).drop("m")
 
 
 def _best(agrees: Column, window: Column) -> Column:
