@@ -258,7 +258,7 @@ def dim_lookup(spark, sf_dir):
         B.table(spark, sf_dir, "orders")
         .select(
             F.substring(priority, 1, 1).cast("int").alias("priority_id"),
-            F.substring(priority, 3, 100).alias("priority_description"),
+            F.expr("substring(o_orderpriority, 3)").alias("priority_description"),
         )
         .distinct()
     )

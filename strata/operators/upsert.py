@@ -80,6 +80,13 @@ def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
     return [tuple(row) for row in df.select(*partition_by).distinct().collect()]
 
 
+def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs twice: both rows would match the target row and multiply it."""
+    twice = source.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"the source holds a key ({', '.join(keys)}) more than once")
+
+
 def _staging(target: str) -> str:
     return f"{target.rstrip('/')}__merged"
 
@@ -129,9 +136,11 @@ def upsert(
     staging = _staging(target)
     recover(spark, target, partition_by)
     if not tables.exists(spark, target):
+        require_unique(source, keys)
         written = tables.overwrite(source, target, partition_by)
         return action_counts(written.withColumn(ACTION, F.lit("inserted")))
     current = tables.read(spark, target, source.schema)
+    require_unique(source, keys)
     touched = in_partitions(current, partition_by, partitions_of(source, partition_by))
     merged = merge(touched, source, keys, hash_column, version_column, null_safe)
     staged = tables.overwrite(merged, f"{staging}/rows", partition_by)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,35 +48,44 @@ def ingest(
     ledger: str,
     batch_id: str | None = None,
     pattern: str = landing.MONTH_IN_PATH,
+    expected_months: Sequence[tuple[int, int]] = (),
 ) -> DataFrame:
     """Load every landed file that is not in the ledger, record it, and reconcile.
 
-    Returns one row: files found, files loaded, rows loaded, rows in bronze, rows in the ledger,
-    and whether the two agree. A second run over the same files loads nothing.
+    Returns one row: files found, files whose path tells no month, expected months without a file,
+    files loaded, rows loaded, rows in bronze, rows in the ledger, and whether all is well: bronze
+    holds what the ledger says, no file was left out, and no expected month is missing. The ledger
+    counts the rows of the landed files, so rows lost while writing bronze show as a difference.
+    A second run over the same files loads nothing.
     """
     batch_id = batch_id or str(uuid.uuid4())
     tables.ensure(spark, ledger, landing.LEDGER_SCHEMA)
     files = landing.manifest(spark, landing_path, pattern)
     backfill_ledger(spark, bronze, ledger, files)
     todo = landing.pending(files, _read(spark, ledger))
-    keys = landing.load_files(spark, todo, bronze, batch_id)
-    if keys:
+    done = landing.load_files(spark, todo, bronze, batch_id)
+    if done:
+        pinned = tables.inline_rows(spark, done, landing.LOADED_SCHEMA)
+        paths = [path for path, _ in done]
         # The ledger is read below and appended to, so the batch is pinned to its file keys.
-        batch = files.where(F.col("_file_key").isin(keys))
-        counts = landing.loaded_counts(spark, bronze, keys)
+        batch = files.join(pinned.select("_file_key"), "_file_key", "left_semi")
+        counts = landing.source_counts(spark, paths)
         tables.append(landing.ledger_rows(batch, counts, batch_id), ledger)
     book = _read(spark, ledger)
     loaded = book.where(F.col("ingestion_batch_id") == batch_id)
     counts = checks.row_counts(
         {
-            "files_landed": files,
+            "files_landed": landing.listing(spark, landing_path),
+            "files_unmatched": landing.unmatched(spark, landing_path, pattern),
+            "months_missing": landing.missing_months(files, expected_months),
             "files_loaded": loaded,
             "rows_loaded": (loaded, "row_count"),
             "rows_bronze": landing.lineage(spark, bronze),
             "rows_ledger": (book, "row_count"),
         }
     )
-    return counts.withColumn("passed", F.col("rows_bronze") == F.col("rows_ledger"))
+    whole = (F.col("files_unmatched") == 0) & (F.col("months_missing") == 0)
+    return counts.withColumn("passed", whole & (F.col("rows_bronze") == F.col("rows_ledger")))
 
 
 def validate(

@@ -53,6 +53,21 @@ def trip_dimensions(
     return built
 
 
+def require_keys(rows: DataFrame, natural_key: str) -> None:
+    """Raise unless the natural key is unique, never NULL, and not 0, which is the default member's.
+
+    A repeated key would multiply the fact's rows, so this comes before the numbering.
+    """
+    counted = rows.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct(natural_key).alias("keys"),
+        F.count_if(F.col(natural_key).isNull()).alias("nulls"),
+        F.count_if(F.col(natural_key) == 0).alias("zeros"),
+    ).first()
+    if counted.nulls or counted.zeros or counted["rows"] != counted["keys"]:
+        raise ValueError(f"{natural_key} of the lookup is not a key: {counted.asDict()}")
+
+
 def write_dimensions(dims: Mapping[str, Dimension], gold: GoldTables) -> dict[str, Dimension]:
     """Write the dimensions; returns them as written."""
     return {
@@ -155,6 +170,7 @@ def run(
     spark = silver.sparkSession
     if not tables.is_path(gold.base):
         tables.ensure_database(spark, gold.base)
+    require_keys(zones, "location_id")
     dims = write_dimensions(trip_dimensions(spark, zones, calendar), gold)
     fact = write_fact(build_fact(silver, dims, calendar), gold)
     daily = tables.overwrite(

@@ -103,6 +103,9 @@ def run(
     spark = bronze.sparkSession
     run_id, started_at = str(uuid.uuid4()), dt.datetime.now(dt.timezone.utc)
     checks = trips.trip_rules() if checks is None else checks
+    if not tables.is_path(target.clean):
+        # Refused before anything is written; the upsert could not merge into it next time.
+        raise ValueError("the clean table must be a path table; register it in the catalog by path")
     load_time = F.lit(started_at) if load_time is None else load_time
     rows = normalized_trips(bronze, load_time)
     rejected = tables.overwrite(rules.quarantine(rows, checks), target.quarantine, PARTITIONS)
@@ -123,11 +126,15 @@ def run(
     else:
         batch = tables.overwrite(unique, target.clean, PARTITIONS)
     rows_in, quarantined = bronze.count(), rejected.count()
+    # Measured, not a remainder: a row lost on the way would else pass as a duplicate.
+    valid = rules.clean(rows, checks).count()
+    if rows_in != valid + quarantined:
+        raise RuntimeError(f"{rows_in} rows read, but {valid} valid and {quarantined} rejected")
     counts = RunCounts(
         rows_in=rows_in,
         rows_clean=tables.read(spark, target.clean, batch.schema).count(),
         rows_quarantined=quarantined,
-        rows_deduped=rows_in - quarantined - batch.count(),
+        rows_deduped=valid - batch.count(),
     )
     finished_at = dt.datetime.now(dt.timezone.utc)
     row = metrics_row(run_id, started_at, finished_at, bronze_table, counts, rejected)

@@ -8,6 +8,8 @@ and the ledger write, with any number of files per month and without reading bro
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,10 @@ LINEAGE_SCHEMA = T.StructType(
 )
 
 
+MONTH_SCHEMA = "year int, month int"
+LOADED_SCHEMA = T.StructType(
+    [T.StructField("source_file", T.StringType()), T.StructField("_file_key", T.StringType())]
+)
 FILE_SCHEMA = "_source_file string, year int, month int, _file_key string"
 # Files per write of a load. Their list is broadcast to the rows, so it has to be bounded.
 FILES_PER_WRITE = 100_000
@@ -63,19 +69,31 @@ def with_month(files: DataFrame, path: str, pattern: str = MONTH_IN_PATH) -> Dat
     ).where(F.col("year").isNotNull() & F.col("month").between(1, 12))
 
 
-def manifest(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
-    """One row per landed Parquet file that names a month: path, size, year, month, file key.
-
-    The listing reads names and sizes only; no file is opened.
-    """
-    listing = (
+def listing(spark: SparkSession, landing: str) -> DataFrame:
+    """One row per landed file, whatever its name. Names and sizes only; no file is opened."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
         .load(landing)
         .select(F.col("path").alias("source_file"), F.col("length").alias("file_size_bytes"))
     )
-    return with_month(listing, "source_file", pattern)
+
+
+def manifest(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
+    """One row per landed Parquet file that names a month: path, size, year, month, file key."""
+    return with_month(listing(spark, landing), "source_file", pattern)
+
+
+def unmatched(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
+    """The landed files that the manifest leaves out, because their path tells no month."""
+    files = listing(spark, landing)
+    return files.join(with_month(files, "source_file", pattern), "source_file", "left_anti")
+
+
+def missing_months(files: DataFrame, expected: Sequence[tuple[int, int]]) -> DataFrame:
+    """The expected (year, month) pairs without a landed file."""
+    wanted = tables.inline_rows(files.sparkSession, list(expected), T.StructType.fromDDL(MONTH_SCHEMA))
+    return wanted.join(files, ["year", "month"], "left_anti")
 
 
 def file_status(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -117,8 +135,10 @@ def with_lineage(rows: DataFrame, files: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
-def load_files(spark: SparkSession, files: DataFrame, bronze: str, batch_id: str) -> list[str]:
-    """Write the rows of ``files`` to bronze; returns the file keys.
+def load_files(
+    spark: SparkSession, files: DataFrame, bronze: str, batch_id: str
+) -> list[tuple[str, str]]:
+    """Write the rows of ``files`` to bronze; returns path and file key of each.
 
     The list of paths comes to the driver, as it does in any Spark file scan; rows never do.
     All files of a write are read in one scan, and a task writes the rows of the file split it
@@ -131,7 +151,7 @@ def load_files(spark: SparkSession, files: DataFrame, bronze: str, batch_id: str
         known = tables.inline_rows(spark, part, T.StructType.fromDDL(FILE_SCHEMA))
         loaded = with_lineage(rows.withColumn("_source_file", file_of_row()), known, batch_id)
         tables.overwrite_partitions(loaded, bronze, BRONZE_PARTITIONS, spread=False)
-    return [row["_file_key"] for row in listed]
+    return [(row["source_file"], row["_file_key"]) for row in listed]
 
 
 def lineage(spark: SparkSession, bronze: str) -> DataFrame:
@@ -139,15 +159,18 @@ def lineage(spark: SparkSession, bronze: str) -> DataFrame:
     return tables.read_or_empty(spark, bronze, LINEAGE_SCHEMA)
 
 
-def loaded_counts(spark: SparkSession, bronze: str, file_keys: list[str]) -> DataFrame:
-    """Rows in bronze per file key. Only partition columns are used, so Spark reads footers."""
-    written = lineage(spark, bronze).where(F.col("_file_key").isin(file_keys))
-    return written.groupBy("_file_key").agg(F.count("*").alias("row_count"))
+def source_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows per landed file, from the files themselves and not from what was written of them.
+
+    No column of the data is read, so Spark takes the counts from the footers.
+    """
+    rows = spark.read.parquet(*paths).select(file_of_row().alias("source_file"))
+    return rows.groupBy("source_file").agg(F.count("*").alias("row_count"))
 
 
 def ledger_rows(files: DataFrame, counts: DataFrame, batch_id: str) -> DataFrame:
     """Ledger rows of a batch: a file without rows counts as zero."""
-    return files.join(counts, "_file_key", "left").select(
+    return files.join(counts, "source_file", "left").select(
         "source_file",
         "file_size_bytes",
         F.current_timestamp().alias("ingested_at"),

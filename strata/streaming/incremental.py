@@ -58,7 +58,7 @@ def load_available(
         found = new.collect()
         if found:
             done = tables.inline_rows(spark, found, new.schema)
-            counts = landing.loaded_counts(spark, bronze, [row["_file_key"] for row in found])
+            counts = landing.source_counts(spark, [row["source_file"] for row in found])
             tables.append(landing.ledger_rows(done, counts, batch_id), ledger)
 
     return (

@@ -193,3 +193,25 @@ def test_catalog_tables(spark):
     tables.append(spark.createDataFrame([(7, 3)], "id bigint, p bigint"), "strata_test.t", ["p"])
     assert tables.read(spark, "strata_test.t").count() == 4
     spark.sql("DROP DATABASE strata_test CASCADE")
+
+
+def test_files_left_out_and_months_missing_fail_the_run(spark, folder):
+    base = land(folder, 1, 3)
+    land(folder, 2, 4, "trips_202402.parquet")
+    land(folder, 4, 2, "trips_2024-04.PARQUET")
+    result = run(spark, folder, "one")
+    assert (result.files_landed, result.files_unmatched, result.passed) == (3, 2, False)
+    args = (spark, base, f"{folder}/b2", f"{folder}/l2", "one", landing.MONTH_IN_PATH)
+    assert bronze.ingest(*args, [(2024, 1), (2024, 3)]).first().months_missing == 1
+
+
+def test_ledger_counts_the_landed_files_not_bronze(spark, folder, monkeypatch):
+    land(folder, 1, 3)
+    whole = landing.with_lineage
+
+    def lossy(*args):
+        return whole(*args).where("id > 0")
+
+    monkeypatch.setattr(landing, "with_lineage", lossy)
+    result = run(spark, folder, "one")
+    assert (result.rows_ledger, result.rows_bronze, result.passed) == (3, 2, False)

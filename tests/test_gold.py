@@ -338,3 +338,10 @@ def test_date_dimension_has_no_default_member(spark):
     rows = build_fact(trip(spark, {}), dims, YEAR)
     assert rows.first().pickup_date_sk is None
     assert not checks.null_checks(rows, ["pickup_date_sk"]).first().passed
+
+
+@pytest.mark.parametrize("ids", [[1, 1, 2], [0, 1], [None, 1]])
+def test_a_lookup_whose_id_is_no_key_is_refused(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "location_id int")
+    with pytest.raises(ValueError):
+        gold.require_keys(rows, "location_id")

@@ -100,3 +100,10 @@ def test_the_null_safe_join_is_an_equi_join(spark):
     merged = upsert.merge(batch(spark, *FIRST), batch(spark, *SECOND), ["k"], "h", "ts")
     plan = plan_of(merged)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_source_with_a_key_twice_is_refused(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    upsert.require_unique(rows.dropDuplicates(["k"]), ["k"])
+    with pytest.raises(ValueError):
+        upsert.require_unique(rows, ["k"])
