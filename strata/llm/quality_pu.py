@@ -215,4 +215,5 @@ def score(text: Column, weights: np.ndarray) -> Column:
     def probability(rows: pa.Array) -> pa.Array:
         return pa.array(np.clip((1 + _times(features(rows), weights)) / 2, 0.0, 1.0))
 
-    return probability(measured(text))
+    # A filter on the score must not make Spark compute it twice.
+    return probability.asNondeterministic()(measured(text))
