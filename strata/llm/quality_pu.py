@@ -212,8 +212,8 @@ def score(text: Column, weights: np.ndarray) -> Column:
     """Between 0 and 1; the squared loss makes (1 + g) / 2 the probability of label 1."""
 
     @F.arrow_udf("double")
-    def probability(rows: pa.Array) -> pa.Array:
+    def quality_share(rows: pa.Array) -> pa.Array:
         return pa.array(np.clip((1 + _times(features(rows), weights)) / 2, 0.0, 1.0))
 
     # A filter on the score must not make Spark compute it twice.
-    return probability.asNondeterministic()(measured(text))
+    return quality_share.asNondeterministic()(measured(text))
