@@ -46,19 +46,19 @@ class Settings:
 
 
 def measured(text: Column) -> Column:
-    """What a worker needs of a text: its bytes and the counts behind the shape features."""
-
-    def counts(words, lines):
-        return F.struct(
-            X.filled(text).cast("binary").alias("bytes"),
-            F.size(words).alias("words"),
-            F.size(F.array_distinct(words)).alias("distinct_words"),
-            F.size(lines).alias("lines"),
-            F.size(F.array_distinct(lines)).alias("distinct_lines"),
-        )
+    """What a worker needs of a text: its bytes and the counts behind the shape features.
 
-    lines = F.split(X.filled(text), "\n")
-    return X.let(X.words(text), lambda w: X.let(lines, lambda one: counts(w, one)))
+    No lambda in here: a Python function over nested lambdas is not always found by Spark's rule
+    that moves such functions to the Python worker, and the query then fails.
+    """
+    words, lines = X.words(text), F.split(X.filled(text), "\n")
+    return F.struct(
+        X.filled(text).cast("binary").alias("bytes"),
+        F.size(words).alias("words"),
+        F.size(F.array_distinct(words)).alias("distinct_words"),
+        F.size(lines).alias("lines"),
+        F.size(F.array_distinct(lines)).alias("distinct_lines"),
+    )
 
 
 def _columns(rows: pa.StructArray) -> tuple[pa.Array, np.ndarray]:
