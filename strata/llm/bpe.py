@@ -77,10 +77,9 @@ def encode_text(text: str, rank_file: str, pattern: str, chunk: int = CHUNK) ->
     return ids
 
 
-def _lists(rows: list[list[int]]) -> pa.Array:
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    flat = np.fromiter((i for row in rows for i in row), np.int32, int(offsets[-1]))
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
@@ -89,7 +88,9 @@ def encode(text: Column, rank_file: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def token_ids(texts: pa.Array) -> pa.Array:
-        return _lists([encode_text(t or "", rank_file, pattern) for t in texts.to_pylist()])
+        # A text at a time, its ids as four bytes each: a batch of Python integers would be large.
+        ids = (encode_text(t.as_py() or "", rank_file, pattern) for t in texts)
+        return _lists([np.array(own, np.int32) for own in ids])
 
     return token_ids(text)
 
@@ -100,8 +101,10 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decoded(rows: pa.Array) -> pa.Array:
         codec = encoding(rank_file, pattern)
-        flat, ends = rows.flatten().to_pylist(), np.cumsum(rows.value_lengths().fill_null(0))
-        starts = np.concatenate([[0], ends[:-1]])
-        return pa.array([codec.decode_bytes(flat[a:b]) for a, b in zip(starts, ends)], pa.binary())
+        flat = rows.flatten().to_numpy(zero_copy_only=False)
+        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        parts = (flat[end - size : end].tolist() for end, size in zip(ends, sizes))
+        return pa.array([codec.decode_bytes(own) for own in parts], pa.binary())
 
     return decoded(ids)
