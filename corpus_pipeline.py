@@ -77,13 +77,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its token ids, checked by decoding them."""
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = docs.select("doc_id", "text", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    back = bpe.decode(F.col("ids"), path, pattern)
+    coded = docs.select("doc_id", "text", bpe.round_trip(F.col("text"), path, pattern).alias("c"))
     return coded.select(
         "doc_id",
-        F.col("ids").alias("token_ids"),
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        (back == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+        F.col("c.ids").alias("token_ids"),
+        F.size("c.ids").cast("bigint").alias("n_tokens"),
+        (F.col("c.bytes") == X.filled(F.col("text")).cast("binary")).alias("round_trip"),
     )
 
 

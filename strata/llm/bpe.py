@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a public rank file.
 
-``encode`` and ``decode`` are column functions: text to ids, ids to bytes. Each worker loads the
-rank file once. Long texts are cut before the pattern runs, at places where it always ends a
+``encode`` and ``decode`` are column functions: text to ids, ids to bytes; ``round_trip`` does both.
+Each worker loads the rank file once. Long texts are cut before the pattern runs, at places where it always ends a
 match, so ids equal those of the uncut text whatever its length:
 
 * before a white-space character that follows another character. No match of the pattern goes on
@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ _WHITE = "".join(
 _RUN = re.compile(f"[{_WHITE}]{{1000,}}")
 _SAFE = re.compile(f"[^{_WHITE}](?=[{_WHITE}])")
 CHUNK = 1 << 16
+# Results go back to Spark in slices of about so many ids (4 MB), whatever the batch.
+SLICE = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -77,20 +79,46 @@ def encode_text(text: str, rank_file: str, pattern: str, chunk: int = CHUNK) ->
     return ids
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+class _Slice:
+    """Results of consecutive texts in flat buffers, which Arrow takes over without a copy."""
+
+    def __init__(self) -> None:
+        self.ids, self.ends = array("i"), array("i", [0])
+        self.data, self.data_ends = bytearray(), array("i", [0])
+
+    def add(self, ids: list[int] = (), data: bytes = b"") -> None:
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        self.data += data
+        self.data_ends.append(len(self.data))
+
+    @property
+    def full(self) -> bool:
+        return len(self.ids) >= SLICE or len(self.data) >= 4 * SLICE
+
+    def lists(self) -> pa.Array:
+        flat = pa.Array.from_buffers(pa.int32(), len(self.ids), [None, pa.py_buffer(self.ids)])
+        ends = pa.Array.from_buffers(pa.int32(), len(self.ends), [None, pa.py_buffer(self.ends)])
+        return pa.ListArray.from_arrays(ends, flat)
+
+    def blobs(self) -> pa.Array:
+        buffers = [None, pa.py_buffer(self.data_ends), pa.py_buffer(self.data)]
+        return pa.Array.from_buffers(pa.binary(), len(self.data_ends) - 1, buffers)
 
 
 def encode(text: Column, rank_file: str, pattern: str) -> Column:
     """Token ids (array<int>) of a text column; ``rank_file`` lies at that path on every worker."""
 
     @F.arrow_udf("array<int>")
-    def token_ids(texts: pa.Array) -> pa.Array:
-        # A text at a time, its ids as four bytes each: a batch of Python integers would be large.
-        ids = (encode_text(t.as_py() or "", rank_file, pattern) for t in texts)
-        return _lists([np.array(own, np.int32) for own in ids])
+    def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            part = _Slice()
+            for text in texts:
+                part.add(encode_text(text.as_py() or "", rank_file, pattern))
+                if part.full:
+                    yield part.lists()
+                    part = _Slice()
+            yield part.lists()
 
     return token_ids(text)
 
@@ -99,12 +127,42 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
     """The bytes of an array<int> column of token ids. Ids may end inside a character."""
 
     @F.arrow_udf("binary")
-    def decoded(rows: pa.Array) -> pa.Array:
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = encoding(rank_file, pattern)
-        flat = rows.flatten().to_numpy(zero_copy_only=False)
-        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes)
-        parts = (flat[end - size : end].tolist() for end, size in zip(ends, sizes))
-        return pa.array([codec.decode_bytes(own) for own in parts], pa.binary())
+        for rows in batches:
+            part = _Slice()
+            for row in rows:
+                own = row.values.to_numpy().tolist() if row.is_valid else []
+                part.add(data=codec.decode_bytes(own))
+                if part.full:
+                    yield part.blobs()
+                    part = _Slice()
+            yield part.blobs()
 
     return decoded(ids)
+
+
+def round_trip(text: Column, rank_file: str, pattern: str) -> Column:
+    """Struct of ``ids`` and ``bytes``: the token ids, and what these ids decode to.
+
+    Both at once, so the ids do not travel to Python a second time.
+    """
+
+    @F.arrow_udf("struct<ids array<int>, bytes binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = encoding(rank_file, pattern)
+        for texts in batches:
+            part = _Slice()
+            for text in texts:
+                ids = encode_text(text.as_py() or "", rank_file, pattern)
+                part.add(ids, codec.decode_bytes(ids))
+                if part.full:
+                    yield _coded(part)
+                    part = _Slice()
+            yield _coded(part)
+
+    return both(text)
+
+
+def _coded(part: _Slice) -> pa.Array:
+    return pa.StructArray.from_arrays([part.lists(), part.blobs()], ["ids", "bytes"])

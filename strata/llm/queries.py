@@ -116,13 +116,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), path, pattern).alias("bytes"))
-    return both.select(
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), path, pattern).alias("c"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        hex_sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        hex_sha(F.col("bytes")).alias("decoded_sha256"),
+        F.size("c.ids").cast("bigint").alias("n_tokens"),
+        hex_sha(F.array_join(F.col("c.ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_sha(F.col("c.bytes")).alias("decoded_sha256"),
     )
 
 

@@ -113,6 +113,10 @@ def test_bpe_round_trip_and_cuts(docs):
     for row in rows.collect():
         assert row.ids == codec.encode_ordinary(row.text or "")
         assert bytes(row.back) == (row.text or "").encode()
+    both = docs.select("text", bpe.round_trip(F.col("text"), RANKS, PATTERN).alias("c")).collect()
+    for row in both + docs.where("false").select("text", bpe.round_trip(F.col("text"), RANKS, PATTERN).alias("c")).collect():
+        assert row.c.ids == codec.encode_ordinary(row.text or "")
+        assert bytes(row.c.bytes) == (row.text or "").encode()
     for text in (LONG, "a" + " " * 5000 + "b", " " * 3000, "x\n" * 4000, "é\x85" * 900 + "\x1c" * 1500, "z" * 9000):
         assert bpe.encode_text(text, RANKS, PATTERN, 64) == codec.encode_ordinary(text)
     huge = "a" + " " * 2_000_000
@@ -120,6 +124,15 @@ def test_bpe_round_trip_and_cuts(docs):
     assert base64.b64decode(open(RANKS, "rb").readline().split()[0])
 
 
+def test_bpe_slices_keep_the_rows_in_order(spark):
+    texts = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat(concat('word ', id, ' '), 800) AS text")
+    coded = texts.select("id", "text", bpe.round_trip(F.col("text"), RANKS, PATTERN).alias("c"))
+    wrong = coded.where("string(c.bytes) != text OR size(c.ids) < 800 OR c IS NULL")
+    assert wrong.count() == 0 and coded.selectExpr("sum(size(c.ids)) AS n").first().n > 2 * bpe.SLICE
+    nulls = spark.createDataFrame([(None,), ([],)], "ids array<int>")
+    assert [bytes(r.b) for r in nulls.select(bpe.decode(F.col("ids"), RANKS, PATTERN).alias("b")).collect()] == [b"", b""]
+
+
 def similarity(a, b):
     def shingles(text):
         w = WORD.findall((text or "").translate(LOWER))
