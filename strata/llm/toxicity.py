@@ -64,10 +64,13 @@ def features(hashes: np.ndarray, doc: np.ndarray, bits: int) -> tuple[np.ndarray
 
 
 def ftrl(examples: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[dict, float]:
-    """Weights that are not zero, by index, and the intercept."""
+    """Weights that are not zero, by index, and the intercept. Rare features leave ``examples``."""
     z, n = np.zeros(1 << s.bits), np.zeros(1 << s.bits)
-    seen = np.bincount(np.concatenate([*examples, [0]]).astype(np.int64), minlength=1 << s.bits)
-    examples = [index[seen[index] >= s.min_examples] for index in examples]
+    seen = np.zeros(1 << s.bits, np.int64)
+    for index in examples:
+        seen[index] += 1
+    for place, index in enumerate(examples):
+        examples[place] = index[seen[index] >= s.min_examples]
     bias_z = bias_n = 0.0
 
     def weight(z, n):
@@ -113,16 +116,20 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, s: Settings = Settings
     sample = X.labelled_sample(labels, "toxic", fold, s.most_examples)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     table = rows.select("doc_id", "label", word_hashes(F.col("text")).alias("words")).toArrow()
-    hashes = table["words"].combine_chunks()
+    own = table["label"].to_numpy()
     order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
     # A fixed order that has nothing to do with the ids' own.
     order = order[np.random.default_rng(1).permutation(len(order))]
     examples: list[np.ndarray] = []
-    for _, _, part in _slices(hashes):
-        doc, index = features(*_flat(part), s.bits)
-        cuts = np.searchsorted(doc, np.arange(1, len(part)))
-        examples += [x.astype(np.int32) for x in np.split(index, cuts)]
-    return ftrl([examples[i] for i in order], table["label"].to_numpy()[order], s)
+    # Small slices and 32-bit indexes: all of this is in the driver's memory at once.
+    for chunk in table["words"].chunks:
+        for _, _, part in _slices(chunk, 1 << 17):
+            doc, index = features(*_flat(part), s.bits)
+            cuts = np.searchsorted(doc, np.arange(1, len(part)))
+            examples += np.split(index.astype(np.int32), cuts)
+    del table
+    examples = [examples[i] for i in order]
+    return ftrl(examples, own[order], s)
 
 
 def score(text: Column, weights: dict, intercept: float, bits: int = Settings.bits) -> Column:
