@@ -13,13 +13,14 @@ set of links; its id is the smallest document id in it.
    so registers agree with a probability equal to the similarity. A process stops as soon as its
    next point comes later than all registers.
 3. Banding: texts that agree in all registers of a band share a bucket. Buckets are never expanded
-   into all pairs. In each round every member is compared with a few pivots of its bucket. A member
-   leaves the bucket once pairs that are surely close, found in any bucket, put it in the class of
-   one of its pivots. The number of pivots grows fourfold until no bucket holds two classes, so
-   there is no cap on a bucket's size. Bands take their pivots in four different orders, so a
-   large group does not hang on one pivot.
-4. Candidates are first compared by their registers (one byte each), and those that could reach the
-   threshold by the exact overlap of the whole multisets.
+   into all pairs. In each round every member is compared with a few pivots of its bucket that are
+   not in its class yet. A pivot then leaves the bucket. The number of pivots grows fourfold until
+   no bucket holds two classes, so there is no cap on a bucket's size. Members of one class are
+   never compared to tell what is known, whatever their number; members of different classes
+   of a bucket are, unless bounds exclude a link, so that none is lost. Bands take their pivots in
+   four different orders, so a large group does not hang on one pivot.
+4. In each round pairs are first compared by their registers (one byte each), and those that could
+   reach the threshold by the exact overlap of the whole multisets, so classes are exact at once.
 
 Defined cases: texts without words (null, empty) are linked to nothing, not even to each other:
 each row is its own class. Rows that share an id and a text are one document. A null id never is a
@@ -30,7 +31,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +49,8 @@ class Settings:
     threshold: float = 0.8
     rows: int = 8
     bands: int = 30
-    # Shares of equal registers: with 240 of them one standard deviation is 0.026 at 0.8.
+    # Share of equal registers: with 240 of them one standard deviation is 0.026 at 0.8.
     maybe: float = 0.68
-    sure: float = 0.83
     slack: float = 0.12
 
     @property
@@ -192,7 +191,8 @@ def _agreement(a: Column, b: Column) -> Column:
         equal = [np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) for x, y in rows]
         return pa.array(equal, pa.float64())
 
-    return share(a, b)
+    # A filter on the share must not make Spark compute it twice; so with the overlap below.
+    return share.asNondeterministic()(a, b)
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -206,7 +206,7 @@ def _overlap(a: Column, b: Column) -> Column:
         pairs = zip(arrays(left), arrays(right))
         return pa.array([similarity(x, y) for x, y in pairs], pa.float64())
 
-    return exact(a, b)
+    return exact.asNondeterministic()(a, b)
 
 
 # --- Plan ---------------------------------------------------------------------------------------
@@ -252,8 +252,8 @@ def _with_class(rows: DataFrame, label: DataFrame, node: str, name: str) -> Data
     return joined.withColumn(name, F.coalesce(name, node))
 
 
-def candidates(nodes: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
-    """Pairs (node, pivot) that agree in at least the share ``maybe`` of their registers."""
+def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
+    """(node, class) of all nodes with a link."""
     spread = nodes.select("node", "size", F.posexplode("buckets").alias("band", "bucket"))
     members = spread.select(
         F.xxhash64("band", "bucket").alias("bucket"),
@@ -268,11 +268,12 @@ def candidates(nodes: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
         .where(F.col("member.node") != F.col("pivot"))
         .select("bucket", "member", F.col("member.node").alias("node"), "pivot")
     )
-    found = [stage.kept(_compared(first.select("node", "pivot").distinct(), nodes))]
-    label = _provisional(found, stage, s)
-    known = first.join(found[0], ["node", "pivot"])
-    both = _with_class(_with_class(known, label, "node", "class"), label, "pivot", "pivot_class")
-    rest = stage.kept(both.where("class != pivot_class").select("bucket", "member", "node", "agree"))
+    known = stage.kept(_compared(first.select("node", "pivot").distinct(), nodes))
+    texts = stage.kept(_words_of(first, nodes, rows))
+    links = stage.kept(_linked(known, texts, s))
+    label, done = components(links, stage), _ordered(known)
+    # The first pivots have been compared with all of their buckets; the other members stay.
+    rest = first.join(known, ["node", "pivot"]).select("bucket", "member", "node", "agree")
     pivots = 1
     while True:
         # Buckets that hold members of one class only have no pair left to look at.
@@ -302,26 +303,27 @@ def candidates(nodes: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
             & (F.col("member.size") >= s.threshold * F.col("pivot_size"))
             & (F.col("pivot_size") >= s.threshold * F.col("member.size"))
         )
-        pairs = now.join(ahead, differ).select(
-            F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")
-        )
-        found.append(stage.kept(_compared(pairs.distinct(), nodes)))
-        label = _provisional(found, stage, s)
-        # A member leaves if a pivot of its bucket stands for its class, or if it was a pivot.
-        led = _with_class(heads.select("bucket", "node"), label, "node", "class")
-        led = led.select("bucket", "class").distinct()
-        now = _with_class(now.drop("class"), label, "node", "class")
-        rest = stage.kept(now.join(led, ["bucket", "class"], "left_anti").drop("class"))
-    near = reduce(DataFrame.unionAll, found).where(F.col("agree") >= s.maybe)
-    return near.select(
-        F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")
-    ).distinct()
+        # A pair that met in another bucket is not compared again.
+        pairs = _ordered(now.join(ahead, differ)).distinct()
+        pairs = stage.kept(pairs.join(done, ["node", "pivot"], "left_anti"))
+        done = done.unionAll(pairs)
+        links = stage.kept(_linked(_compared(pairs, nodes), texts, s))
+        label = _merged(label, links, stage)
+        # A pivot has now been compared with every member that is not in its class.
+        rest = stage.kept(now.drop("class").join(heads, ["bucket", "node"], "left_anti"))
+    return label
 
 
-def _provisional(found: list[DataFrame], stage: _Stage, s: Settings) -> DataFrame:
-    """Classes by the pairs that are surely close, to tell which comparisons are still needed."""
-    near = reduce(DataFrame.unionAll, found).where(F.col("agree") >= s.sure)
-    return components(near.select("node", "pivot"), stage)
+def _merged(label: DataFrame, links: DataFrame, stage: _Stage) -> DataFrame:
+    """The classes after more links."""
+    if links.isEmpty():
+        return label
+    ends = _with_class(_with_class(links, label, "node", "one"), label, "pivot", "two")
+    ends = ends.select(F.col("one").alias("node"), F.col("two").alias("pivot"))
+    above = components(ends.where("node != pivot"), stage)
+    lifted = _with_class(label.withColumnRenamed("class", "was"), above, "was", "class")
+    alone = above.join(label.select("node"), "node", "left_anti")
+    return stage.kept(lifted.select("node", "class").unionAll(alone.select("node", "class")))
 
 
 def _first(members: DataFrame, n: int) -> DataFrame:
@@ -335,24 +337,33 @@ def _first(members: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "member.size")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold. Only their texts are moved."""
-    pairs = stage.kept(pairs)
-    names = pairs.select("node").union(pairs.select(F.col("pivot").alias("node"))).distinct()
+def _words_of(first: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Word hashes of every node that shares a bucket. Only their texts are moved."""
+    names = first.select("node").union(first.select(F.col("pivot").alias("node"))).distinct()
     wanted = names.join(nodes.select("node", "id"), "node").select(
         F.col("node").alias("of"), F.col("id").alias("of_id")
     )
     one = (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("of_id"))
-    moved = rows.join(wanted, one, "left_semi")
-    texts = stage.kept(moved.select("node", word_hashes(F.col("text")).alias("words")))
+    moved = rows.join(wanted, one, "left_semi").dropDuplicates(["node"])
+    return moved.select("node", word_hashes(F.col("text")).alias("words"))
+
+
+def _linked(compared: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose exact similarity reaches the threshold."""
+    pairs = compared.where(F.col("agree") >= s.maybe).select("node", "pivot")
     a = texts.select("node", F.col("words").alias("a"))
     b = texts.select(F.col("node").alias("pivot"), F.col("words").alias("b"))
     both = pairs.join(a, "node").join(b, "pivot")
-    # Written before it is filtered: else Spark would compute it once more for the filter.
-    exact = stage.kept(both.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity")))
+    exact = both.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity"))
     return exact.where(F.col("similarity") >= s.threshold)
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")
+    )
+
+
 def components(edges: DataFrame, stage: _Stage) -> DataFrame:
     """(node, class) for all nodes of the edges.
 
@@ -394,8 +405,7 @@ def classes(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", t
     )
     stage = _Stage(docs)
     nodes = stage.kept(_nodes(rows, s))
-    links = verified(candidates(nodes, stage, s), nodes, rows, stage, s)
-    label = components(links, stage)
+    label = classified(nodes, rows, stage, s)
     named = nodes.select("node", "id").join(
         label.select(F.col("node").alias("of"), "class"), F.col("node") == F.col("of"), "left"
     )

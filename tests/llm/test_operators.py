@@ -152,6 +152,30 @@ def test_near_duplicates(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_no_link_is_lost_among_lookalikes(spark):
+    """Variants of one text, about half of them just below and half just above the threshold."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for i in range(150):
+        words = list(base)
+        for at in rng.choice(120, rng.integers(1, 6), replace=False):
+            words[at] = f"v{i}x{at}"
+        texts[i] = " ".join(words)
+    pairs = [(a, b) for a in texts for b in texts if a < b and similarity(texts[a], texts[b]) >= 0.8]
+    want = {i: i for i in texts}
+    for _ in texts:
+        new = dict(want)
+        for a, b in pairs:
+            new[a] = new[b] = min(new[a], new[b])
+        if new == want:
+            break
+        want = new
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert dict(by_row(minhash.near_duplicates(docs), "doc_id", "class_id")) == want
+    assert 1 < len(set(want.values())) < 150
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     a = np.repeat(rng.integers(1, 1 << 60, 40), rng.integers(1, 9, 40))
