@@ -556,6 +556,16 @@ def check_grain(spark, sf_dir):
     )
 
 
+@query
+def gold_checks(spark, sf_dir):
+    """The checks of a whole gold run: dimensions, fact and marts written, then read back."""
+    base = scratch_path(spark, "gold-run")
+    stored = tables.overwrite(event_silver(spark, sf_dir), f"{base}/silver", silver.PARTITIONS)
+    return gold.run(
+        stored, zones(spark, sf_dir), trips.CALENDAR_2024, gold.GoldTables(f"{base}/gold")
+    )
+
+
 @query
 def check_idempotent(spark, sf_dir):
     return checks.same_rows(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions import expressions as X
 from strata.operators.joins import lookup_join
 from strata.specs import Calendar, Role
-from strata.trips import END, FACT_COLUMNS, FACT_INPUT, FACT_ROLES, START
+from strata.trips import END, FACT_COLUMNS, FACT_INPUT, FACT_KEYS, FACT_ROLES, START
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,8 @@ def resolve_labels(
 
     The rows are taken first, so the labels are looked up for ``n`` rows only.
     """
-    rows = fact.select(*FACT_COLUMNS[:9]).orderBy(*order_by).limit(n)
+    shown = (*FACT_KEYS, "pickup_location_id", "dropoff_location_id", "pickup_datetime")
+    rows = fact.select(*shown).orderBy(*order_by).limit(n)
     labels = (
         ("dim_date", "pickup_date_sk", "full_date", "pickup_full_date"),
         ("dim_zones", "pickup_zone_sk", "zone_name", "pickup_zone_name"),

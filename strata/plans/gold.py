@@ -16,6 +16,8 @@ from strata.sources import tables
 from strata.specs import Calendar
 
 FACT_PARTITIONS = ("pickup_date_sk",)
+# Digits of the fixed point in which money and measures are added up.
+SCALE = 9
 LOOKUPS = (trips.PAYMENT_TYPES, trips.RATE_CODES, trips.VENDORS)
 
 
@@ -107,9 +109,16 @@ def write_fact(fact: DataFrame, gold: GoldTables) -> DataFrame:
 
 
 def fact_checks(
-    silver: DataFrame, fact: DataFrame, calendar: Calendar, max_loss: int = 100
+    silver: DataFrame,
+    fact: DataFrame,
+    calendar: Calendar,
+    max_loss: int = 100,
+    scale: int | None = SCALE,
 ) -> DataFrame:
-    """No fan-out, at most ``max_loss`` rows outside the calendar, no NULL key, equal sums."""
+    """No fan-out, at most ``max_loss`` rows outside the calendar, no NULL key, equal sums.
+
+    Sums of doubles depend on the order of the rows, so they are added in fixed point.
+    """
     counts = checks.row_counts({"silver": silver, "fact": fact})
     rows = checks.report(
         counts, [checks.within_loss("rows lost at the calendar edge", "silver", "fact", max_loss)]
@@ -120,6 +129,7 @@ def fact_checks(
         fact,
         ["fare_amount", "tip_amount", "total_amount"],
         tolerance=0.01,
+        scale=scale,
     )
     return rows.unionByName(
         sums.select(
@@ -165,8 +175,12 @@ def run(
     calendar: Calendar,
     gold: GoldTables,
     max_loss: int = 100,
+    scale: int | None = SCALE,
 ) -> DataFrame:
-    """Silver to gold: writes all gold tables and returns their checks."""
+    """Silver to gold: writes all gold tables and returns their checks.
+
+    ``scale`` is that of the sums in the marts and the checks (``None``: plain doubles).
+    """
     spark = silver.sparkSession
     if not tables.is_path(gold.base):
         tables.ensure_database(spark, gold.base)
@@ -174,15 +188,15 @@ def run(
     dims = write_dimensions(trip_dimensions(spark, zones, calendar), gold)
     fact = write_fact(build_fact(silver, dims, calendar), gold)
     daily = tables.overwrite(
-        marts.daily_metrics(fact, dims["dim_zones"], dims["dim_date"]),
+        marts.daily_metrics(fact, dims["dim_zones"], dims["dim_date"], scale),
         gold.named("daily_metrics_by_zone"),
     )
     hourly = tables.overwrite(
-        marts.hourly_patterns(fact, dims["dim_zones"], dims["dim_date"]),
+        marts.hourly_patterns(fact, dims["dim_zones"], dims["dim_date"], scale),
         gold.named("hourly_demand_patterns"),
     )
     return (
         dimension_checks(dims)
-        .unionByName(fact_checks(silver, fact, calendar, max_loss))
+        .unionByName(fact_checks(silver, fact, calendar, max_loss, scale))
         .unionByName(grain_checks(fact, daily, hourly, dims))
     )
