@@ -13,7 +13,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    *("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"),
+    *("documents", "embeddings", "pages", "benchmark", "labels", "conversations"),
+)
 
 
 def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
