@@ -3,8 +3,10 @@
 Two multinomials over hashed word n-grams (single words and pairs, lower case) are counted in one
 pass: that of trusted target documents and that of the raw corpus. A document's score is the mean
 over its n-grams of log p(target) - log p(raw), so it does not grow with length, and the document
-is kept if the score reaches a fixed threshold. Counts go by bucket, so what is shuffled and what
-every task gets is bounded by the number of buckets, whatever the corpus.
+is kept if the score reaches a fixed threshold. Words and pairs have spaces of their own, of
+``buckets`` buckets each, so pairs (most of them rare) do not blur the words. Counts go by bucket,
+so what is shuffled and what every task gets is bounded by the number of buckets, whatever the
+corpus.
 
 Defined cases: null and empty texts have no words and fail the base rules. A text with words has
 n-grams, so its score is defined; a text without words scores 0. Each row is judged by its own
@@ -25,7 +27,7 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 14
+    buckets: int = 1 << 18
     threshold: float = -0.25
     window: int = 8
     min_words: int = 20
@@ -85,11 +87,12 @@ def repeated_words(words: Column, n: int) -> Column:
 
 
 def buckets(words: Column, n: int) -> Column:
-    """Bucket of each word and of each pair of neighbours, in lower case."""
+    """Bucket of each word (below ``n``) and of each pair of neighbours (``n`` to 2 ``n``), in lower case."""
     hashes = F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
     def pair(all_, i):
-        return F.pmod(F.xxhash64(F.get(all_, i), F.get(all_, i + 1)), F.lit(n)).cast("int")
+        hashed = F.xxhash64(F.get(all_, i), F.get(all_, i + 1))
+        return (F.pmod(hashed, F.lit(n)) + n).cast("int")
 
     def both(all_):
         single = F.transform(all_, lambda h: F.pmod(h, F.lit(n)).cast("int"))
@@ -101,7 +104,13 @@ def buckets(words: Column, n: int) -> Column:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
-    """One row, one array: log p(target) - log p(raw) of each bucket, with one added to counts."""
+    """One row, one array: log p(target) - log p(raw) of each bucket.
+
+    Raw counts are scaled to the size of the target before one is added to both, so the two are
+    smoothed alike, and a gram too rare to tell stays near 0 however many buckets there are. One is
+    taken off the raw counts, as each text that is judged is itself among them: a gram found in
+    this text alone says nothing against it.
+    """
     wanted = trusted.select(F.col("doc_id").alias("trusted_id")).distinct()
     rows = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("trusted_id"), "left")
     grams = rows.select(
@@ -111,19 +120,23 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
     counts = grams.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")
     )
-    every = docs.sparkSession.range(s.buckets).select(F.col("id").cast("int").alias("bucket"))
+    every = docs.sparkSession.range(2 * s.buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select(
         "bucket",
-        (F.coalesce("raw", F.lit(0)) + 1).alias("raw"),
-        (F.coalesce("target", F.lit(0)) + 1).alias("target"),
+        F.coalesce("raw", F.lit(0)).alias("raw"),
+        F.coalesce("target", F.lit(0)).alias("target"),
     )
     one = full.agg(
-        F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("cells"),
-        F.log(F.sum("raw") / F.sum("target")).alias("scale"),
+        F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("cells"),
+        (F.sum("target") / F.greatest(F.sum("raw"), F.lit(1))).alias("share"),
     )
-    none = F.array_repeat(F.lit(0.0), s.buckets)
-    learnt = F.transform("cells", lambda c: F.log(c["target"] / c["raw"]) + F.col("scale"))
-    return one.select(F.when(F.col("scale") < 50, learnt).otherwise(none).alias("ratios"))
+
+    def ratio(cell):
+        expected = F.greatest(cell["raw"] - 1, F.lit(0)) * F.col("share")
+        return F.log((cell["target"] + 1) / (expected + 1))
+
+    learnt = F.transform("cells", ratio)
+    return one.select(learnt.alias("ratios"))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -93,6 +93,25 @@ def test_quality_rules(docs, empty):
     assert quality_rules.judge(empty, empty.select("doc_id")).count() == 0
 
 
+def test_quality_score_does_not_fade_as_the_corpus_grows(spark):
+    """Rare words around 4,000 good and 4,000 bad ones: 300,000 rare words and more pairs."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(3000):
+        common = [f"{'good' if i % 2 else 'bad'}{k}" for k in rng.integers(0, 4000, 100)]
+        rows.append((i, " ".join(w for k, c in enumerate(common) for w in (c, f"rare{i}x{k}"))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    trusted = docs.where("doc_id % 2 = 1 AND doc_id < 2400").select("doc_id")
+    got = quality_rules.judge(docs, trusted).where("doc_id >= 2400 AND NOT base_failed")
+    kept = {(r.good, r.kept): r["count"] for r in got.groupBy((F.col("doc_id") % 2).alias("good"), "kept").count().collect()}
+    assert kept == {(1, True): 300, (0, False): 300}
+
+
+def test_words_and_pairs_have_buckets_of_their_own(spark):
+    row = spark.range(1).select(quality_rules.buckets(F.array(*map(F.lit, "abcdefgh")), 4).alias("b")).first()
+    assert {b // 4 for b in row.b[:8]} == {0} and {b // 4 for b in row.b[8:]} == {1} and len(row.b) == 15
+
+
 def test_decontamination_tolerates_substitutions(spark, empty):
     item = " ".join(f"t{i}" for i in range(30))
     words = item.split()
