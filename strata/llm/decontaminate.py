@@ -6,24 +6,33 @@ an item, a text and how the two lie to each other. Each such alignment is then v
 along it ``window`` neighbouring tokens (the whole item, if that is shorter) must agree in at
 least ``agree`` of their places. So a passage is found though some of its words were replaced.
 
-Tokens are runs of letters and digits in lower case.
+The masks follow from the length that is verified and the places that may differ in it, so that
+every way to differ leaves one mask whole (``masks``). Only the masks that the items need are
+laid over the texts.
 
-Defined cases: null and empty texts and items have no tokens and never match. An item with fewer
-tokens than the shortest mask is long is never reported. Repeated items and rows give the same
+Tokens are runs of letters and digits in lower case; in scripts without spaces each character is
+a token.
+
+Defined cases: null and empty texts and items have no tokens and never match. An item so
+short that no place may differ is reported where all of it is found. Repeated items and rows give the same
 pair once. A null id is carried as it is.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import text as X
 
-# All of one weight, so that all take the same number of places.
-MASKS = ("111111", "11011011", "1110010011", "1011000100011")
+UNSPACED = "".join(
+    rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+)
 WINDOW = 13
 AGREE = 0.8
 # Seeds of items that one pass over the texts may broadcast (about 40 bytes each and the tokens).
@@ -32,30 +41,62 @@ MOST_SEEDS = 500_000
 
 def tokens(text: Column) -> Column:
     """64-bit hashes of the tokens of a text."""
-    parts = F.split(F.lower(X.filled(text)), r"[^\p{L}\p{N}]+")
+    apart = F.regexp_replace(F.lower(X.filled(text)), f"([{UNSPACED}])", " $1 ")
+    parts = F.split(apart, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame, column: str) -> DataFrame:
+def masks(length: int, agree: float) -> list[str]:
+    """Masks of which one is whole wherever at least ``agree`` of ``length`` places agree.
+
+    Of one block more than two to the places that may differ, two stay whole at least; with few
+    ways to differ there is a mask for each, which keeps all other places.
+    """
+    differ = length - max(1, math.ceil(agree * length))
+    if math.comb(length, differ) <= 5:
+        kept = combinations(range(length), length - differ)
+    else:
+        size = max(1, length // (differ + 2))
+        blocks = [range(k * size, (k + 1) * size) for k in range(min(differ + 2, length))]
+        kept = ([*a, *b] for a, b in combinations(blocks, 2))
+    shapes = {tuple(i - own[0] for i in own): None for own in kept}
+    return ["".join("01"[i in own] for i in range(own[-1] + 1)) for own in shapes]
+
+
+def masks_by_length(lengths: Sequence[int], agree: float) -> dict[str, list[int]]:
+    """Each mask that is needed, with the lengths that need it."""
+    needed: dict[str, list[int]] = {}
+    for length in sorted(lengths):
+        for mask in masks(length, agree):
+            needed.setdefault(mask, []).append(length)
+    return needed
+
+
+def seeds(rows: DataFrame, column: str, needed: dict[str, list[int]], length: Column | None = None) -> DataFrame:
     """One row per mask and position where it fits: ``at`` and ``seed``, beside all columns.
 
-    The masks are rows of places, so one short expression serves them all: a method that spells
-    out each mask would be too long for the JVM to compile.
+    With ``length`` a row gets only the masks of its length. The masks are rows of places, so one
+    short expression serves them all: a method that spells out each mask would be too long for the
+    JVM to compile. Masks of less weight than others repeat their last place.
     """
-    places = [[i for i, bit in enumerate(mask) if bit == "1"] for mask in MASKS]
+    places = [[i for i, bit in enumerate(mask) if bit == "1"] for mask in needed]
+    weight = max(len(own) for own in places)
     cells = [
         F.struct(
             F.lit(k).alias("mask"),
-            F.lit(len(MASKS[k])).alias("span"),
-            *[F.lit(i).alias(f"p{n}") for n, i in enumerate(own)],
+            F.lit(len(mask)).alias("span"),
+            F.array(*map(F.lit, needed[mask])).alias("lengths"),
+            *[F.lit(own[min(n, len(own) - 1)]).alias(f"p{n}") for n in range(weight)],
         )
-        for k, own in enumerate(places)
+        for k, (mask, own) in enumerate(zip(needed, places))
     ]
-    masks = rows.withColumn("m", F.explode(F.array(*cells)))
-    fitting = masks.where(F.size(column) >= F.col("m.span"))
+    masked = rows.withColumn("m", F.explode(F.array(*cells)))
+    fits = F.size(column) >= F.col("m.span")
+    if length is not None:
+        fits = fits & F.array_contains("m.lengths", length)
     starts = F.sequence(F.lit(0), F.size(column) - F.col("m.span"))
-    at = fitting.withColumn("at", F.explode(starts))
-    picked = [F.get(column, F.col("at") + F.col(f"m.p{n}")) for n in range(len(places[0]))]
+    at = masked.where(fits).withColumn("at", F.explode(starts))
+    picked = [F.get(column, F.col("at") + F.col(f"m.p{n}")) for n in range(weight)]
     return at.withColumn("seed", F.xxhash64("m.mask", *picked)).drop("m")
 
 
@@ -75,11 +116,14 @@ def _best(agrees: Column, window: Column) -> Column:
     return X.let(agrees, slide)
 
 
-def _block(docs: DataFrame, items: DataFrame, window: int, agree: float) -> DataFrame:
-    known = seeds(items, "item_tokens").select(
+def _block(
+    docs: DataFrame, items: DataFrame, window: int, agree: float, needed: dict[str, list[int]]
+) -> DataFrame:
+    checked = F.least(F.lit(window), F.size("item_tokens"))
+    known = seeds(items, "item_tokens", needed, checked).select(
         "seed", "item_id", F.col("at").alias("item_at"), F.size("item_tokens").alias("item_size")
     )
-    hits = seeds(docs, "doc_tokens").join(F.broadcast(known), "seed")
+    hits = seeds(docs, "doc_tokens", needed).join(F.broadcast(known), "seed")
     shift = F.col("at") - F.col("item_at")
     first = F.greatest(F.lit(0), -shift)
     size = F.least(F.col("item_size"), F.size("doc_tokens") - shift) - first
@@ -117,13 +161,17 @@ def leaks(
     The items are broadcast in blocks of a counted size; each block is one pass over the texts.
     """
     items = benchmark.select("item_id", tokens(F.col("text")).alias("item_tokens"))
-    total = items.agg(F.sum(F.size("item_tokens") * len(MASKS))).first()[0] or 0
+    checked = F.least(F.lit(window), F.size("item_tokens")).alias("length")
+    sizes = items.groupBy(checked).agg(F.sum(F.size("item_tokens")).alias("n")).where("length > 0").collect()
+    # A row per length up to the window; with no items the masks of the window serve.
+    needed = masks_by_length([row.length for row in sizes] or [window], agree)
+    total = sum(row.n * len(masks(row.length, agree)) for row in sizes)
     blocks = -(-total // most_seeds) or 1
     rows = docs.select("doc_id", tokens(F.col("text")).alias("doc_tokens"))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     found = reduce(
         DataFrame.unionAll,
-        [_block(rows, items.where(block == k), window, agree) for k in range(blocks)],
+        [_block(rows, items.where(block == k), window, agree, needed) for k in range(blocks)],
     )
     return found.groupBy("doc_id", "item_id").agg(
         F.max("length").alias("length"), F.max("agreeing").alias("agreeing")

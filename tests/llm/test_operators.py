@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zipfile
@@ -125,6 +126,30 @@ def test_decontamination_tolerates_substitutions(spark, empty):
     assert decontaminate.leaks(docs, items.where("false")).count() == 0
 
 
+def test_decontamination_finds_every_pattern_that_agree_allows(spark):
+    items, docs, want = [], [], set()
+    for n in (*range(1, 15), 20):
+        words = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        checked = min(n, 13)
+        differ = checked - math.ceil(0.8 * checked)
+        for places in itertools.combinations(range(checked), differ):
+            own = [f"other{k}" if k in places else words[k] for k in range(checked)]
+            # At the start and the end of a text what differs may also be missing.
+            for text in ("front " + " ".join(own) + " back", " ".join(own).removeprefix("other0 ")):
+                want.add((len(docs), n))
+                docs.append((len(docs), text))
+        docs.append((len(docs), " ".join(words[k] if k > differ else "no" for k in range(checked))))
+    items += [(50, "这是中文句子"), (51, "短句")]
+    want |= {(len(docs), 50), (len(docs), 51)}
+    docs.append((len(docs), "前面这是中文句子，后面还有短句在这里"))
+    got = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    )
+    assert set(by_row(got, "doc_id", "item_id")) == want
+
+
 def test_bpe_round_trip_and_cuts(docs):
     ids = bpe.encode(F.col("text"), RANKS, PATTERN)
     rows = docs.select("text", ids.alias("ids")).withColumn("back", bpe.decode(F.col("ids"), RANKS, PATTERN))
