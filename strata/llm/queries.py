@@ -163,7 +163,7 @@ def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = X.remainder(F.col("doc_id"), 7) == 2
-    model = kneser_ney.fit(docs.where(~held_out))
+    model = kneser_ney.fit(docs.where(~held_out), order=3)
     scored = docs.select(
         "doc_id", held_out.alias("held_out"), kneser_ney.score(F.col("text"), model).alias("s")
     )

@@ -303,6 +303,39 @@ def test_kneser_ney_equals_plain_counts(docs, empty):
     assert all(r.s.n_known == 0 for r in none.collect())
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_order(spark, docs, order):
+    model = kneser_ney.fit(docs, order=order)
+    rows = [WORD.findall((t or "").translate(LOWER)) + ["\n"] for _, t in TEXTS]
+    words = collections.Counter(w for r in rows for w in r)
+    padded = lambda r: ["^"] * (order - 1) + r
+    grams = {order: collections.Counter(g for r in rows for g in zip(*[padded(r)[k:] for k in range(order)]))}
+    for n in range(order - 1, 0, -1):
+        grams[n] = collections.Counter(g[1:] for g in grams[n + 1])
+    d = {n: kneser_ney.discounts([sum(c == k for c in grams[n].values()) for k in (1, 2, 3, 4)]) for n in grams}
+    off = lambda n, c: 0.0 if c == 0 else d[n][min(c, 3) - 1]
+    total, weight = collections.Counter(), collections.Counter()
+    for n in grams:
+        for g, c in grams[n].items():
+            total[n, g[:-1]] += c
+            weight[n, g[:-1]] += off(n, c)
+
+    def probability(g):
+        n = len(g)
+        low = probability(g[1:]) if n > 1 else 1 / (len(words) + 1)
+        if not total[n, g[:-1]]:
+            return low
+        c = grams[n][g]
+        return (max(c - off(n, c), 0) + weight[n, g[:-1]] * low) / total[n, g[:-1]]
+
+    texts = [(t,) for _, t in TEXTS] + [("one three two unheard of w4 three",), ("own one own two shared by w5",)]
+    frame = spark.createDataFrame(texts, "text string")
+    for row in frame.select("text", kneser_ney.score(F.col("text"), model).alias("s")).collect():
+        tokens = padded(WORD.findall((row.text or "").translate(LOWER)) + ["\n"])
+        want = sum(math.log10(probability(tuple(tokens[k : k + order]))) for k in range(len(tokens) - order + 1))
+        assert math.isclose(row.s.score, want, rel_tol=1e-9)
+
+
 def labelled(spark, column):
     rows, labels = [], []
     for i in range(200):
