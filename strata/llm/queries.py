@@ -13,11 +13,14 @@ from strata.llm import (
     decontaminate,
     kneser_ney,
     line_dedup,
+    merkle,
     minhash,
     quality_pu,
     quality_rules,
+    secret_scan,
     toxicity,
     url_filter,
+    vector_codes,
     warc,
 )
 from strata.llm import text as X
@@ -189,3 +192,140 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(read(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def _lloyd_round(number: int) -> str:
+    """One round as SQL: assign the parts, then the new codebook ``b<number>``."""
+    before = number - 1
+    return f"""
+a{before} AS (
+  SELECT p.vec_id, p.p, arg_min(b.e, list_sum(list_transform(list_zip(p.part, b.part),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + b.e) AS e
+  FROM parts p JOIN b{before} b ON b.p = p.p GROUP BY ALL),
+m{before} AS (
+  SELECT a.p, a.e, d, floor(sum(p.part[d]) / count(*))::BIGINT AS x
+  FROM a{before} a JOIN parts p ON p.vec_id = a.vec_id AND p.p = a.p, range(1, 5) r(d) GROUP BY ALL),
+b{number} AS (
+  SELECT b.p, b.e, coalesce(n.part, b.part) AS part FROM b{before} b
+  LEFT JOIN (SELECT p, e, list(x ORDER BY d) AS part FROM m{before} GROUP BY ALL) n
+    ON n.p = b.p AND n.e = b.e),"""
+
+
+ORACLES["op11_vector_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT vec_id, label, p, v[p * 4 + 1 : p * 4 + 4] AS part FROM kept, range(16) r(p)),
+b0 AS (
+  SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, part FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+{_lloyd_round(1)}{_lloyd_round(2)}
+d AS (
+  SELECT p.vec_id, p.p, p.label, b.e, list_sum(list_transform(list_zip(p.part, b.part),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS away
+  FROM parts p JOIN b2 b ON b.p = p.p),
+n AS (
+  SELECT vec_id, p, label, arg_min(e, away * 64 + e) AS e, min(away) AS away FROM d GROUP BY ALL),
+codes AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code,
+    sum(away)::BIGINT AS error
+  FROM n GROUP BY ALL),
+book AS (
+  SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  codebooks_sha256 FROM codes, book
+"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    named = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(
+        X.remainder(F.col("doc_id"), 5) == 0, merkle.leaf(*named, X.lower_ascii(F.col("text")))
+    )
+    rows = docs.select(
+        F.col("source").alias("group"),
+        F.col("doc_id").alias("key"),
+        merkle.leaf(*named, F.col("text")).alias("leaf"),
+        tampered.alias("changed"),
+    )
+    return merkle.prove(spark, merkle.build(rows)).withColumnRenamed("key", "doc_id")
+
+
+def _merkle_levels(first: str, count: int, name: str) -> str:
+    """SQL of ``count`` levels over ``first`` (tree, idx, size, digest); one node alone stays as it is."""
+    parts = [f"{name}0 AS ({first})"]
+    for level in range(count):
+        below, up = f"{name}{level}", f"{name}{level + 1}"
+        parts.append(f"""{below}r AS (
+  SELECT tree, idx // 16 AS idx, max(size) AS size, list(digest ORDER BY idx) AS ds FROM {below} GROUP BY ALL)""")
+        parts.append(f"""{up} AS (
+  SELECT tree, idx, (size + 15) // 16 AS size,
+    CASE WHEN size = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS digest FROM {below}r)""")
+    return ",\n".join(parts)
+
+
+def _merkle_climb(start: str, levels: list[tuple[str, str, str]]) -> str:
+    """SQL of the steps of each leaf: (runs of a level, tree column, index column) one after the other."""
+    parts = [f"c0 AS ({start})"]
+    for step, (runs, tree, idx) in enumerate(levels):
+        parts.append(f"""c{step + 1} AS (
+  SELECT c.* REPLACE (c.{idx} // 16 AS {idx},
+    CASE WHEN r.size = 1 THEN proof ELSE proof || array_to_string(
+      r.ds[1 : c.{idx} % 16] || r.ds[c.{idx} % 16 + 2 :], '') END AS proof,
+    CASE WHEN r.size = 1 THEN folded ELSE sha256(array_to_string(
+      r.ds[1 : c.{idx} % 16] || [folded] || r.ds[c.{idx} % 16 + 2 :], '')) END AS folded)
+  FROM c{step} c JOIN {runs} r ON r.tree = c.{tree} AND r.idx = c.{idx} // 16)""")
+    return ",\n".join(parts)
+
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+_FIELDS = "concat(" + ", ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+)
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || source, '-') AS tree,
+    sha256({_FIELDS}, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+    CASE WHEN {_CRC32} % 5 = 0 THEN sha256({_FIELDS}, coalesce(strlen(text) || ':' ||
+      translate(text, '{X.UPPER}', '{X.UPPER.lower()}'), '-'))) END AS changed
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS size FROM leaves),
+{_merkle_levels("SELECT tree, idx, size, leaf AS digest FROM placed", 5, "n")},
+{_merkle_levels("""SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx,
+  count(*) OVER () AS size, digest, tree AS of FROM n5""", 3, "t")},
+{_merkle_climb("""SELECT p.doc_id, p.leaf, p.tree, '' AS top, p.idx, t0.idx AS up, t0.digest AS subroot,
+  '' AS proof, coalesce(p.changed, p.leaf) AS folded FROM placed p JOIN t0 ON t0.of = p.tree""",
+  [(f"n{i}r", "tree", "idx") for i in range(5)] + [(f"t{i}r", "top", "up") for i in range(3)])}
+SELECT doc_id, leaf, subroot, t3.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = t3.digest AS verified FROM c8, t3
+"""
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", secret_scan.spans(F.col("text")).alias("found"))
+    base = F.filter("found", lambda s: s["rule"] < len(secret_scan.BASE))
+
+    def count(place: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["rule"] == place)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *(count(i).alias(f"n_{rule.kind}") for i, rule in enumerate(secret_scan.BASE)),
+        hex_sha(secret_scan.spelt(base)).alias("base_sha256"),
+        secret_scan.spelt(F.col("found")).alias("spans"),
+    )
