@@ -65,8 +65,9 @@ def dedup_lines(
         .select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "gone")
     )
     same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("print") == F.col("gone_print"))
-    marked = rows.join(dropped, same, "left").select(
-        "doc", _lines(F.col("text")).alias("lines"), "gone"
+    # The text travels once, within the row.
+    marked = rows.drop("text").join(dropped, same, "left").select(
+        "doc", _lines(F.col(f"doc.`{text}`")).alias("lines"), "gone"
     )
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     kept = X.let(F.col("lines"), lambda all_: F.transform(places, lambda i: F.get(all_, i)))
