@@ -100,7 +100,7 @@ def _flat(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(rows)), sizes)
 
 
-def _slices(rows: pa.Array, words: int = 1 << 20):
+def _slices(rows: pa.Array, words: int = 1 << 17):
     """Runs of rows of about ``words`` words, so that a batch of long texts stays small."""
     ends = np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
@@ -121,9 +121,9 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, s: Settings = Settings
     # A fixed order that has nothing to do with the ids' own.
     order = order[np.random.default_rng(1).permutation(len(order))]
     examples: list[np.ndarray] = []
-    # Small slices and 32-bit indexes: all of this is in the driver's memory at once.
+    # 32-bit indexes: all of this is in the driver's memory at once.
     for chunk in table["words"].chunks:
-        for _, _, part in _slices(chunk, 1 << 17):
+        for _, _, part in _slices(chunk):
             doc, index = features(*_flat(part), s.bits)
             cuts = np.searchsorted(doc, np.arange(1, len(part)))
             examples += np.split(index.astype(np.int32), cuts)
