@@ -204,8 +204,6 @@ def _second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert(batch: DataFrame, target: str) -> DataFrame:
-    if tables.exists(batch.sparkSession, target):
-        batch = tables.overwrite(batch, scratch_path(batch.sparkSession, "batch"))
     return upsert.upsert(
         batch, target, UPSERT_KEY, silver.PARTITIONS, "_row_hash", "l_shipdate"
     )

@@ -1,4 +1,4 @@
-"""Keyed upsert into a partitioned Parquet table."""
+"""Keyed upsert into a partitioned Parquet table: as a frame, and into a stored table by file."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions import expressions as X
-from strata.sources import tables
+from strata.session import scratch_path
+from strata.sources import snapshots, tables
 
 ACTION = "_action"
 CHANGED = ("inserted", "updated")
@@ -87,29 +89,33 @@ def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"the source holds a key ({', '.join(keys)}) more than once")
 
 
-def _staging(target: str) -> str:
-    return f"{target.rstrip('/')}__merged"
-
+def actions(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    hash_column: str,
+    version_column: str,
+    null_safe: bool = True,
+) -> DataFrame:
+    """Key, action and target file of every source row; only keys, hashes and versions are read.
 
-def _finish(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
-    """Move the staged partitions that changed into the target, file by file, without a shuffle."""
-    staging = _staging(target)
-    changed = []
-    if tables.exists(spark, f"{staging}/rows"):
-        staged = tables.read(spark, f"{staging}/rows")
-        changed = partitions_of(staged.where(F.col(ACTION).isin(*CHANGED)), partition_by)
-    if changed:
-        rows = in_partitions(staged, partition_by, changed).drop(ACTION)
-        tables.overwrite_partitions(rows, target, partition_by, spread=False)
-    # The mark goes first: a half-deleted staging must not look finished.
-    tables.drop_path(spark, f"{staging}/done")
-    tables.drop_path(spark, staging)
+    ``target`` is read from files. ``_file`` is the file that holds the row of the key, as
+    ``_metadata.file_path`` spells it, and NULL for a new key.
+    """
+    narrow = [*keys, hash_column, version_column]
+    new = source.select(*narrow).alias("s")
+    old = target.select(*narrow, F.col("_metadata.file_path").alias("_file")).alias("t")
+    newer = (F.col(f"s.{hash_column}") != F.col(f"t.{hash_column}")) & (
+        F.col(f"s.{version_column}") > F.col(f"t.{version_column}")
+    )
+    action = F.when(F.col("_file").isNull(), "inserted").when(newer, "updated").otherwise("unchanged")
+    found = new.join(old, _keys_match(keys, null_safe), "left")
+    return found.select(*[F.col(f"s.{key}") for key in keys], action.alias(ACTION), "_file")
 
 
-def recover(spark: SparkSession, target: str, partition_by: Sequence[str]) -> None:
-    """Complete the swap of a run that died after its merge; nothing to do otherwise."""
-    if tables.path_exists(spark, f"{_staging(target)}/done"):
-        _finish(spark, target, partition_by)
+def _with_keys(rows: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """The rows (not) among the keys of ``found``; NULL keys are equal here, as both sides are the same rows."""
+    return rows.alias("t").join(found.select(*keys).alias("s"), _keys_match(keys, True), how)
 
 
 def upsert(
@@ -120,33 +126,82 @@ def upsert(
     hash_column: str,
     version_column: str,
     null_safe: bool = True,
+    stream: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Merge ``source`` into the table at path ``target``; returns the action counts.
-
-    ``partition_by`` must be a function of the key: only the partitions the source touches are
-    read, and only those with a change are rewritten. The merge is written beside the target
-    first, because Spark cannot overwrite what it reads. If a run dies during the swap, the
-    finished staging is still there and the next run completes it before it merges, so no row
-    is lost. One writer at a time. ``source`` is read twice, so hand in a written batch rather
-    than an expensive plan.
+    """Merge ``source`` into the table at ``target``, a path or a catalog name; returns the action counts.
+
+    ``partition_by`` must be a function of the key: of the target only the partitions the source
+    touches are looked at. A join of keys, hashes and versions finds which *files* hold a row
+    that changes. These files alone are written anew, without their old rows and with the new ones,
+    and one commit swaps them (``snapshots``): a reader sees the table before or after, and a
+    run that dies before its commit has changed nothing. A batch that changes nothing writes nothing.
+
+    The plan of ``source`` is run once, into a staged table. One writer at a time. ``stream`` (name and
+    batch number) is kept with the commit, see ``snapshots.streams``; such a batch always commits.
+    """
+    spark = source.sparkSession
+    path = target if tables.is_path(target) else snapshots.location(spark, target)
+    if path is None:
+        if spark.catalog.tableExists(target):
+            raise ValueError(f"{target} is a table without a commit list; upsert into a new name or its path")
+        path = snapshots.new_location(spark, target)
+    based_on = snapshots.latest(spark, path)
+    if based_on is None and not tables.path_exists(spark, path):
+        counts = _first_load(source, path, keys, partition_by, stream)
+    else:
+        counts = _merge_files(
+            source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream
+        )
+    if path != target:
+        snapshots.publish(spark, target, path, source.columns)
+    return counts
+
+
+def _first_load(source, path, keys, partition_by, stream) -> DataFrame:
+    """Written in place, then looked at, then committed: the source plan is run once.
+
+    A commit of no files comes first, so files of a run that died here are never taken for a table.
     """
     spark = source.sparkSession
-    if not tables.is_path(target):
-        raise ValueError("upsert needs a path table; register a catalog table on its location")
-    staging = _staging(target)
-    recover(spark, target, partition_by)
-    if not tables.exists(spark, target):
-        require_unique(source, keys)
-        written = tables.overwrite(source, target, partition_by)
-        return action_counts(written.withColumn(ACTION, F.lit("inserted")))
-    current = tables.read(spark, target, source.schema)
-    require_unique(source, keys)
-    touched = in_partitions(current, partition_by, partitions_of(source, partition_by))
-    merged = merge(touched, source, keys, hash_column, version_column, null_safe)
-    staged = tables.overwrite(merged, f"{staging}/rows", partition_by)
-    staged_counts = action_counts(staged)
-    counts = staged_counts.collect()
-    summary = tables.inline_rows(spark, counts, staged_counts.schema)
-    tables.overwrite(summary, f"{staging}/done")
-    _finish(spark, target, partition_by)
-    return summary
+    empty = snapshots.commit(spark, path, snapshots.no_files(spark), None)
+    files = snapshots.append_files(source, path, partition_by)
+    paths = [row.path for row in files.select("path").collect()]
+    written = snapshots.read_files(spark, path, paths, source.schema)
+    require_unique(written, keys)
+    snapshots.commit(spark, path, files, empty, stream)
+    return _summary(spark, {"inserted": written.count()})
+
+
+def _merge_files(
+    source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream
+) -> DataFrame:
+    spark = source.sparkSession
+    batch = tables.overwrite(source, scratch_path(spark, "upsert-batch"))
+    current = tables.read(spark, path, source.schema)
+    touched = in_partitions(current, partition_by, partitions_of(batch, partition_by))
+    found = actions(touched, batch, keys, hash_column, version_column, null_safe)
+    found = tables.overwrite(found, scratch_path(spark, "upsert-actions"))
+    require_unique(found, keys)
+    counts = {row.action: row.row_count for row in action_counts(found).collect()}
+    matched = counts.get("updated", 0) + counts.get("unchanged", 0)
+    counts["kept"] = touched.count() - matched
+    valid = snapshots.files(spark, path)
+    if any(counts.get(action) for action in CHANGED):
+        updated = found.where(F.col(ACTION) == "updated")
+        # Files, never rows: at most the file index of the table.
+        stale = updated.select(F.col("_file").alias("file")).distinct().join(valid, "file")
+        stale = tables.overwrite(stale.select("file", "path"), scratch_path(spark, "upsert-files"))
+        old = snapshots.read_files(spark, path, [row.path for row in stale.collect()], source.schema)
+        fresh = _with_keys(batch, found.where(F.col(ACTION).isin(*CHANGED)), keys, "left_semi")
+        rest = _with_keys(old, updated, keys, "left_anti")
+        added = snapshots.append_files(rest.unionByName(fresh), path, partition_by)
+        valid = valid.join(stale, "file", "left_anti").unionByName(added)
+    elif stream is None:
+        return _summary(spark, counts)
+    snapshots.commit(spark, path, valid, based_on, stream)
+    return _summary(spark, counts)
+
+
+def _summary(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    schema = T.StructType([T.StructField("action", T.StringType()), T.StructField("row_count", T.LongType())])
+    return tables.inline_rows(spark, [(k, n) for k, n in sorted(counts.items()) if n], schema)

@@ -15,7 +15,6 @@ from strata import trips
 from strata.functions import expressions as X
 from strata.operators import dedup, rules, upsert
 from strata.operators.normalize import normalize, with_month
-from strata.session import scratch_path
 from strata.sources import tables
 from strata.specs import Rule
 
@@ -94,8 +93,8 @@ def run(
 ) -> DataFrame:
     """Bronze to silver; returns the metrics row of this run.
 
-    Three scans of bronze: one writes the rejected rows, one the clean batch, one counts the rows read
-    and the valid ones. The other counts come from the files just written (their footers), not
+    ``target`` holds paths or catalog names. Three scans of bronze: one writes the rejected rows, one the
+    clean batch, one counts the rows read and the valid ones. The other counts come from the files just written (their footers), not
     from accumulators, so a lost executor or a repeated task cannot count a row twice.
 
     ``rows_clean`` is the whole clean table after the merge. Quarantine holds this run only.
@@ -103,28 +102,14 @@ def run(
     spark = bronze.sparkSession
     run_id, started_at = str(uuid.uuid4()), dt.datetime.now(dt.timezone.utc)
     checks = trips.trip_rules() if checks is None else checks
-    if not tables.is_path(target.clean):
-        # Refused before anything is written; the upsert could not merge into it next time.
-        raise ValueError("the clean table must be a path table; register it in the catalog by path")
     load_time = F.lit(started_at) if load_time is None else load_time
     rows = normalized_trips(bronze, load_time)
     rejected = tables.overwrite(rules.quarantine(rows, checks), target.quarantine, PARTITIONS)
     unique = clean_batch(rows, checks)
-    upsert.recover(spark, target.clean, PARTITIONS)
-    if tables.exists(spark, target.clean):
-        # Written once, without a layout: the merge reads it twice and shuffles it anyway.
-        batch = tables.overwrite(unique, scratch_path(spark, "clean-batch"))
-        upsert.upsert(
-            batch,
-            target.clean,
-            trips.TRIP_KEY,
-            PARTITIONS,
-            trips.ROW_HASH,
-            trips.LOADED_AT,
-            null_safe,
-        )
-    else:
-        batch = tables.overwrite(unique, target.clean, PARTITIONS)
+    merged = upsert.upsert(
+        unique, target.clean, trips.TRIP_KEY, PARTITIONS, trips.ROW_HASH, trips.LOADED_AT, null_safe
+    )
+    batch = sum(row.row_count for row in merged.collect() if row.action != "kept")
     # Measured in one pass, not a remainder: a row lost on the way would else pass as a duplicate.
     rows_in, valid = rows.agg(F.count("*"), F.count_if(rules.valid(checks))).first()
     quarantined = rejected.count()
@@ -132,9 +117,9 @@ def run(
         raise RuntimeError(f"{rows_in} rows read, but {valid} valid and {quarantined} rejected")
     counts = RunCounts(
         rows_in=rows_in,
-        rows_clean=tables.read(spark, target.clean, batch.schema).count(),
+        rows_clean=tables.read(spark, target.clean, unique.schema).count(),
         rows_quarantined=quarantined,
-        rows_deduped=valid - batch.count(),
+        rows_deduped=valid - batch,
     )
     finished_at = dt.datetime.now(dt.timezone.utc)
     row = metrics_row(run_id, started_at, finished_at, bronze_table, counts, rejected)

@@ -1,4 +1,7 @@
-"""Tables by path (``/a/b``, ``s3://...``) or by catalog name (``db.table``), stored as Parquet."""
+"""Tables by path (``/a/b``, ``s3://...``) or by catalog name (``db.table``), stored as Parquet.
+
+A path table with a commit list (``snapshots``) is read as of its newest commit.
+"""
 
 from __future__ import annotations
 
@@ -17,21 +20,26 @@ def is_path(target: str) -> bool:
     return "/" in target
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds anything but hidden files (a failed first write leaves only those)."""
-    files, path = _hadoop_path(spark, path)
+    files, path = hadoop_path(spark, path)
     if not files.exists(path):
         return False
     return any(entry.getPath().getName()[0] not in "._" for entry in files.listStatus(path))
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    files, path = hadoop_path(spark, path)
+    return files.exists(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
-    files, path = _hadoop_path(spark, path)
+    files, path = hadoop_path(spark, path)
     files.delete(path, True)
 
 
@@ -45,11 +53,16 @@ def read(
     schema: T.StructType | str | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
-    """The table. For a path table, a known ``schema`` saves the job that looks for it.
+    """The table; one with a commit list as of its newest commit.
+
+    For a path table, a known ``schema`` saves the job that looks for it.
 
     ``merge_schema`` is for files that may differ in columns. It reads the footer of every file
     first (as a job), so it is for bronze only: all other tables are written with one schema.
     """
+    path = target if is_path(target) else snapshots.location(spark, target)
+    if path is not None and (commit := snapshots.latest(spark, path)) is not None:
+        return snapshots.read(spark, path, schema, commit)
     if not is_path(target):
         return spark.table(target)
     if schema is not None:
@@ -136,3 +149,6 @@ def overwrite_partitions(
             rows.write.mode("overwrite").insertInto(target)
         finally:
             spark.conf.set(_OVERWRITE_MODE, mode)
+
+
+from strata.sources import snapshots  # noqa: E402  (it builds on this module)

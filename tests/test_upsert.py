@@ -1,8 +1,10 @@
 import pytest
 from helpers import plan_of, rows_of, same
 
+from pyspark.sql import functions as F
+
 from strata.operators import upsert
-from strata.sources import tables
+from strata.sources import snapshots, tables
 
 SCHEMA = "k int, v string, h string, ts int, year int, month int"
 ARGS = (["k"], ["year", "month"], "h", "ts")
@@ -78,22 +80,105 @@ def test_only_touched_partitions_are_read_and_rewritten(spark, folder):
     assert after.count() == 5
 
 
-def test_a_run_that_died_during_the_swap_is_completed(spark, folder, monkeypatch):
+def data_files(spark, target):
+    return {r.path for r in snapshots.listed(spark, target).collect()}
+
+
+def test_a_run_that_dies_before_its_commit_changes_nothing(spark, folder, monkeypatch):
     target = f"{folder}/t"
     upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    before = rows_of(tables.read(spark, target), "k", "v", "ts")
 
     def die(*args, **kwargs):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(upsert, "_finish", die)
+        patch.setattr(snapshots, "commit", die)
         with pytest.raises(RuntimeError):
             upsert.upsert(batch(spark, *SECOND), target, *ARGS)
-    # The swap may have removed a partition before it died.
-    tables.drop_path(spark, f"{target}/year=2024/month=1")
-    upsert.upsert(batch(spark, (6, "f", "h6", 1, 2024, 4)), target, *ARGS)
-    wanted = sorted([*MERGED, (6, "f", 1)], key=repr)
-    assert rows_of(tables.read(spark, target), "k", "v", "ts") == wanted
+    # Its files are there, but no reader takes them for the table.
+    assert len(data_files(spark, target)) > snapshots.files(spark, target).count()
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == before
+    upsert.upsert(batch(spark, *SECOND), target, *ARGS)
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == sorted(MERGED, key=repr)
+    snapshots.vacuum(spark, target, keep=1)
+    assert data_files(spark, target) == {r.path for r in snapshots.files(spark, target).collect()}
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == sorted(MERGED, key=repr)
+
+
+def test_a_first_load_that_dies_leaves_no_table_to_merge_with(spark, folder, monkeypatch):
+    target, twice = f"{folder}/t", batch(spark, *FIRST, FIRST[0])
+    with pytest.raises(ValueError):
+        upsert.upsert(twice, target, *ARGS)
+    assert counts(upsert.upsert(batch(spark, *FIRST), target, *ARGS)) == {"inserted": 5}
+    assert tables.read(spark, target).count() == 5
+
+
+def test_an_unchanged_rerun_writes_nothing(spark, folder):
+    target = f"{folder}/t"
+    upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    commit, files = snapshots.latest(spark, target), data_files(spark, target)
+    upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    assert (snapshots.latest(spark, target), data_files(spark, target)) == (commit, files)
+
+
+def test_only_the_files_that_change_are_rewritten(spark, folder):
+    """Two files in one month; the change is in one of them."""
+    target = f"{folder}/t"
+    upsert.upsert(batch(spark, (1, "a", "h1", 1, 2024, 1)), target, *ARGS)
+    upsert.upsert(batch(spark, (2, "b", "h2", 1, 2024, 1)), target, *ARGS)
+    first = {r.k: r.f for r in tables.read(spark, target).select("k", F.col("_metadata.file_path").alias("f")).collect()}
+    assert len(set(first.values())) == 2
+    upsert.upsert(batch(spark, (1, "A", "H1", 2, 2024, 1)), target, *ARGS)
+    now = {r.k: r.f for r in tables.read(spark, target).select("k", F.col("_metadata.file_path").alias("f")).collect()}
+    assert now[2] == first[2] and now[1] != first[1]
+    assert rows_of(tables.read(spark, target), "k", "v") == [(1, "A"), (2, "b")]
+
+
+def test_the_join_that_finds_the_files_reads_keys_hashes_and_versions_only(spark, folder):
+    target = f"{folder}/t"
+    upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    plan = plan_of(upsert.actions(tables.read(spark, target), batch(spark, *SECOND), ["k"], "h", "ts"))
+    assert "ReadSchema: struct<k:int,h:string,ts:int>" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_reader_sees_one_commit_while_another_run_commits(spark, folder):
+    target = f"{folder}/t"
+    upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    reader = tables.read(spark, target)
+    upsert.upsert(batch(spark, *SECOND), target, *ARGS)
+    assert rows_of(reader, "k", "v") == sorted([r[:2] for r in FIRST], key=repr)
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == sorted(MERGED, key=repr)
+    with pytest.raises(RuntimeError):  # a run that began before the last commit
+        snapshots.commit(spark, target, snapshots.files(spark, target), None)
+
+
+def test_a_plain_table_becomes_one_with_commits(spark, folder):
+    target = f"{folder}/t"
+    tables.overwrite(batch(spark, *FIRST), target, ["year", "month"])
+    assert counts(upsert.upsert(batch(spark, *SECOND), target, *ARGS))["updated"] == 2
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == sorted(MERGED, key=repr)
+
+
+def test_catalog_name(spark):
+    tables.ensure_database(spark, "strata_upsert")
+    name = "strata_upsert.lines"
+    try:
+        assert counts(upsert.upsert(batch(spark, *FIRST), name, *ARGS)) == {"inserted": 5}
+        assert counts(upsert.upsert(batch(spark, *SECOND), name, *ARGS))["updated"] == 2
+        for rows in (tables.read(spark, name), spark.table(name), spark.sql(f"SELECT * FROM {name}")):
+            assert rows_of(rows, "k", "v", "ts") == sorted(MERGED, key=repr)
+        commit = snapshots.latest(spark, snapshots.location(spark, name))
+        assert counts(upsert.upsert(batch(spark, *SECOND), name, *ARGS)) == {"unchanged": 5, "kept": 1}
+        assert snapshots.latest(spark, snapshots.location(spark, name)) == commit
+        tables.overwrite(batch(spark, *FIRST), "strata_upsert.plain")
+        with pytest.raises(ValueError):
+            upsert.upsert(batch(spark, *SECOND), "strata_upsert.plain", *ARGS)
+    finally:
+        path = snapshots.location(spark, name)
+        spark.sql("DROP DATABASE strata_upsert CASCADE")
+        tables.drop_path(spark, path)
 
 
 def test_the_null_safe_join_is_an_equi_join(spark):
