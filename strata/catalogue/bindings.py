@@ -53,7 +53,8 @@ def _no_value(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_trips(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Order lines as trips; ``more`` are further columns as SQL text."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -86,6 +87,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _no_value("double").alias("congestion_surcharge"),
         _no_value("double").alias("Airport_fee"),
         F.lit("lineitem").alias("_source_file"),
+        *map(F.expr, more),
     )
 
 

@@ -235,6 +235,15 @@ def _count_rules(rules: dict[str, str], columns: str = "", source: str = "norm")
     )
 
 
+_CAST_CODES = _codes({"passenger_count_cast": "NOT lost", **_ORDER_RULES})
+ORACLES["quarantine_casts"] = f"""WITH {_ORDER_TRIPS.replace(
+    "l_quantity AS passenger_raw", "CASE WHEN l_linenumber = 1 THEN l_orderkey * 1e6 ELSE l_quantity END AS passenger_raw"
+)}, lines AS (SELECT * REPLACE (CASE WHEN passenger_raw < 2147483648 THEN passenger_raw END AS passenger_raw),
+  passenger_raw >= 2147483648 AS lost FROM raw),
+{_NORMALIZED.replace("_source_file,", "_source_file, lost,").replace("FROM raw)", "FROM lines)")}
+SELECT pickup_datetime, dropoff_datetime, fare_amount, passenger_count,
+       {_CAST_CODES} AS validation_failures
+FROM norm WHERE lost OR NOT ({_valid(_ORDER_RULES)})"""
 ORACLES["rule_counts"] = f"WITH {_ORDERS} {_count_rules(_ORDER_RULES)}"
 ORACLES["derived_measures"] = f"""WITH {_silver(_EVENT_TRIPS, {'all': 'true'})}, {_MEASURES}
 SELECT pickup_datetime, trip_duration_seconds, trip_speed_mph, tip_percentage, pickup_hour,
@@ -636,12 +645,27 @@ ORACLES["check_grain"] = f"{_GRAIN} " + " UNION ALL ".join(
         _bound("hourly mart within its grain", "zones * 7 * 24", "hourly"),
     ]
 )
-ORACLES["check_idempotent"] = f"WITH dim AS ({_CUSTOMERS}) " + _check(
-    "customer keys are the same on a rerun",
-    "0",
-    "count(*) - count(customer_sk)",
-    "count(*) = count(customer_sk)",
-    "dim",
+_DIMENSIONS = {
+    "dim_zones": ("borough", "location_id", "service_zone", "zone_name", "zone_sk"),
+    "dim_date": (
+        "date_sk", "day_name", "day_of_month", "day_of_week", "full_date", "is_weekend", "month",
+        "month_name", "quarter", "year",
+    ),
+    "dim_payment_type": ("payment_type_description", "payment_type_id", "payment_type_sk"),
+    "dim_rate_code": ("rate_code_description", "rate_code_id", "rate_code_sk"),
+    "dim_vendor": ("vendor_id", "vendor_name", "vendor_sk"),
+}
+
+
+def _print(columns: tuple[str, ...]) -> str:
+    row = "concat_ws('||', " + ", ".join(f"coalesce({c}::VARCHAR, '∅')" for c in columns) + ")"
+    return f"count(*) || ':' || sum(('0x' || substr(md5({row}), 1, 15))::BIGINT)"
+
+
+ORACLES["check_idempotent"] = f"""WITH {_ZONES}, {_LOOKUPS},
+{_dates("TIMESTAMP '1995-01-01'", "TIMESTAMP '2001-12-31'")} """ + " UNION ALL ".join(
+    _check(f"{name} is the same on a rerun", _print(columns), _print(columns), "true", name)
+    for name, columns in _DIMENSIONS.items()
 )
 ORACLES["reconcile_counts"] = f"""{_ORDER_STAR}, n AS (
   SELECT (SELECT count(*) FROM lineitem) AS source, (SELECT count(*) FROM norm) AS rows_,

@@ -20,16 +20,36 @@ def default_member(
     return tuple(given.get(field.name) for field in schema)
 
 
+def require_keys(rows: DataFrame, natural_key: str) -> int:
+    """The number of rows; raises unless the natural key is unique, never NULL, and never 0.
+
+    A repeated key would multiply the fact's rows, and 0 is the default member's.
+    """
+    counted = rows.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct(natural_key).alias("keys"),
+        F.count_if(F.col(natural_key).isNull()).alias("nulls"),
+        F.count_if(F.col(natural_key) == 0).alias("zeros"),
+    ).first()
+    if counted.nulls or counted.zeros or counted["rows"] != counted["keys"]:
+        raise ValueError(f"{natural_key} is not a key: {counted.asDict()}")
+    return counted["rows"]
+
+
 def dimension(
     members: DataFrame,
     natural_key: str,
     surrogate_key: str,
     description: str,
     text: str,
-    known_rows: int | None = None,
+    checked_rows: int | None = None,
 ) -> DataFrame:
-    """Number the members by their natural key and add the default member."""
-    keyed = dense_key(members, natural_key, surrogate_key, known_rows)
+    """Number the members by their natural key and add the default member.
+
+    The key is checked first; ``checked_rows`` is the result of a ``require_keys`` already made.
+    """
+    known = require_keys(members, natural_key) if checked_rows is None else checked_rows
+    keyed = dense_key(members, natural_key, surrogate_key, known)
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in keyed.schema])
     row = default_member(nullable, surrogate_key, natural_key, description, text)
     return tables.inline_rows(members.sparkSession, [row], nullable).unionByName(keyed)

@@ -7,11 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.specs import Column as Spec
 from strata.specs import Rule
 
 FAILURES = "validation_failures"
 
 
+def cast_rules(columns: Sequence[Spec]) -> tuple[Rule, ...]:
+    """One rule per cast column: its value was not lost in the cast.
+
+    They need the flags of ``normalize(..., track_casts=True)``. Without them a number out of range would
+    pass as a NULL that was read.
+    """
+    return tuple(Rule(f"{c.name}_cast", (), f"NOT `{c.lost}`") for c in columns if c.cast)
+
+
+def without_flags(df: DataFrame, columns: Sequence[Spec]) -> DataFrame:
+    """Drop the flags of the cast rules, which are never stored."""
+    return df.drop(*[c.lost for c in columns])
+
+
 def valid(rules: Sequence[Rule]) -> Column:
     """The row passes every rule."""
     return F.expr(" AND ".join(f"({rule.passes})" for rule in rules) or "true")

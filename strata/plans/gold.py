@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -10,7 +11,13 @@ from pyspark.sql import functions as F
 
 from strata import trips
 from strata.operators import checks, marts
-from strata.operators.dimensions import date_dimension, days, dimension, lookup_dimension
+from strata.operators.dimensions import (
+    date_dimension,
+    days,
+    dimension,
+    lookup_dimension,
+    require_keys,
+)
 from strata.operators.fact import Dimension, build_fact, within
 from strata.sources import tables
 from strata.specs import Calendar
@@ -31,16 +38,16 @@ class GoldTables:
         return f"{self.base}/{name}" if tables.is_path(self.base) else f"{self.base}.{name}"
 
 
-def zone_dimension(zones: DataFrame, known_rows: int | None = None) -> DataFrame:
-    return dimension(zones, "location_id", "zone_sk", "zone_name", trips.NOT_PROVIDED, known_rows)
+def zone_dimension(zones: DataFrame, checked_rows: int | None = None) -> DataFrame:
+    return dimension(zones, "location_id", "zone_sk", "zone_name", trips.NOT_PROVIDED, checked_rows)
 
 
 def trip_dimensions(
     spark: SparkSession, zones: DataFrame, calendar: Calendar
 ) -> dict[str, Dimension]:
     """All five dimensions as frames; ``zones`` is the zone lookup."""
-    # Counted once, for the numbering and for every join.
-    n_zones = zones.count()
+    # Checked and counted once, for the numbering and for every join.
+    n_zones = require_keys(zones, "location_id")
     zone_rows = zone_dimension(zones, n_zones)
     date_rows = date_dimension(days(spark, calendar))
     built = {
@@ -55,21 +62,6 @@ def trip_dimensions(
     return built
 
 
-def require_keys(rows: DataFrame, natural_key: str) -> None:
-    """Raise unless the natural key is unique, never NULL, and not 0, which is the default member's.
-
-    A repeated key would multiply the fact's rows, so this comes before the numbering.
-    """
-    counted = rows.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct(natural_key).alias("keys"),
-        F.count_if(F.col(natural_key).isNull()).alias("nulls"),
-        F.count_if(F.col(natural_key) == 0).alias("zeros"),
-    ).first()
-    if counted.nulls or counted.zeros or counted["rows"] != counted["keys"]:
-        raise ValueError(f"{natural_key} of the lookup is not a key: {counted.asDict()}")
-
-
 def write_dimensions(dims: Mapping[str, Dimension], gold: GoldTables) -> dict[str, Dimension]:
     """Write the dimensions; returns them as written."""
     return {
@@ -104,6 +96,17 @@ def dimension_checks(dims: Mapping[str, Dimension]) -> DataFrame:
     return result
 
 
+def rerun_checks(stored: Mapping[str, Dimension], again: Mapping[str, Dimension]) -> DataFrame:
+    """Every dimension is the same on a rerun: keys, labels and number of rows."""
+    return functools.reduce(
+        DataFrame.unionByName,
+        [
+            checks.same_fingerprint(f"{name} is the same on a rerun", dim.rows, again[name].rows)
+            for name, dim in stored.items()
+        ],
+    )
+
+
 def write_fact(fact: DataFrame, gold: GoldTables) -> DataFrame:
     return tables.overwrite(fact, gold.named("fct_trips"), FACT_PARTITIONS)
 
@@ -184,7 +187,6 @@ def run(
     spark = silver.sparkSession
     if not tables.is_path(gold.base):
         tables.ensure_database(spark, gold.base)
-    require_keys(zones, "location_id")
     dims = write_dimensions(trip_dimensions(spark, zones, calendar), gold)
     fact = write_fact(build_fact(silver, dims, calendar), gold)
     daily = tables.overwrite(

@@ -42,10 +42,13 @@ class SilverTables:
 
 
 def normalized_trips(
-    raw: DataFrame, load_time: Column | None = None, columns=trips.TRIP_COLUMNS
+    raw: DataFrame,
+    load_time: Column | None = None,
+    columns=trips.TRIP_COLUMNS,
+    track_casts: bool = False,
 ) -> DataFrame:
     rows = normalize(
-        raw, columns, trips.START, trips.END, trips.DURATION, trips.LOADED_AT, load_time
+        raw, columns, trips.START, trips.END, trips.DURATION, trips.LOADED_AT, load_time, track_casts
     )
     return with_month(rows, trips.START)
 
@@ -57,7 +60,7 @@ def with_row_hash(df: DataFrame, skip: Sequence[str] = trips.HASH_SKIP) -> DataF
 
 def clean_batch(normalized: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     """The valid rows, one per key, with their hash."""
-    valid = rules.clean(normalized, checks)
+    valid = rules.without_flags(rules.clean(normalized, checks), trips.TRIP_COLUMNS)
     return with_row_hash(dedup.latest_per_key(valid, trips.TRIP_KEY, trips.LOADED_AT))
 
 
@@ -94,17 +97,19 @@ def run(
     """Bronze to silver; returns the metrics row of this run.
 
     ``target`` holds paths or catalog names. Three scans of bronze: one writes the rejected rows, one the
-    clean batch, one counts the rows read and the valid ones. The other counts come from the files just written (their footers), not
+    clean batch, one counts the rows read and the valid ones. A value that its type cannot hold fails
+    the row by a rule of its own (``rules.cast_rules``), before ``checks``. The other counts come from the files just written (their footers), not
     from accumulators, so a lost executor or a repeated task cannot count a row twice.
 
     ``rows_clean`` is the whole clean table after the merge. Quarantine holds this run only.
     """
     spark = bronze.sparkSession
     run_id, started_at = str(uuid.uuid4()), dt.datetime.now(dt.timezone.utc)
-    checks = trips.trip_rules() if checks is None else checks
+    checks = (*rules.cast_rules(trips.TRIP_COLUMNS), *(trips.trip_rules() if checks is None else checks))
     load_time = F.lit(started_at) if load_time is None else load_time
-    rows = normalized_trips(bronze, load_time)
-    rejected = tables.overwrite(rules.quarantine(rows, checks), target.quarantine, PARTITIONS)
+    rows = normalized_trips(bronze, load_time, track_casts=True)
+    bad = rules.without_flags(rules.quarantine(rows, checks), trips.TRIP_COLUMNS)
+    rejected = tables.overwrite(bad, target.quarantine, PARTITIONS)
     unique = clean_batch(rows, checks)
     merged = upsert.upsert(
         unique, target.clean, trips.TRIP_KEY, PARTITIONS, trips.ROW_HASH, trips.LOADED_AT, null_safe

@@ -26,6 +26,11 @@ def select_list(columns: Sequence[Column]) -> list[str]:
     ]
 
 
+def lost_cast(c: Column) -> str:
+    """SQL text of "the source has a value and its cast has none"; never NULL."""
+    return f"(`{c.source}` IS NOT NULL AND try_cast(`{c.source}` AS {c.cast}) IS NULL)"
+
+
 def first_available(
     spark: SparkSession, path: str, table: str, columns: Sequence[Column]
 ) -> tuple[DataFrame | None, str | None]:

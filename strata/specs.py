@@ -17,6 +17,11 @@ class Column:
     name: str
     cast: str | None = None
 
+    @property
+    def lost(self) -> str:
+        """The name of the flag "the cast lost a value"."""
+        return f"_lost_{self.name}"
+
 
 @dataclass(frozen=True)
 class Rule:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata import trips
 from strata.operators import checks, marts, profile
-from strata.operators.dimensions import date_dimension, days, key_sample, lookup_dimension
+from strata.operators.dimensions import date_dimension, days, dimension, key_sample, lookup_dimension
 from strata.operators.fact import Dimension, build_fact, resolve_labels, within
 from strata.operators.joins import lookup_join
 from strata.operators.keys import dense_key
@@ -292,6 +292,13 @@ def test_checks(spark):
     assert checks.sum_checks(empty, empty, ["v"], 0.01).first().passed
     assert checks.same_rows("r", left, left).first().passed
     assert not checks.same_rows("r", left, left.limit(2)).first().passed
+    assert checks.same_fingerprint("f", left, left.repartition(3)).first().passed
+    changed = left.withColumn("v", F.when(F.col("k") == 1, F.lit(9.5)).otherwise(F.col("v")))
+    report = checks.same_fingerprint("f", left, changed).first()
+    assert not report.passed and report.expected != report.actual
+    assert not checks.same_fingerprint("f", left, left.unionAll(left)).first().passed
+    assert checks.same_fingerprint("f", left.where("false"), left.where("false")).first().passed
+    assert "hashpartitioning" not in plan_of(checks.same_fingerprint("f", left, left))
     difference = checks.set_difference(left.select("k"), spark.createDataFrame([(2,), (4,)], "k int"))
     assert rows_of(difference, "k", "status") == [
         (1, "unexpected"), (4, "missing"), (None, "unexpected"),
@@ -345,3 +352,6 @@ def test_a_lookup_whose_id_is_no_key_is_refused(spark, ids):
     rows = spark.createDataFrame([(i,) for i in ids], "location_id int")
     with pytest.raises(ValueError):
         gold.require_keys(rows, "location_id")
+    named = rows.withColumn("zone_name", F.lit("z"))
+    with pytest.raises(ValueError):
+        dimension(named, "location_id", "zone_sk", "zone_name", "none")

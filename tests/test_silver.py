@@ -34,6 +34,25 @@ def test_bad_number_becomes_null_instead_of_an_error(spark):
     assert normalized(spark, {"passenger_count": float("nan")}).first().passenger_count is None
 
 
+@pytest.mark.parametrize(
+    "change, code",
+    [
+        ({"passenger_count": float("nan")}, "invalid_passenger_count_cast"),
+        ({"passenger_count": 1e10}, "invalid_passenger_count_cast"),
+        ({"RatecodeID": -1e300}, "invalid_rate_code_id_cast"),
+        ({"payment_type": 2**40}, "invalid_payment_type_cast"),
+    ],
+)
+def test_a_value_lost_in_a_cast_fails_its_row(spark, folder, change, code):
+    target = silver.SilverTables(f"{folder}/clean", f"{folder}/bad", f"{folder}/metrics")
+    rows = raw_trips(spark, {}, change, {"RatecodeID": None, "passenger_count": None, "VendorID": 2})
+    ran = silver.run(rows, target, "trips", load_time=at(NOW)).first()
+    assert (ran.rows_clean, ran.rows_quarantined, ran.rules_failed) == (2, 1, {code: 1})
+    bad = tables.read(spark, target.quarantine)
+    assert rows_of(bad, rules.FAILURES) == [([code],)]
+    assert not [c for c in (*bad.columns, *tables.read(spark, target.clean).columns) if "_lost_" in c]
+
+
 @pytest.mark.parametrize(
     "change, expected",
     [
