@@ -629,6 +629,7 @@ _GRAIN = f"""{_HOURLY}, daily AS (
 n AS (
   SELECT (SELECT count(*) FROM fact) AS fact, (SELECT count(*) FROM daily) AS daily,
          (SELECT count(*) FROM hourly) AS hourly, (SELECT count(*) FROM dim_zones) AS zones,
+         (SELECT count(*) FROM (SELECT DISTINCT pickup_date_sk, pickup_hour, pickup_zone_sk FROM fact)) AS slots,
          (SELECT count(*) FROM dim_date) AS days)"""
 
 
@@ -636,13 +637,16 @@ def _bound(name: str, bound: str, actual: str) -> str:
     return _check(name, f"'<= ' || ({bound})", actual, f"{actual} <= {bound}", "n")
 
 
-ORACLES["check_grain"] = f"{_GRAIN} " + " UNION ALL ".join(
+_GRAIN_ROWS = " UNION ALL ".join(
     [
         _check("daily mart is not empty", "'> 0'", "daily", "daily > 0", "n"),
         _bound("daily mart within its grain", "zones * days", "daily"),
         _bound("daily mart within the fact", "fact", "daily"),
+        _check("daily mart as computed", "daily", "daily", "true", "n"),
         _check("hourly mart is not empty", "'> 0'", "hourly", "hourly > 0", "n"),
         _bound("hourly mart within its grain", "zones * 7 * 24", "hourly"),
+        _bound("hourly slots within the fact", "fact", "slots"),
+        _bound("hourly mart within its slots", "slots", "hourly"),
     ]
 )
 _DIMENSIONS = {
@@ -662,6 +666,60 @@ def _print(columns: tuple[str, ...]) -> str:
     return f"count(*) || ':' || sum(('0x' || substr(md5({row}), 1, 15))::BIGINT)"
 
 
+ORACLES["check_grain"] = f"{_GRAIN} {_GRAIN_ROWS}"
+ORACLES["marts_refreshed"] = f"{_DAILY} SELECT * FROM daily"
+_KEYS = {
+    "dim_zones": ("zone_sk", "location_id"),
+    "dim_date": ("date_sk", "full_date"),
+    "dim_payment_type": ("payment_type_sk", "payment_type_id"),
+    "dim_rate_code": ("rate_code_sk", "rate_code_id"),
+    "dim_vendor": ("vendor_sk", "vendor_id"),
+}
+_KNOWN_ROWS = {"dim_date": "366", "dim_payment_type": "7", "dim_rate_code": "7", "dim_vendor": "3"}
+
+
+def _dimension_checks(name: str) -> list[str]:
+    sk, nk = _KEYS[name]
+    known = _KNOWN_ROWS.get(name, "(SELECT count(*) + 1 FROM nation)")
+    unique = [
+        _check(f"{name}: {c} is unique", "count(*)", f"count(DISTINCT {c})", f"count(*) = count(DISTINCT {c})", name)
+        for c in (sk, nk)
+    ]
+    return [
+        _check(f"{name}: {sk} is not null", "0", f"count(*) - count({sk})", f"count(*) = count({sk})", name),
+        *unique,
+        _check(f"{name}: row count", known, "count(*)", f"count(*) = {known}", name),
+    ]
+
+
+def _fact_checks() -> list[str]:
+    """Silver lies within the calendar wholly or in part: ``i`` is its part inside."""
+    lost = "(SELECT count(*) FROM silver) - count(*)"
+    inside = "(SELECT count(*) FROM i)"
+    nulls = [
+        _check(f"{c} is not null", "0", f"count(*) - count({c})", f"count(*) = count({c})", "fact")
+        for c in _FACT_KEYS
+    ]
+    sums = []
+    for c in ("fare_amount", "tip_amount", "total_amount"):
+        left, right = f"(SELECT {_fixed(c)} FROM i)", _fixed(c)
+        spelt = [f"CAST({side} AS DECIMAL(38,2))" for side in (left, right)]
+        sums.append(_check(f"sum of {c}", *spelt, f"abs({left} - {right}) < 0.01", "fact"))
+    return [
+        _check("rows lost at the calendar edge", "'0..100'", lost, f"{lost} BETWEEN 0 AND 100", "fact"),
+        _check("fact as computed", inside, "count(*)", f"count(*) = {inside}", "fact"),
+        *nulls,
+        *sums,
+    ]
+
+
+_INSIDE = """i AS (SELECT * FROM silver WHERE pickup_datetime >= TIMESTAMP '2024-01-01'
+  AND pickup_datetime < TIMESTAMP '2025-01-01')"""
+ORACLES["gold_checks"] = " UNION ALL ".join(
+    [f"{_GRAIN}, {_INSIDE} " + _GRAIN_ROWS]
+    + [row for name in _KEYS for row in _dimension_checks(name)]
+    + _fact_checks()
+)
 ORACLES["check_idempotent"] = f"""WITH {_ZONES}, {_LOOKUPS},
 {_dates("TIMESTAMP '1995-01-01'", "TIMESTAMP '2001-12-31'")} """ + " UNION ALL ".join(
     _check(f"{name} is the same on a rerun", _print(columns), _print(columns), "true", name)
@@ -734,10 +792,25 @@ _MONTHS = """CAST(year(o_orderdate) AS INTEGER) AS year,
 ORACLES["ingest_bronze"] = f"""
 SELECT o_orderkey, o_totalprice, {_MONTHS}, 'batch-1' AS _ingestion_batch_id FROM orders"""
 ORACLES["file_manifest"] = f"""
-SELECT DISTINCT {_MONTHS}, true AS all_sized, true AS all_keyed FROM orders"""
+SELECT {_MONTHS}, CAST(1 AS BIGINT) AS files, true AS all_sized, count(*) AS row_count FROM orders
+GROUP BY ALL"""
 ORACLES["pending_files"] = f"""
-SELECT DISTINCT {_MONTHS}, CASE WHEN year(o_orderdate) = 1996 THEN 'pending' ELSE 'loaded' END
-  AS status, CAST(1 AS BIGINT) AS months FROM orders"""
+SELECT {_MONTHS}, CAST(1 AS BIGINT) AS files FROM orders WHERE year(o_orderdate) = 1996 GROUP BY ALL"""
+ORACLES["file_status"] = f"""
+WITH months AS (
+  SELECT {_MONTHS}, count(*) AS n, count(*) FILTER (o_orderkey % 2 = 0) AS even FROM orders GROUP BY ALL),
+held AS (
+  SELECT *, CASE WHEN year = 1995 THEN even WHEN year = 1998 AND month = 2 THEN NULL ELSE n END AS bronze_rows,
+    CASE WHEN year = 1996 OR year = 1998 AND month = 2 THEN NULL ELSE n END AS ledger_rows FROM months)
+SELECT year, month, CASE
+    WHEN year = 1996 THEN 'not recorded' WHEN year = 1998 AND month = 2 THEN 'pending'
+    WHEN even < n AND year = 1995 THEN 'rows differ' WHEN year = 1997 THEN 'lost'
+    WHEN year = 1998 AND month = 1 THEN 'size changed' ELSE 'loaded' END AS status,
+  CAST(1 AS BIGINT) AS files, ledger_rows, bronze_rows,
+  CAST(CASE WHEN year = 1997 THEN 0 ELSE 1 END AS BIGINT) AS files_with_bytes
+FROM held
+UNION ALL SELECT 2030, 1, 'month missing', 1, NULL, NULL, 0"""
+ORACLES["stream_upsert"] = ORACLES["upsert_merge"]
 ORACLES["file_ledger"] = f"""
 SELECT {_MONTHS}, 'batch-1' AS ingestion_batch_id, count(*) AS row_count FROM orders
 GROUP BY ALL"""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strata.functions import expressions as X
 from strata.session import scratch_path
 from strata.sources import snapshots, tables
+from strata.sources.tables import in_partitions
 
 ACTION = "_action"
 CHANGED = ("inserted", "updated")
@@ -68,15 +69,6 @@ def action_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy(F.col(ACTION).alias("action")).agg(F.count("*").alias("row_count"))
 
 
-def in_partitions(df: DataFrame, partition_by: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
-    """Only the given table partitions, as literals so that the scan lists nothing else."""
-    wanted = [
-        " AND ".join(f"`{c}` <=> {X.sql_literal(v)}" for c, v in zip(partition_by, row))
-        for row in values
-    ]
-    return df.where(" OR ".join(f"({one})" for one in wanted) or "false")
-
-
 def partitions_of(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
     """The distinct partition values. These are table partitions (months), never row keys."""
     return [tuple(row) for row in df.select(*partition_by).distinct().collect()]
@@ -140,11 +132,7 @@ def upsert(
     batch number) is kept with the commit, see ``snapshots.streams``; such a batch always commits.
     """
     spark = source.sparkSession
-    path = target if tables.is_path(target) else snapshots.location(spark, target)
-    if path is None:
-        if spark.catalog.tableExists(target):
-            raise ValueError(f"{target} is a table without a commit list; upsert into a new name or its path")
-        path = snapshots.new_location(spark, target)
+    path = snapshots.place(spark, target)
     based_on = snapshots.latest(spark, path)
     if based_on is None and not tables.path_exists(spark, path):
         counts = _first_load(source, path, keys, partition_by, stream)

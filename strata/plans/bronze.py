@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import checks
-from strata.sources import landing, tables
+from strata.session import scratch_path
+from strata.sources import landing, snapshots, tables
 
 
 def _read(spark: SparkSession, ledger: str) -> DataFrame:
@@ -17,19 +18,44 @@ def _read(spark: SparkSession, ledger: str) -> DataFrame:
 
 
 def backfill_ledger(spark: SparkSession, bronze: str, ledger: str, files: DataFrame) -> int:
-    """Rebuild an empty ledger from the lineage columns of a loaded bronze table."""
+    """Rebuild an empty ledger from the lineage columns of a loaded bronze table; returns its rows.
+
+    The landed files are counted too: a file that is gone, or of which bronze holds another number of
+    rows, is an error, as the ledger would take a part for the whole.
+    """
     if not tables.exists(spark, bronze) or not _read(spark, ledger).isEmpty():
         return 0
     rebuilt = landing.ledger_from_bronze(landing.lineage(spark, bronze), files)
-    # One row per file; kept on the driver only as a count, the rows go to the ledger.
+    rebuilt = tables.overwrite(rebuilt, scratch_path(spark, "ledger-rebuilt"))
     lost = rebuilt.where(F.col("file_size_bytes").isNull()).limit(5).collect()
     if lost:
         names = ", ".join(row.source_file for row in lost)
         raise FileNotFoundError(f"bronze holds rows of files that are not landed any more: {names}")
+    for chunk in landing.chunks(files.join(rebuilt, "source_file", "left_semi")):
+        paths = [row.source_file for row in chunk.select("source_file").collect()]
+        counts = landing.source_counts(spark, paths).withColumnRenamed("row_count", "landed_rows")
+        pairs = rebuilt.join(chunk.select("source_file"), "source_file").join(counts, "source_file", "left")
+        differ = pairs.where("row_count <> coalesce(landed_rows, 0)").limit(5).collect()
+        if differ:
+            names = ", ".join(f"{r.source_file} ({r.row_count} of {r.landed_rows} rows)" for r in differ)
+            raise ValueError(f"bronze does not hold whole files: {names}")
     tables.append(rebuilt, ledger)
     return _read(spark, ledger).count()
 
 
+def recover_ledger(spark: SparkSession, bronze: str, ledger: str, files: DataFrame) -> None:
+    """Record the chunk of a run that died between its commit to bronze and its record in the ledger."""
+    if snapshots.latest(spark, bronze) is None:
+        return
+    found = landing.unrecorded(spark, bronze, _read(spark, ledger))
+    found = tables.overwrite(found, scratch_path(spark, "files-unrecorded"))
+    batches = [row[0] for row in found.select("ingestion_batch_id").distinct().collect()]
+    for batch_id in batches:  # one, as a commit is a chunk of one batch
+        mine = found.where(F.col("ingestion_batch_id") == batch_id).select("source_file")
+        for chunk in landing.chunks(files.join(mine, "source_file", "left_semi")):
+            landing.record(chunk, ledger, batch_id)
+
+
 def reconcile(spark: SparkSession, bronze: str, ledger: str) -> DataFrame:
     """The rows in bronze are the rows in the ledger."""
     counts = checks.row_counts(
@@ -60,23 +86,19 @@ def ingest(
     """
     batch_id = batch_id or str(uuid.uuid4())
     tables.ensure(spark, ledger, landing.LEDGER_SCHEMA)
-    files = landing.manifest(spark, landing_path, pattern)
-    backfill_ledger(spark, bronze, ledger, files)
-    todo = landing.pending(files, _read(spark, ledger))
-    done = landing.load_files(spark, todo, bronze, batch_id)
-    if done:
-        pinned = tables.inline_rows(spark, done, landing.LOADED_SCHEMA)
-        paths = [path for path, _ in done]
-        # The ledger is read below and appended to, so the batch is pinned to its file keys.
-        batch = files.join(pinned.select("_file_key"), "_file_key", "left_semi")
-        counts = landing.source_counts(spark, paths)
-        tables.append(landing.ledger_rows(batch, counts, batch_id), ledger)
+    # The landing folder is listed once a run; all that follows reads this list.
+    landed = tables.overwrite(landing.listing(spark, landing_path), scratch_path(spark, "landed"))
+    files = landing.with_month(landed, "source_file", pattern)
+    if not backfill_ledger(spark, bronze, ledger, files):
+        recover_ledger(spark, bronze, ledger, files)
+    for chunk in landing.chunks(landing.pending(files, _read(spark, ledger))):
+        landing.load_chunk(chunk, bronze, ledger, batch_id)
     book = _read(spark, ledger)
     loaded = book.where(F.col("ingestion_batch_id") == batch_id)
     counts = checks.row_counts(
         {
-            "files_landed": landing.listing(spark, landing_path),
-            "files_unmatched": landing.unmatched(spark, landing_path, pattern),
+            "files_landed": landed,
+            "files_unmatched": landing.unmatched(landed, pattern),
             "months_missing": landing.missing_months(files, expected_months),
             "files_loaded": loaded,
             "rows_loaded": (loaded, "row_count"),
@@ -88,6 +110,22 @@ def ingest(
     return counts.withColumn("passed", whole & (F.col("rows_bronze") == F.col("rows_ledger")))
 
 
+def file_checks(files: DataFrame) -> DataFrame:
+    """One check per bad status of ``landing.reconcile``: no file may have it.
+
+    A file still to load, or one without a month, is a warning.
+    """
+    bad = ("not recorded", "rows differ", "lost", "size changed", "month missing")
+    warned = ("pending", "no month")
+    found = files.agg(*(F.count_if(F.col("status") == s).alias(s) for s in (*bad, *warned)))
+
+    def row(status: str, severity: str):
+        n = F.col(f"`{status}`")
+        return checks.outcome(f"files: {status}", F.lit(0), n, n == 0, severity)
+
+    return checks.report(found, [*(row(s, "error") for s in bad), *(row(s, "warn") for s in warned)])
+
+
 def validate(
     spark: SparkSession,
     bronze: str,
@@ -95,8 +133,15 @@ def validate(
     types: dict[str, str],
     required: tuple[str, ...],
     not_null: tuple[str, ...],
+    landing_path: str | None = None,
+    expected_months: Sequence[tuple[int, int]] = (),
+    dates: tuple[str, int, tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Bronze checks: not empty, equal to the ledger, columns and types, no NULL time."""
+    """Bronze checks: not empty, equal to the ledger, columns and types, no NULL time.
+
+    With ``landing_path`` also the files: landed, recorded and in bronze are the same, and no expected month
+    is missing. ``dates`` (column, year, (first, last month)) warns of rows outside that range.
+    """
     rows = tables.read(spark, bronze, merge_schema=True)
     counts = checks.row_counts({"bronze": rows, "ledger": (_read(spark, ledger), "row_count")})
     totals = checks.report(
@@ -113,4 +158,13 @@ def validate(
         "passed",
         F.lit("error").alias("severity"),
     )
-    return totals.unionByName(columns).unionByName(checks.null_checks(rows, not_null))
+    report = totals.unionByName(columns).unionByName(checks.null_checks(rows, not_null))
+    if landing_path is not None:
+        landed, book = landing.listing(spark, landing_path), _read(spark, ledger)
+        files = landing.reconcile(landed, book, landing.lineage(spark, bronze), expected_months)
+        report = report.unionByName(file_checks(files))
+    if dates is not None:
+        column, year, months = dates
+        rogue = checks.out_of_range_share(rows, f"{column} in range", column, year, months)
+        report = report.unionByName(rogue.select(*report.columns))
+    return report

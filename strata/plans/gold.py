@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import trips
+from strata.functions import totals as S
 from strata.operators import checks, marts
 from strata.operators.dimensions import (
     date_dimension,
@@ -19,7 +21,7 @@ from strata.operators.dimensions import (
     require_keys,
 )
 from strata.operators.fact import Dimension, build_fact, within
-from strata.sources import tables
+from strata.sources import snapshots, tables
 from strata.specs import Calendar
 
 FACT_PARTITIONS = ("pickup_date_sk",)
@@ -120,58 +122,139 @@ def fact_checks(
 ) -> DataFrame:
     """No fan-out, at most ``max_loss`` rows outside the calendar, no NULL key, equal sums.
 
-    Sums of doubles depend on the order of the rows, so they are added in fixed point.
+    ``fact`` is the stored fact: it has as many rows as the plan that was written. One pass over it and
+    one over silver's days; all of silver is only counted, which reads no column. Sums of doubles
+    depend on the order of the rows, so they are added in fixed point.
     """
-    counts = checks.row_counts({"silver": silver, "fact": fact})
-    rows = checks.report(
-        counts, [checks.within_loss("rows lost at the calendar edge", "silver", "fact", max_loss)]
-    )
-    rows = rows.unionByName(checks.null_checks(fact, trips.FACT_KEYS))
-    sums = checks.sum_checks(
-        within(silver, trips.START, calendar),
-        fact,
-        ["fare_amount", "tip_amount", "total_amount"],
-        tolerance=0.01,
-        scale=scale,
+    amounts = ("fare_amount", "tip_amount", "total_amount")
+
+    def sums(side: str) -> dict:
+        return {f"{side}_{c}": F.coalesce(S.total(F.col(c), scale), F.lit(0.0)) for c in amounts}
+
+    nulls = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in trips.FACT_KEYS}
+    inside = within(silver, trips.START, calendar)
+    found = checks.measured(
+        {
+            "silver": (silver, {"silver": F.count("*")}),
+            "inside": (inside, {"inside": F.count("*"), **sums("silver")}),
+            "fact": (fact, {"fact": F.count("*"), **nulls, **sums("fact")}),
+        }
     )
-    return rows.unionByName(
-        sums.select(
-            F.concat(F.lit("sum of "), "measure").alias("check"),
-            F.col("left_sum").cast("string").alias("expected"),
-            F.col("right_sum").cast("string").alias("actual"),
-            "passed",
-            F.lit("error").alias("severity"),
-        )
+    tolerance = 0.01
+
+    def equal(c: str):
+        left, right = F.col(f"silver_{c}"), F.col(f"fact_{c}")
+        spelt = [side.cast("decimal(38,2)") for side in (left, right)]
+        return checks.outcome(f"sum of {c}", *spelt, F.abs(left - right) < tolerance)
+
+    return checks.report(
+        found,
+        [
+            checks.within_loss("rows lost at the calendar edge", "silver", "fact", max_loss),
+            checks.same_count("fact as computed", "inside", "fact"),
+            *(
+                checks.outcome(f"{c} is not null", F.lit(0), F.col(f"null_{c}"), F.col(f"null_{c}") == 0)
+                for c in trips.FACT_KEYS
+            ),
+            *map(equal, amounts),
+        ],
     )
 
 
 def grain_checks(
-    fact: DataFrame, daily: DataFrame, hourly: DataFrame, dims: Mapping[str, Dimension]
+    fact: DataFrame,
+    daily: DataFrame,
+    hourly: DataFrame,
+    dims: Mapping[str, Dimension],
+    slots: DataFrame | None = None,
 ) -> DataFrame:
-    """The marts are not empty and no larger than their grain or than the fact."""
-    counts = checks.row_counts(
+    """The marts are not empty, no larger than their grain or than the fact, and stored as computed.
+
+    ``slots`` is the table of parts the marts are made of; by default it is computed from the fact.
+    """
+    slots = marts.slot_parts(fact) if slots is None else slots
+    days_and_zones = F.count_distinct(F.struct(*trips.DAILY_KEYS))
+    found = checks.measured(
         {
-            "fact": fact,
-            "daily": daily,
-            "hourly": hourly,
-            "zones": dims["dim_zones"].rows,
-            "days": dims["dim_date"].rows,
+            "fact": (fact, {"fact": F.count("*")}),
+            "slots": (slots, {"slots": F.count("*"), "day_zones": days_and_zones}),
+            "daily": (daily, {"daily": F.count("*")}),
+            "hourly": (hourly, {"hourly": F.count("*")}),
+            "zones": (dims["dim_zones"].rows, {"zones": F.count("*")}),
+            "days": (dims["dim_date"].rows, {"days": F.count("*")}),
         }
     )
     daily_bound = F.col("zones") * F.col("days")
     hourly_bound = F.col("zones") * 7 * 24
     return checks.report(
-        counts,
+        found,
         [
             checks.not_empty("daily mart is not empty", "daily"),
             checks.at_most("daily mart within its grain", daily_bound, F.col("daily")),
             checks.at_most("daily mart within the fact", F.col("fact"), F.col("daily")),
+            checks.same_count("daily mart as computed", "day_zones", "daily"),
             checks.not_empty("hourly mart is not empty", "hourly"),
             checks.at_most("hourly mart within its grain", hourly_bound, F.col("hourly")),
+            checks.at_most("hourly slots within the fact", F.col("fact"), F.col("slots")),
+            checks.at_most("hourly mart within its slots", F.col("slots"), F.col("hourly")),
         ],
     )
 
 
+def stored_dimensions(
+    spark: SparkSession, built: Mapping[str, Dimension], gold: GoldTables
+) -> dict[str, Dimension]:
+    """The dimensions as stored by an earlier run; ``built`` tells their keys."""
+    return {
+        name: Dimension(
+            tables.read(spark, gold.named(name)), dim.natural_key, dim.surrogate_key, dim.known_rows
+        )
+        for name, dim in built.items()
+    }
+
+
+def refresh(
+    silver: DataFrame,
+    dims: Mapping[str, Dimension],
+    calendar: Calendar,
+    gold: GoldTables,
+    days: Sequence[int],
+    scale: int | None = SCALE,
+) -> dict[str, DataFrame]:
+    """Recompute what depends on some days (``yyyyMMdd``) from silver; returns the fact and the marts.
+
+    The days' fact rows, parts and daily rows are replaced, each table in one commit; the files of
+    other days stay. The hourly mart is a mean over all days: it is regrouped from the parts, which
+    are small beside the fact. ``days`` are calendar days, so few whatever the load.
+    """
+    values = sorted({(day,) for day in days})
+    span = [dt.datetime.strptime(str(day), "%Y%m%d").date() for (day,) in values]
+    if not span:
+        raise ValueError("no days to refresh")
+    # Bounds for the scan first, then the days themselves.
+    rows = within(silver, trips.START, Calendar(min(span), max(span)))
+    rows = rows.where(F.to_date(trips.START).isin(span))
+    fact = build_fact(rows, dims, calendar)
+    fact = snapshots.replace_partitions(fact, gold.named("fct_trips"), FACT_PARTITIONS, values)
+    touched = tables.in_partitions(fact, FACT_PARTITIONS, values)
+    slots = snapshots.replace_partitions(
+        marts.slot_parts(touched, scale), gold.named("mart_slot_parts"), FACT_PARTITIONS, values
+    )
+    daily = snapshots.replace_partitions(
+        marts.daily_from_parts(
+            tables.in_partitions(slots, FACT_PARTITIONS, values), dims["dim_zones"], dims["dim_date"]
+        ),
+        gold.named("daily_metrics_by_zone"),
+        FACT_PARTITIONS,
+        values,
+    )
+    hourly = tables.overwrite(
+        marts.hourly_from_parts(slots, dims["dim_zones"], dims["dim_date"], scale),
+        gold.named("hourly_demand_patterns"),
+    )
+    return {"fact": fact, "slots": slots, "daily": daily, "hourly": hourly}
+
+
 def run(
     silver: DataFrame,
     zones: DataFrame,
@@ -182,23 +265,28 @@ def run(
 ) -> DataFrame:
     """Silver to gold: writes all gold tables and returns their checks.
 
-    ``scale`` is that of the sums in the marts and the checks (``None``: plain doubles).
+    ``scale`` is that of the sums in the marts and the checks (``None``: plain doubles). ``refresh`` does the
+    same for the days of a later load.
     """
     spark = silver.sparkSession
     if not tables.is_path(gold.base):
         tables.ensure_database(spark, gold.base)
     dims = write_dimensions(trip_dimensions(spark, zones, calendar), gold)
     fact = write_fact(build_fact(silver, dims, calendar), gold)
+    slots = tables.overwrite(
+        marts.slot_parts(fact, scale), gold.named("mart_slot_parts"), FACT_PARTITIONS
+    )
     daily = tables.overwrite(
-        marts.daily_metrics(fact, dims["dim_zones"], dims["dim_date"], scale),
+        marts.daily_from_parts(slots, dims["dim_zones"], dims["dim_date"]),
         gold.named("daily_metrics_by_zone"),
+        FACT_PARTITIONS,
     )
     hourly = tables.overwrite(
-        marts.hourly_patterns(fact, dims["dim_zones"], dims["dim_date"], scale),
+        marts.hourly_from_parts(slots, dims["dim_zones"], dims["dim_date"], scale),
         gold.named("hourly_demand_patterns"),
     )
     return (
         dimension_checks(dims)
         .unionByName(fact_checks(silver, fact, calendar, max_loss, scale))
-        .unionByName(grain_checks(fact, daily, hourly, dims))
+        .unionByName(grain_checks(fact, daily, hourly, dims, slots))
     )

@@ -1,24 +1,26 @@
 """Landed files: what is there, what is still to load, and loading it.
 
-A landed file belongs to one (year, month), which its path tells. Bronze is partitioned by
-``(year, month, _file_key)``: a file has a partition of its own, so loading it again replaces
-exactly its own rows. That makes the load safe to repeat after a crash between the bronze write
-and the ledger write, with any number of files per month and without reading bronze.
+A landed file belongs to one (year, month), which its path tells. A load writes the rows of a bounded
+chunk of files to bronze and makes them part of it in one commit (``snapshots``); then the chunk is
+recorded in the ledger. A run that dies before the commit has loaded nothing; one that dies before
+the ledger is written is found by the files of the newest commit, and recorded by the next run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources import tables
+from strata.session import scratch_path
+from strata.sources import snapshots, tables
 
 # Year and month in a file path such as .../2024-01.parquet or .../year=2024/month=01/part-0.parquet
 MONTH_IN_PATH = r"(?:^|[^0-9])([0-9]{4})(?:-|/month=)([0-9]{2})(?:\.parquet$|/[^/]*\.parquet$)"
-BRONZE_PARTITIONS = ("year", "month", "_file_key")
+BRONZE_PARTITIONS = ("year", "month")
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("source_file", T.StringType()),
@@ -36,18 +38,14 @@ LINEAGE_SCHEMA = T.StructType(
         T.StructField("_ingestion_batch_id", T.StringType()),
         T.StructField("year", T.IntegerType()),
         T.StructField("month", T.IntegerType()),
-        T.StructField("_file_key", T.StringType()),
     ]
 )
 
 
 MONTH_SCHEMA = "year int, month int"
-LOADED_SCHEMA = T.StructType(
-    [T.StructField("source_file", T.StringType()), T.StructField("_file_key", T.StringType())]
-)
-FILE_SCHEMA = "_source_file string, year int, month int, _file_key string"
-# Files per write of a load. Their list is broadcast to the rows, so it has to be bounded.
-FILES_PER_WRITE = 100_000
+FILE_SCHEMA = "source_file string, file_size_bytes bigint, year int, month int"
+# Files per write of a load. Their list is broadcast to the rows and read by the driver.
+FILES_PER_WRITE = 10_000
 
 
 def file_of_row() -> Column:
@@ -58,13 +56,11 @@ def file_of_row() -> Column:
 
 
 def with_month(files: DataFrame, path: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
-    """Add year, month and key to one row per file; only files whose path tells a month."""
+    """Add year and month to one row per file; only files whose path tells a month."""
     return files.withColumns(
         {
             "year": F.regexp_extract(path, pattern, 1).try_cast("int"),
             "month": F.regexp_extract(path, pattern, 2).try_cast("int"),
-            # The letter keeps partition discovery from reading a key as a number.
-            "_file_key": F.concat(F.lit("k"), F.md5(path)),
         }
     ).where(F.col("year").isNotNull() & F.col("month").between(1, 12))
 
@@ -80,13 +76,12 @@ def listing(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
-    """One row per landed Parquet file that names a month: path, size, year, month, file key."""
+    """One row per landed Parquet file that names a month: path, size, year, month."""
     return with_month(listing(spark, landing), "source_file", pattern)
 
 
-def unmatched(spark: SparkSession, landing: str, pattern: str = MONTH_IN_PATH) -> DataFrame:
-    """The landed files that the manifest leaves out, because their path tells no month."""
-    files = listing(spark, landing)
+def unmatched(files: DataFrame, pattern: str = MONTH_IN_PATH) -> DataFrame:
+    """The landed files (``listing``) that the manifest leaves out, because their path tells no month."""
     return files.join(with_month(files, "source_file", pattern), "source_file", "left_anti")
 
 
@@ -96,21 +91,60 @@ def missing_months(files: DataFrame, expected: Sequence[tuple[int, int]]) -> Dat
     return wanted.join(files, ["year", "month"], "left_anti")
 
 
-def file_status(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The manifest with ``status``: ``pending``, ``loaded``, or ``size changed`` since loading."""
-    known = ledger.groupBy("source_file").agg(
-        F.max_by("file_size_bytes", "ingested_at").alias("_known_size")
+def reconcile(
+    landed: DataFrame,
+    ledger: DataFrame,
+    bronze: DataFrame,
+    expected: Sequence[tuple[int, int]] = (),
+    pattern: str = MONTH_IN_PATH,
+) -> DataFrame:
+    """One row per file that is landed, recorded or in bronze, and per expected month without a file.
+
+    ``landed`` is a ``listing``, ``bronze`` any frame with ``_source_file``. ``status`` is the first that holds of:
+    ``no month`` (the path tells none), ``not recorded`` (rows in bronze, none in the ledger), ``rows differ``
+    (bronze and ledger), ``lost`` (recorded, not landed any more), ``size changed`` (since it was recorded),
+    ``pending``, ``loaded``; ``month missing`` for a month. The sides are grouped by file in one shuffle, not
+    joined one after the other; bronze comes as one row per file and task.
+    """
+    none = {name: F.lit(None).cast("bigint") for name in ("landed_bytes", "ledger_bytes", "ledger_rows", "bronze_rows")}
+
+    def side(rows: DataFrame, file: str, **found) -> DataFrame:
+        columns = {**none, **found}
+        return rows.select(F.col(file).alias("source_file"), *(c.alias(name) for name, c in columns.items()))
+
+    # The last record of a file counts, as a file may be recorded again after it changed.
+    book = ledger.groupBy("source_file").agg(
+        F.max_by("file_size_bytes", "ingested_at").alias("size"), F.max_by("row_count", "ingested_at").alias("n")
     )
-    status = (
-        F.when(F.col("_known").isNull(), "pending")
-        .when(F.col("_known_size") != F.col("file_size_bytes"), "size changed")
-        .otherwise("loaded")
+    held = bronze.groupBy("_source_file").agg(F.count("*").alias("n"))
+    sides = (
+        side(landed, "source_file", landed_bytes=F.col("file_size_bytes"))
+        .unionAll(side(book, "source_file", ledger_bytes=F.coalesce("size", F.lit(-1)), ledger_rows=F.col("n")))
+        .unionAll(side(held, "_source_file", bronze_rows=F.col("n")))
     )
-    return (
-        files.join(known.withColumn("_known", F.lit(True)), "source_file", "left")
-        .withColumn("status", status)
-        .drop("_known", "_known_size")
+    files = sides.groupBy("source_file").agg(*(F.max(name).alias(name) for name in none))
+    of_path = lambda part, low, high: F.when(
+        F.regexp_extract("source_file", pattern, part).try_cast("int").between(low, high),
+        F.regexp_extract("source_file", pattern, part).try_cast("int"),
+    )
+    files = files.withColumns({"year": of_path(1, 0, 9999), "month": of_path(2, 1, 12)})
+    recorded = F.col("ledger_rows").isNotNull()
+    status = (
+        F.when(F.col("year").isNull() | F.col("month").isNull(), "no month")
+        .when(~recorded & F.col("bronze_rows").isNotNull(), "not recorded")
+        .when(recorded & (F.coalesce("bronze_rows", F.lit(0)) != F.col("ledger_rows")), "rows differ")
+        .when(recorded & F.col("landed_bytes").isNull(), "lost")
+        .when(recorded & (F.col("landed_bytes") != F.col("ledger_bytes")), "size changed")
+        .when(recorded, "loaded")
+        .otherwise("pending")
     )
+    files = files.withColumn("status", status)
+    months = missing_months(files.where(F.col("landed_bytes").isNotNull()), expected)
+    months = months.select(
+        F.lit(None).cast("string").alias("source_file"), *(c.alias(name) for name, c in none.items()),
+        "year", "month", F.lit("month missing").alias("status"),
+    )
+    return files.unionByName(months)
 
 
 def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -119,12 +153,13 @@ def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def with_lineage(rows: DataFrame, files: DataFrame, batch_id: str) -> DataFrame:
-    """Add year, month and file key of ``_source_file``, the load time and the batch id.
+    """Add year and month of ``_source_file``, the load time and the batch id.
 
-    ``files`` is a bounded list of files. Looking a path up costs a row far less than matching a
-    pattern and hashing would. A row of a file that is not listed is an error, never dropped.
+    ``files`` is a chunk of at most ``FILES_PER_WRITE`` files. Looking a path up costs a row far less than
+    matching a pattern would. A row of a file that is not listed is an error, never dropped.
     """
-    rows = rows.join(F.broadcast(files), "_source_file", "left")
+    known = files.select(F.col("source_file").alias("_source_file"), "year", "month")
+    rows = rows.join(F.broadcast(known), "_source_file", "left")
     unlisted = F.raise_error(F.concat(F.lit("not a listed file: "), "_source_file"))
     return rows.withColumns(
         {
@@ -135,23 +170,50 @@ def with_lineage(rows: DataFrame, files: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
-def load_files(
-    spark: SparkSession, files: DataFrame, bronze: str, batch_id: str
-) -> list[tuple[str, str]]:
-    """Write the rows of ``files`` to bronze; returns path and file key of each.
+def chunks(files: DataFrame) -> Iterator[DataFrame]:
+    """The files in stored chunks of at most ``FILES_PER_WRITE``; the driver holds one chunk's list at a time."""
+    spark, schema = files.sparkSession, T.StructType.fromDDL(FILE_SCHEMA)
+    staged = tables.overwrite(files.select(*schema.names), scratch_path(spark, "files-pending"))
+    rows = staged.orderBy("source_file").toLocalIterator()
+    while part := list(itertools.islice(rows, FILES_PER_WRITE)):
+        listed = tables.inline_rows(spark, part, schema)
+        yield tables.overwrite(listed, scratch_path(spark, "files-chunk"))
+
+
+def chunk_rows(files: DataFrame, batch_id: str) -> DataFrame:
+    """The rows of a stored chunk of files, with their lineage.
 
-    The list of paths comes to the driver, as it does in any Spark file scan; rows never do.
-    All files of a write are read in one scan, and a task writes the rows of the file split it
-    read, so the load needs no shuffle.
+    All files are read in one scan. Their list is in the scan and in the stored chunk, not in the plan.
     """
-    listed = files.select("source_file", "year", "month", "_file_key").collect()
-    for start in range(0, len(listed), FILES_PER_WRITE):
-        part = listed[start : start + FILES_PER_WRITE]
-        rows = spark.read.option("mergeSchema", "true").parquet(*[r.source_file for r in part])
-        known = tables.inline_rows(spark, part, T.StructType.fromDDL(FILE_SCHEMA))
-        loaded = with_lineage(rows.withColumn("_source_file", file_of_row()), known, batch_id)
-        tables.overwrite_partitions(loaded, bronze, BRONZE_PARTITIONS, spread=False)
-    return [(row["source_file"], row["_file_key"]) for row in listed]
+    paths = [row.source_file for row in files.select("source_file").collect()]
+    rows = files.sparkSession.read.option("mergeSchema", "true").parquet(*paths)
+    return with_lineage(rows.withColumn("_source_file", file_of_row()), files, batch_id)
+
+
+def load_chunk(files: DataFrame, bronze: str, ledger: str, batch_id: str) -> None:
+    """Load a stored chunk of files and record it; a task writes the rows of the split it read, unshuffled."""
+    snapshots.add(chunk_rows(files, batch_id), bronze, BRONZE_PARTITIONS, spread=False)
+    record(files, ledger, batch_id)
+
+
+def record(files: DataFrame, ledger: str, batch_id: str) -> None:
+    """Add a stored chunk of loaded files to the ledger."""
+    spark = files.sparkSession
+    paths = [row.source_file for row in files.select("source_file").collect()]
+    tables.append(ledger_rows(files, source_counts(spark, paths), batch_id), ledger)
+
+
+def unrecorded(spark: SparkSession, bronze: str, ledger: DataFrame) -> DataFrame:
+    """(source_file, batch id) of the newest commit's files that the ledger lacks: a run died between the two.
+
+    Only the files of the newest commit are looked at, so the cost is that of one chunk.
+    """
+    added = [row.path for row in snapshots.added_by_latest(spark, bronze).select("path").collect()]
+    rows = snapshots.read_files(spark, bronze, added, LINEAGE_SCHEMA)
+    loaded = rows.groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.max("_ingestion_batch_id").alias("ingestion_batch_id")
+    )
+    return loaded.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
 def lineage(spark: SparkSession, bronze: str) -> DataFrame:

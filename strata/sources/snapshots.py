@@ -67,10 +67,14 @@ def files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, path: str, paths: Sequence[str], schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    paths: Sequence[str],
+    schema: T.StructType | str | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Some files of the table, with its partition columns; for none of them a schema is needed."""
-    reader = spark.read.option("basePath", path)
+    reader = spark.read.option("basePath", path).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
     if not paths:
@@ -83,14 +87,18 @@ def no_files(spark: SparkSession) -> DataFrame:
 
 
 def read(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, commit: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    commit: str | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """The table as of a commit (the newest if not given).
 
     The list of files comes to the driver, as the file index of any Spark scan does.
     """
     rows = spark.read.parquet(commit or latest(spark, path)).select("path").collect()
-    return read_files(spark, path, sorted(row.path for row in rows), schema)
+    return read_files(spark, path, sorted(row.path for row in rows), schema, merge_schema)
 
 
 def streams(spark: SparkSession, path: str) -> dict[str, int]:
@@ -100,7 +108,18 @@ def streams(spark: SparkSession, path: str) -> dict[str, int]:
     return dict(first.streams or {}) if first is not None else {}
 
 
-def append_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def added_by_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The files that the newest commit lists and the one before it does not."""
+    names = _commit_folders(spark, path)[-2:]
+    found = [spark.read.parquet(f"{path}/{COMMITS}/{name}").select("file", "path") for name in names]
+    if not found:
+        return no_files(spark).select("file", "path")
+    return found[1].join(found[0], "file", "left_anti") if len(found) == 2 else found[0]
+
+
+def append_files(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), spread: bool = True
+) -> DataFrame:
     """Write rows as new files that no commit lists yet; returns the list of these files.
 
     A task that is repeated leaves no second file: Spark moves files in place when the job commits.
@@ -110,7 +129,7 @@ def append_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if tables.path_exists(spark, path):
         # Written down first: listed again later it would hold the new files too.
         before = tables.overwrite(listed(spark, path).select("file"), scratch_path(spark, "files"))
-    tables.append(tables.rebalanced(df, partition_by), path, partition_by)
+    tables.append(tables.rebalanced(df, partition_by) if spread else df, path, partition_by)
     after = listed(spark, path)
     return after.join(before, "file", "left_anti") if before is not None else after
 
@@ -163,6 +182,56 @@ def publish(spark: SparkSession, name: str, path: str, columns: Sequence[str]) -
     )
 
 
+def place(spark: SparkSession, target: str) -> str:
+    """The folder of a target: the path itself, or the one behind (or for) a catalog name."""
+    if tables.is_path(target):
+        return target
+    path = location(spark, target)
+    if path is None and spark.catalog.tableExists(target):
+        raise ValueError(f"{target} is a table without a commit list; use a new name or its path")
+    return path or new_location(spark, target)
+
+
+def replace_partitions(
+    df: DataFrame, target: str, partition_by: Sequence[str], values: Sequence[Sequence]
+) -> DataFrame:
+    """Make ``df`` all there is of the given table partitions, in one commit; returns the table.
+
+    Files of other partitions stay as they are. A partition without rows in ``df`` is empty afterwards.
+    """
+    spark, path = df.sparkSession, place(df.sparkSession, target)
+    based_on = latest(spark, path)
+    if based_on is None and not tables.path_exists(spark, path):
+        based_on = commit(spark, path, no_files(spark), None)
+    old = tables.in_partitions(tables.read(spark, path, df.schema), partition_by, values)
+    stale = old.select(F.col("_metadata.file_path").alias("file")).distinct()
+    # Pinned before new files are added, which a plain folder would take for old ones.
+    kept = files(spark, path).join(stale, "file", "left_anti")
+    kept = tables.overwrite(kept, scratch_path(spark, "files-kept"))
+    added = append_files(df, path, partition_by)
+    commit(spark, path, kept.unionByName(added), based_on)
+    if path != target:
+        publish(spark, target, path, df.columns)
+    return tables.read(spark, path, df.schema)
+
+
+def add(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    spread: bool = True,
+    stream: tuple[str, int] | None = None,
+) -> None:
+    """Add rows to a path table in one commit."""
+    spark = df.sparkSession
+    based_on = latest(spark, path)
+    if based_on is None and not tables.path_exists(spark, path):
+        based_on = commit(spark, path, no_files(spark), None)
+    before = tables.overwrite(files(spark, path), scratch_path(spark, "files-valid"))
+    added = append_files(df, path, partition_by, spread)
+    commit(spark, path, before.unionByName(added), based_on, stream)
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     """Delete what the newest ``keep`` commits do not need; returns the number of data files deleted.
 

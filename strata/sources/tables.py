@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from strata.functions import expressions as X
+
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -62,7 +64,7 @@ def read(
     """
     path = target if is_path(target) else snapshots.location(spark, target)
     if path is not None and (commit := snapshots.latest(spark, path)) is not None:
-        return snapshots.read(spark, path, schema, commit)
+        return snapshots.read(spark, path, schema, commit, merge_schema)
     if not is_path(target):
         return spark.table(target)
     if schema is not None:
@@ -125,6 +127,15 @@ def overwrite(
     return read(df.sparkSession, target, df.schema)
 
 
+def in_partitions(df: DataFrame, partition_by: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
+    """Only the given table partitions, as literals so that the scan lists nothing else."""
+    wanted = [
+        " AND ".join(f"`{c}` <=> {X.sql_literal(v)}" for c, v in zip(partition_by, row))
+        for row in values
+    ]
+    return df.where(" OR ".join(f"({one})" for one in wanted) or "false")
+
+
 def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
     _save(_writer(df, "append", partition_by), target)
 

@@ -1,23 +1,64 @@
-"""The bronze load as a stream of files.
+"""Streams: the bronze load as a stream of files, and an upsert from any stream.
 
-The stream's checkpoint remembers which files were seen, so no listing is compared with the
-ledger. A micro-batch holds whole files and every file has a table partition of its own, so a
-micro-batch that is run again after a crash replaces its own rows instead of adding them twice.
+A micro-batch is written in one commit that keeps the stream's name and the number of the batch. A
+micro-batch that is run again after a crash finds its number there and is skipped, so every row is
+loaded once, whether the run died before or after its commit.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources import landing, tables
+from strata.operators import dedup, upsert
+from strata.session import scratch_path
+from strata.sources import landing, snapshots, tables
 
 
 FILES_PER_BATCH = 1000
 
 
+def is_done(spark: SparkSession, target: str, stream: str, number: int) -> bool:
+    """Whether the table has this batch of the stream, or a later one."""
+    path = snapshots.place(spark, target)
+    return snapshots.streams(spark, path).get(stream, -1) >= number
+
+
+def upsert_available(
+    source: DataFrame,
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    hash_column: str,
+    version_column: str,
+) -> StreamingQuery:
+    """Upsert all a stream has to give into a table (a path or a catalog name), batch by batch, and stop.
+
+    A batch holds the latest row per key, so a key that changed often in it is merged once. The
+    name of the stream in the commits is its checkpoint folder.
+    """
+    spark = source.sparkSession
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if not is_done(spark, target, checkpoint, number):
+            latest = dedup.latest_per_key(batch, keys, version_column)
+            upsert.upsert(
+                latest, target, keys, partition_by, hash_column, version_column, stream=(checkpoint, number)
+            )
+
+    return (
+        source.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def file_stream(spark: SparkSession, landing_path: str, schema: T.StructType | str) -> DataFrame:
     """The landed rows as a stream, each with the path and the size of its file."""
     rows = (
@@ -49,17 +90,15 @@ def load_available(
         # The batch names its files itself (at most FILES_PER_BATCH); none is listed again.
         sizes = batch.groupBy("_source_file").agg(F.max("_file_size").alias("file_size_bytes"))
         files = landing.with_month(sizes, "_source_file", pattern)
-        known = files.drop("file_size_bytes")
-        listed = batch.drop("_file_size").join(F.broadcast(known), "_source_file", "left_semi")
-        rows = landing.with_lineage(listed, known, batch_id)
-        tables.overwrite_partitions(rows, bronze, landing.BRONZE_PARTITIONS, spread=False)
-        recorded = tables.read(spark, ledger, landing.LEDGER_SCHEMA)
-        new = landing.pending(files.withColumnRenamed("_source_file", "source_file"), recorded)
-        found = new.collect()
-        if found:
-            done = tables.inline_rows(spark, found, new.schema)
-            counts = landing.source_counts(spark, [row["source_file"] for row in found])
-            tables.append(landing.ledger_rows(done, counts, batch_id), ledger)
+        files = files.withColumnRenamed("_source_file", "source_file")
+        files = tables.overwrite(files, scratch_path(spark, "stream-files"))
+        if not is_done(spark, bronze, checkpoint, number):
+            known = files.select(F.col("source_file").alias("_source_file"))
+            listed = batch.drop("_file_size").join(F.broadcast(known), "_source_file", "left_semi")
+            rows = landing.with_lineage(listed, files, batch_id)
+            snapshots.add(rows, bronze, landing.BRONZE_PARTITIONS, False, (checkpoint, number))
+        for chunk in landing.chunks(landing.pending(files, tables.read(spark, ledger, landing.LEDGER_SCHEMA))):
+            landing.record(chunk, ledger, batch_id)
 
     return (
         file_stream(spark, landing_path, schema)

@@ -147,7 +147,53 @@ FACT_COLUMNS = FACT_KEYS + (
     "dropoff_hour",
 )
 
+# --- Fixed values: marts ------------------------------------------------------------------------
+SLOT_KEYS = ("pickup_date_sk", "pickup_hour", "pickup_zone_sk")
+SLOT_MEASURES = (
+    "total_amount",
+    "tip_amount",
+    "fare_amount",
+    "trip_distance",
+    "trip_duration_seconds",
+    "tip_percentage",
+)
+DAILY_KEYS = ("pickup_date_sk", "pickup_zone_sk")
+DAILY_SUMS = {"total_amount": "total_revenue", "tip_amount": "total_tips"}
+DAILY_MEANS = {
+    "fare_amount": "avg_fare",
+    "trip_distance": "avg_distance",
+    "trip_duration_seconds": "avg_duration_seconds",
+    "tip_percentage": "avg_tip_percentage",
+}
+DAILY_COLUMNS = (
+    "pickup_date_sk",
+    "pickup_zone_sk",
+    "zone_name",
+    "borough",
+    "full_date",
+    "year",
+    "month",
+    "day_of_week",
+    "total_trips",
+    "total_revenue",
+    "total_tips",
+    "avg_fare",
+    "avg_distance",
+    "avg_duration_seconds",
+    "avg_tip_percentage",
+)
+HOURLY_COLUMNS = (
+    "day_of_week",
+    "pickup_hour",
+    "pickup_zone_sk",
+    "zone_name",
+    "borough",
+    "avg_trips",
+    "avg_fare",
+)
+
 
+# --- Fixed values: the bounds of the row rules --------------------------------------------------
 def trip_rules(
     max_fare: float = 500,
     max_distance: float = 200,

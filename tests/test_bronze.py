@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import checks
 from strata.plans import bronze
-from strata.sources import landing, lookups, tables
+from strata.sources import landing, lookups, snapshots, tables
 from strata.streaming import incremental
 from strata.trips import LINEAGE_TYPES, ZONE_LOOKUP_COLUMNS
 
@@ -117,16 +117,86 @@ def test_backfill_fails_for_a_lost_file(spark, folder):
         bronze.ingest(spark, base, f"{folder}/b", f"{folder}/new-ledger", "two")
 
 
-def test_status_reports_a_changed_size(spark, folder):
-    base = land(folder, 1, 3)
+def test_a_crash_before_the_commit_loads_nothing(spark, folder, monkeypatch):
+    land(folder, 1, 3)
+    run(spark, folder, "one")
     land(folder, 2, 4)
+
+    def die(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "commit", die)
+        with pytest.raises(RuntimeError):
+            run(spark, folder, "two")
+    assert tables.read(spark, f"{folder}/b").count() == 3  # written, not committed
+    result = run(spark, folder, "three")
+    assert (result.rows_loaded, result.rows_bronze, result.rows_ledger, result.passed) == (4, 7, 7, True)
+    assert rows_of(tables.read(spark, f"{folder}/b").groupBy("_ingestion_batch_id").count(), "*") == [
+        ("one", 3), ("three", 4),
+    ]
+
+
+def test_files_are_loaded_and_recorded_chunk_by_chunk(spark, folder, monkeypatch):
+    monkeypatch.setattr(landing, "FILES_PER_WRITE", 2)
+    for month in range(1, 6):
+        land(folder, month, month)
+    whole, seen = landing.load_chunk, []
+
+    def stop_at_the_third(files, *args):
+        seen.append(files.count())
+        if len(seen) == 3:
+            raise RuntimeError("lost")
+        whole(files, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "load_chunk", stop_at_the_third)
+        with pytest.raises(RuntimeError):
+            run(spark, folder, "one")
+    assert seen == [2, 2, 1]
+    assert tables.read(spark, f"{folder}/l").count() == 4  # the first two chunks stay loaded
+    result = run(spark, folder, "two")
+    assert (result.files_loaded, result.rows_loaded, result.rows_bronze, result.passed) == (1, 5, 15, True)
+
+
+def test_no_list_of_files_is_in_the_plan(spark, folder):
+    base = land(folder, 1, 3)
+    land(folder, 2, 3)
+    (chunk,) = landing.chunks(landing.manifest(spark, base))
+    rows = landing.chunk_rows(chunk, "b")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "2024-01" not in plan and "SinglePartition" not in plan
+    assert "Exchange hashpartitioning" not in plan_of(rows)
+
+
+def test_backfill_refuses_a_part_of_a_file(spark, folder, monkeypatch):
+    base = land(folder, 1, 3)
+    whole = landing.with_lineage
+    monkeypatch.setattr(landing, "with_lineage", lambda *args: whole(*args).where("id > 0"))
+    run(spark, folder, "one")
+    with pytest.raises(ValueError, match="2 of 3 rows"):
+        bronze.ingest(spark, base, f"{folder}/b", f"{folder}/new-ledger", "two")
+
+
+def test_each_file_has_one_status(spark, folder):
+    base = land(folder, 1, 3)
+    for month in (2, 3, 4, 5):
+        land(folder, month, 4)
     run(spark, folder, "one")
     land(folder, 1, 30_000)
-    land(folder, 3, 1)
-    status = landing.file_status(landing.manifest(spark, base), tables.read(spark, f"{folder}/l"))
-    assert rows_of(status, "month", "status") == [
-        (1, "size changed"), (2, "loaded"), (3, "pending"),
-    ]
+    land(folder, 6, 1)
+    land(folder, 7, 1, "other.parquet")
+    os.rename(f"{base}/2024/03/trips_2024-03.parquet", f"{folder}/gone")
+    book = tables.read(spark, f"{folder}/l").where("source_file NOT LIKE '%2024-04%'")
+    rows = tables.read(spark, f"{folder}/b").where("NOT (month = 5 AND id = 0)")
+    files = landing.reconcile(landing.listing(spark, base), book, rows, [(2024, 1), (2024, 9)])
+    assert rows_of(files, "month", "status", "ledger_rows", "bronze_rows") == sorted([
+        (1, "size changed", 3, 3), (2, "loaded", 4, 4), (3, "lost", 4, 4), (4, "not recorded", None, 4),
+        (5, "rows differ", 4, 3), (6, "pending", None, None), (None, "no month", None, None),
+        (9, "month missing", None, None),
+    ], key=repr)
+    failed = {r.check for r in checks.failed(bronze.file_checks(files)).collect()}
+    assert failed == {f"files: {s}" for s in ("size changed", "lost", "not recorded", "rows differ", "month missing")}
 
 
 def test_manifest_skips_files_without_a_month_and_opens_no_file(spark, folder):
@@ -145,6 +215,12 @@ def test_bronze_checks(spark, folder):
     )
     failed = {r.check for r in checks.failed(report).collect()}
     assert failed == {"column month", "column x"}
+    more = bronze.validate(
+        spark, f"{folder}/b", f"{folder}/l", {}, ("at",), ("at",),
+        f"{folder}/landing dir+", [(2024, 1), (2024, 2)], ("at", 2024, (2, 3)),
+    )
+    assert {r.check for r in checks.failed(more).collect()} == {"files: month missing"}
+    assert ("at in range", "3", "warn") in {(r.check, r.actual, r.severity) for r in more.collect()}
     with pytest.raises(AssertionError):
         checks.require(report)
 
@@ -215,3 +291,30 @@ def test_ledger_counts_the_landed_files_not_bronze(spark, folder, monkeypatch):
     monkeypatch.setattr(landing, "with_lineage", lossy)
     result = run(spark, folder, "one")
     assert (result.rows_ledger, result.rows_bronze, result.passed) == (3, 2, False)
+
+
+def test_a_repeated_micro_batch_of_an_upsert_is_skipped(spark, folder, monkeypatch):
+    schema = "k int, v string, h string, ts int, year int, month int"
+    spark.createDataFrame([(1, "a", "h1", 1, 2024, 1), (1, "b", "h2", 2, 2024, 1)], schema).write.parquet(f"{folder}/in")
+    source = spark.readStream.schema(schema).parquet(f"{folder}/in")
+
+    def go():
+        args = (source, f"{folder}/t", f"{folder}/cp", ["k"], ["year", "month"], "h", "ts")
+        incremental.upsert_available(*args).awaitTermination()
+
+    whole = incremental.upsert.upsert
+
+    def die_after(*args, **kwargs):
+        whole(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental.upsert, "upsert", die_after)
+        with pytest.raises(Exception, match="lost"):
+            go()
+    commit = snapshots.latest(spark, f"{folder}/t")
+    go()  # Spark runs the batch again, as it was not marked as done
+    assert snapshots.latest(spark, f"{folder}/t") == commit
+    spark.createDataFrame([(1, "c", "h3", 3, 2024, 1), (2, "x", "h", 1, 2024, 2)], schema).write.mode("append").parquet(f"{folder}/in")
+    go()
+    assert rows_of(tables.read(spark, f"{folder}/t"), "k", "v") == [(1, "c"), (2, "x")]

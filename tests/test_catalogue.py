@@ -30,3 +30,8 @@ def test_query(spark, con, name):
         assert differences(spark, con, name, SF_DIR) is None
     else:
         assert entry.queries()[name](spark, SF_DIR).count() > 0
+
+
+def test_the_count_reconciliation_reads_order_lines_at_most_twice(spark):
+    plan = entry.queries()["reconcile_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 2

@@ -253,6 +253,41 @@ def test_gold_run_is_repeatable_and_checked(spark, folder):
     assert [r.check for r in checks.failed(strict).collect()] == ["rows lost at the calendar edge"]
 
 
+def files_by_day(rows):
+    found = rows.select("pickup_date_sk", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return {r.pickup_date_sk: r.f for r in found}
+
+
+def test_a_refresh_rewrites_only_the_days_it_is_given(spark, folder):
+    day = lambda d, fare: {
+        "tpep_pickup_datetime": dt.datetime(2024, 3, d, 8), "tpep_dropoff_datetime": dt.datetime(2024, 3, d, 9),
+        "PULocationID": 3, "fare_amount": fare,
+    }
+    first = trip(spark, day(1, 10.0), day(2, 20.0), day(3, 30.0))
+    target = gold.GoldTables(f"{folder}/gold")
+    gold.run(first, zones(spark), YEAR, target)
+    names = ("fct_trips", "mart_slot_parts", "daily_metrics_by_zone")
+    before = {n: files_by_day(tables.read(spark, target.named(n))) for n in names}
+    # Day 2 changes, day 3 goes, day 4 comes; day 1 has a new row too, but is not refreshed.
+    later = trip(spark, day(1, 10.0), day(1, 11.0), day(2, 21.0), day(2, 29.0), day(4, 40.0))
+    dims = gold.stored_dimensions(spark, dimensions(spark), target)
+    made = gold.refresh(later, dims, YEAR, target, [20240302, 20240303, 20240304])
+    assert rows_of(made["daily"], "pickup_date_sk", "total_trips", "avg_fare") == [
+        (20240301, 1, 10.0), (20240302, 2, 25.0), (20240304, 1, 40.0),
+    ]
+    for name in names:
+        after = files_by_day(tables.read(spark, target.named(name)))
+        assert after[20240301] == before[name][20240301]
+        assert after[20240302] != before[name][20240302]
+        assert set(after) == {20240301, 20240302, 20240304}
+    whole = gold.run(later.where("day(pickup_datetime) > 1").unionAll(first.where("day(pickup_datetime) = 1")),
+                     zones(spark), YEAR, gold.GoldTables(f"{folder}/whole"))
+    assert checks.failed(whole).isEmpty()
+    for name in (*names, "hourly_demand_patterns"):
+        again = tables.read(spark, f"{folder}/whole/{name}")
+        assert same(tables.read(spark, target.named(name)).select(*again.columns), again)
+
+
 def test_labels_of_a_sample(spark):
     rows = fact(spark, {"PULocationID": 3}, {"VendorID": 2, "fare_amount": 1.0})
     labelled = resolve_labels(rows, dimensions(spark), ["fare_amount"], 1)
