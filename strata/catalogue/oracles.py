@@ -486,6 +486,14 @@ ORACLES["profile_numeric"] = (
         "trip_distance", "trip_distance", "trip_distance <= 0", "trip_distance > 15", "norm"
     )
 )
+ORACLES["profile_sketches"] = f"""WITH {_EVENTS}
+SELECT CAST(count(DISTINCT month) AS INTEGER) AS months, count(fare_amount) AS value_count, true AS p50_right,
+  true AS p95_right, true AS p99_right FROM norm"""
+ORACLES["key_sketches"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS candidate_key, count(*) AS total_rows,
+        count(DISTINCT ({keys})) AS distinct_keys, true AS estimate_right FROM lineitem"""
+    for name, keys in {"order": "l_orderkey", "line": "l_orderkey, l_linenumber", "part": "l_partkey"}.items()
+)
 ORACLES["profile_values"] = f"""WITH {_EVENTS}
 SELECT CAST(passenger_count AS DOUBLE) AS passenger_count, count(*) AS row_count
 FROM norm GROUP BY 1"""

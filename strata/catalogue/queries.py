@@ -26,8 +26,6 @@ from strata.sources import landing, lookups, tables
 from strata.streaming import incremental
 
 SCALE = 9
-# percentile_approx is exact while it may keep every distinct value.
-EXACT = 1_000_000
 BOROUGH = "ASIA"
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
@@ -443,14 +441,53 @@ def profile_numeric(spark, sf_dir):
     rows = B.event_trips(spark, sf_dir)
     fare, distance = F.col("fare_amount"), F.col("trip_distance")
     return profile.numeric_profile(
-        rows, "fare_amount", fare <= 1, fare > 300, SCALE, EXACT
+        rows, "fare_amount", fare <= 1, fare > 300, SCALE, "exact"
     ).unionByName(
         profile.numeric_profile(
-            rows, "trip_distance", distance <= 0, distance > 15, SCALE, EXACT
+            rows, "trip_distance", distance <= 0, distance > 15, SCALE, "exact"
         )
     )
 
 
+@query
+def profile_sketches(spark, sf_dir):
+    """Quantile sketches of the fares per month, merged: values counted, and whether each point is right.
+
+    A point is right if at most 1 % of the values lie between it and its rank; an exact count says so.
+    """
+    rows = B.event_trips(spark, sf_dir).withColumn("month", F.month("tpep_pickup_datetime"))
+    sketches = tables.overwrite(
+        profile.quantile_sketches(rows, "fare_amount", ["month"]), scratch_path(spark, "sketches")
+    )
+    found = profile.merged_quantiles(sketches).first()
+    fare = F.col("fare_amount")
+    points = {p: F.lit(found[f"{p}_value"]) for p in profile.PERCENTILES}
+    ranks = rows.agg(*(F.avg((fare <= v).cast("double")).alias(p) for p, v in points.items()))
+    return ranks.select(
+        F.lit(sketches.count()).alias("months"),
+        F.lit(found.value_count).alias("value_count"),
+        *(
+            (F.abs(F.col(p) - share) <= 0.01).alias(f"{p}_right") for p, share in profile.PERCENTILES.items()
+        ),
+    )
+
+
+@query
+def key_sketches(spark, sf_dir):
+    """Distinct-key sketches per ship month, merged; within 4 % of the exact count (five times the error)."""
+    candidates = {"order": ("l_orderkey",), "line": LINE_KEY, "part": ("l_partkey",)}
+    lines = B.table(spark, sf_dir, "lineitem").withColumn("ship_month", F.trunc("l_shipdate", "month"))
+    stored = tables.overwrite(
+        profile.key_sketches(lines, candidates, ["ship_month"]), scratch_path(spark, "key-sketches")
+    )
+    about = profile.merged_key_counts(stored, list(candidates))
+    exact = profile.duplicate_keys(lines, candidates).drop("total_rows")
+    share = F.abs(F.col("about_distinct") - F.col("distinct_keys")) / F.col("distinct_keys")
+    return about.join(exact, "candidate_key").select(
+        "candidate_key", "total_rows", "distinct_keys", (share <= 0.04).alias("estimate_right")
+    )
+
+
 @query
 def profile_values(spark, sf_dir):
     return profile.value_counts(B.event_trips(spark, sf_dir), "passenger_count")
@@ -463,7 +500,7 @@ def profile_duration(spark, sf_dir):
     )
     minutes = F.col("duration_minutes")
     return profile.numeric_profile(
-        rows, "duration_minutes", minutes < 0, minutes > 1440, SCALE, EXACT
+        rows, "duration_minutes", minutes < 0, minutes > 1440, SCALE, "exact"
     )
 
 

@@ -359,8 +359,14 @@ def test_profile(spark):
     # A key with a NULL part counts as a key.
     keys = profile.duplicate_keys(rows, {"ab": ["a", "b"]}).first()
     assert (keys.total_rows, keys.distinct_keys, keys.duplicate_rows) == (3, 2, 1)
-    numbers = profile.numeric_profile(rows, "v", F.col("v") <= 1, F.col("v") > 5).first()
-    assert (numbers.min_value, numbers.max_value, numbers.too_low, numbers.too_high) == (1, 2, 1, 0)
+    for quantiles in ("sketch", "exact"):
+        numbers = profile.numeric_profile(rows, "v", F.col("v") <= 1, F.col("v") > 5, None, quantiles).first()
+        assert (numbers.min_value, numbers.max_value, numbers.too_low, numbers.too_high) == (1, 2, 1, 0)
+        assert (numbers.mean_value, numbers.p50_value, numbers.p99_value) == (1.5, 1.0, 2.0)
+        none = profile.numeric_profile(rows.where("false"), "v", F.col("v") <= 1, F.col("v") > 5, 9, quantiles).first()
+        assert (none.min_value, none.mean_value, none.p50_value, none.too_low) == (None, None, None, 0)
+    with pytest.raises(ValueError):
+        profile.numeric_profile(rows, "v", F.col("v") <= 1, F.col("v") > 5, None, "some")
     assert rows_of(profile.value_counts(rows, "a"), "*") == [(1, 2), (2, 1)]
     stats = profile.describe(rows, ["v"]).first()
     assert (stats.value_count, stats["mean"], stats["min"], stats["max"]) == (2, 1.5, 1.0, 2.0)
@@ -370,6 +376,37 @@ def test_profile(spark):
     assert rows_of(profile.orphan_counts(unknown), "*") == [("a", 1), ("c", 1)]
 
 
+def test_exact_quantiles_are_those_of_the_sorted_values(spark):
+    """A third of the rows hold one value; the ranks are found range by range."""
+    rows = spark.range(9001).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") * 7919 % 5003 / 10).alias("v")
+    )
+    values = sorted(r.v for r in rows.collect())
+    got = profile.numeric_profile(rows, "v", F.col("v") < 7, F.col("v") > 7, 9, "exact").first()
+    for name, p in profile.PERCENTILES.items():
+        assert got[f"{name}_value"] == values[int(-(-len(values) * p // 1)) - 1]
+    assert (got.too_low, got.too_high) == (sum(v < 7 for v in values), sum(v > 7 for v in values))
+    assert got.mean_value == pytest.approx(sum(values) / len(values))
+
+
+def test_sketches_merge_within_their_error(spark, folder):
+    rows = spark.range(60_000).select((F.col("id") % 12).alias("m"), (F.col("id") * 7919 % 59_999).alias("v"))
+    parts = tables.overwrite(profile.quantile_sketches(rows, "v", ["m"]), f"{folder}/q")
+    found = profile.merged_quantiles(parts).first()
+    assert (parts.count(), found.value_count) == (12, 60_000)
+    for name, p in profile.PERCENTILES.items():
+        assert abs(found[f"{name}_value"] / 59_999 - p) < 0.01
+    keys = {"v": ["v"], "both": ["m", "v"], "m": ["m"]}
+    stored = tables.overwrite(profile.key_sketches(rows, keys, ["m"]), f"{folder}/k")
+    about = {r.candidate_key: r for r in profile.merged_key_counts(stored, list(keys)).collect()}
+    exact = {r.candidate_key: r for r in profile.duplicate_keys(rows, keys).collect()}
+    for name in keys:
+        assert abs(about[name].about_distinct / exact[name].distinct_keys - 1) < 0.04
+    assert profile.merged_key_counts(stored.where("false"), ["v"]).first().about_distinct == 0
+    lines = tables.overwrite(rows, f"{folder}/rows")
+    assert plan_of(profile.duplicate_keys(lines, keys)).count("FileScan") == 1
+
+
 def test_date_dimension_has_no_default_member(spark):
     only = Dimension(
         date_dimension(days(spark, Calendar(dt.date(2024, 1, 1), dt.date(2024, 1, 1)))),
