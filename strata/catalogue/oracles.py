@@ -822,8 +822,19 @@ ORACLES["stream_upsert"] = ORACLES["upsert_merge"]
 ORACLES["file_ledger"] = f"""
 SELECT {_MONTHS}, 'batch-1' AS ingestion_batch_id, count(*) AS row_count FROM orders
 GROUP BY ALL"""
-ORACLES["ledger_backfill"] = (
-    _check("rebuilt ledger = ledger", "0", "count(*) - count(o_orderdate)", "true", "orders")
-    + " UNION ALL "
-    + _check("bronze = ledger", "count(*)", "count(*)", "true", "orders")
-)
+ORACLES["ledger_backfill"] = f"""
+SELECT {_MONTHS}, CAST(1 AS BIGINT) AS files, count(*) AS row_count, true AS as_recorded FROM orders
+GROUP BY ALL"""
+ORACLES["upsert_catalog"] = ORACLES["upsert_merge"]
+_SILVER_ROW = (
+    "airport_fee", "congestion_surcharge", "dropoff_datetime", "dropoff_location_id", "extra", "fare_amount",
+    "improvement_surcharge", "mta_tax", "passenger_count", "payment_type", "pickup_datetime",
+    "pickup_location_id", "rate_code_id", "store_and_fwd_flag", "tip_amount", "tolls_amount", "total_amount",
+    "trip_distance", "trip_duration_minutes", "vendor_id",
+)
+ORACLES["row_hash_silver"] = f"""WITH {_ORDERS}
+SELECT {_TRIP_KEY}, sha256(concat_ws('||', {
+    ", ".join(f"coalesce(CAST({c} AS VARCHAR), '∅')" for c in _SILVER_ROW)})) AS _row_hash FROM silver"""
+ORACLES["lookup_skipped"] = f"""WITH {_EVENTS}
+SELECT 'pickup zones' AS "check", 'no lookup at zones.csv or zones' AS message,
+  count(DISTINCT pickup_location_id) AS ids FROM norm"""

@@ -86,8 +86,10 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(pa.Table.from_arrays(data, schema=arrow), schema)
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database if it is not there, in the warehouse or at a location of its own."""
+    place = f" LOCATION '{location}'" if location is not None else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def ensure(spark: SparkSession, target: str, schema: T.StructType) -> None:
