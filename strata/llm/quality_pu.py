@@ -196,9 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, fold: Column, s: Settings = Settings
     prior = known.agg(F.avg("quality")).first()[0]
     if prior is None:
         return np.zeros(SIZE)
-    sample = X.labelled_sample(
-        labels.where("quality = 1"), "quality", fold, s.most_positives
-    ).select(F.col("doc_id").alias("trusted"))
+    sample = X.labelled_sample(labels, "quality", fold, s.most_positives, only=1).select(
+        F.col("doc_id").alias("trusted")
+    )
     rows = docs.select("doc_id", "text").where(fold)
     rows = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("trusted"), "left").select(
         measured(F.col("text")).alias("measured"),

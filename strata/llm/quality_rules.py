@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import text as X
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 
 @dataclass(frozen=True)
@@ -35,10 +35,6 @@ class Settings:
     most_trusted: int = 50_000
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
     with_word = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(X.SPACE)) != "")
@@ -71,14 +67,35 @@ def _covered(hashes: Column, n: int) -> Column:
     return F.aggregate(ordered, zero, add, lambda state: state["words"])
 
 
+def _side_by_side(left: Column, right: Column, gap: int) -> Column:
+    """The hash of each element with the one of ``right`` that is ``gap`` places on."""
+
+    def pairs(a: Column, b: Column) -> Column:
+        first = F.slice(a, 1, F.greatest(F.size(b) - gap, F.lit(0)))
+        return F.transform(first, lambda h, i: F.xxhash64(h, F.get(b, i + gap)))
+
+    if left is right:
+        return X.let(left, lambda a: pairs(a, a))
+    return X.let(left, lambda a: X.let(right, lambda b: pairs(a, b)))
+
+
+def window_hashes(words: Column, n: int) -> Column:
+    """A hash of each n-word window. Windows of twice the length are put together from two halves, so a
+    word is hashed once and a window costs as many steps as ``n`` has binary digits, not ``n``."""
+    now, size = F.transform(words, lambda w: F.xxhash64(w)), 1
+    done, length = None, 0
+    while True:
+        if n & size:
+            done, length = (now if done is None else _side_by_side(done, now, length)), length + size
+        if 2 * size > n:
+            return done
+        now, size = _side_by_side(now, now, size), 2 * size
+
+
 def repeated_words(words: Column, n: int) -> Column:
     """Words in n-word windows found twice or more in the text, the first included."""
-    starts = F.sequence(F.lit(0), F.size(words) - n)
-    hashes = X.let(
-        words, lambda w: F.transform(starts, lambda i: F.xxhash64(F.slice(w, i + 1, n)))
-    )
     counted = X.let(
-        hashes,
+        window_hashes(words, n),
         lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
             _covered(h, n)
         ),
@@ -151,10 +168,8 @@ def judge(docs: DataFrame, trusted: DataFrame, s: Settings = Settings()) -> Data
     measured = rows.select("doc_id", text.alias("text"), X.words(text).alias("words")).select(
         "doc_id",
         F.size("words").cast("bigint").alias("n_words"),
-        F.char_length(without(F.col("text"), X.SPACE)).cast("bigint").alias("word_chars"),
-        (F.char_length("text") - F.char_length(without(F.col("text"), SYMBOLS)))
-        .cast("bigint")
-        .alias("n_symbols"),
+        F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         duplicate_lines(F.col("text")).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words"), s.window).cast("bigint").alias("n_repeat_words"),
         buckets(F.col("words"), s.buckets).alias("grams"),

@@ -74,9 +74,8 @@ FROM rows r LEFT JOIN firsts f ON r.payload_digest = f.payload_digest
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
-    sample = X.labelled_sample(
-        labels.where("quality = 1"), "quality", F.lit(True), quality_rules.Settings.most_trusted
-    )
+    most = quality_rules.Settings.most_trusted
+    sample = X.labelled_sample(labels, "quality", F.lit(True), most, only=1)
     return quality_rules.judge(read(spark, sf_dir, "documents"), sample)
 
 

@@ -46,12 +46,17 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(filled(doc_id.cast("string")).cast("binary")) % divisor
 
 
-def labelled_sample(labels: DataFrame, label: str, fold: Column, most: int) -> DataFrame:
+def labelled_sample(
+    labels: DataFrame, label: str, fold: Column, most: int, only: int | None = None
+) -> DataFrame:
     """At most ``most`` training rows (doc_id, label), so a size fit for a broadcast.
 
     ``fold`` says which rows may be learnt from. A document labelled twice counts as 1 only if
-    all its labels are. Rows are taken by the hash of the id, so the choice is repeatable.
+    all its labels are; ``only`` then keeps the documents of one label. Rows are taken by the hash of
+    the id, so the choice is repeatable.
     """
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & fold)
     one = rows.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
+    if only is not None:
+        one = one.where(F.col("label") == only)
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
