@@ -7,7 +7,12 @@ written in ZIP64 form whatever their size, so one layout serves all sizes.
 Reading never unpacks a package. The end record and the central directory (or their ZIP64 forms)
 say where the members lie; the index says where the records lie; tasks then read byte ranges.
 Records next to each other are read as one range of about ``span_bytes``, so a large package is
-read by many tasks. A WARC without an index in its package is read as one range from its start.
+read by many tasks, as many as its bytes make ranges.
+
+A package may hold any number of WARC members. ``indexes/NAME.cdx`` is the index of ``archive/NAME.warc.gz`` (or
+``NAME.warc``); a line of ``indexes/index.cdx`` may name its member in a third field, and if it does not, it is
+that of the package's only member. A member without an index is read as one range, record by
+record. Members ending in ``.warc`` are not packed: their records are told apart by their lengths.
 
 Files are reached through ``pyarrow.fs``, so a package may lie on a shared disk or in a store.
 Every attempt at writing a package uses a file name of its own, and only the names that successful
@@ -35,9 +40,10 @@ from strata.session import scratch_path
 
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 PACKAGES = "path string, records bigint, bytes bigint"
-SPANS = "path string, start bigint, size bigint"
+SPANS = "path string, start bigint, size bigint, packed boolean"
 RECORDS = """path string, record_type string, record_id string, target_uri string,
   payload_digest string, refers_to string, payload binary"""
+MOST_TASKS = 10_000
 _END, _END64, _LOCATOR64 = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 
 
@@ -225,29 +231,40 @@ def members(file, length: int) -> Iterator[tuple[str, int, int, int]]:
         at += 46 + n + m + k
 
 
-def _spans(file, length: int, span_bytes: int) -> Iterator[tuple[int, int]]:
-    """Byte ranges of whole records, in the order they lie in."""
+def _spans(file, length: int, span_bytes: int) -> Iterator[tuple[int, int, bool]]:
+    """(start, size, packed) of byte ranges of whole records, in the order they lie in."""
     known = {name: rest for name, *rest in members(file, length)}
-    for name, (method, start, size) in known.items():
-        if not name.endswith((".warc", ".warc.gz")):
-            continue
+    archives = [name for name in known if name.endswith((".warc", ".warc.gz"))]
+    for name in archives:
+        method, start, size = known[name]
         if method != zipfile.ZIP_STORED:
             raise ValueError(f"member {name} is compressed and cannot be read by range")
-        if INDEX_MEMBER not in known:
-            yield start, size
-            continue
-        _, index_start, index_size = known[INDEX_MEMBER]
+        packed = name.endswith(".gz")
         first = last = 0
-        for offset, record in _index(file, index_start, index_size):
+        for offset, record in _records_of(file, known, name, len(archives) == 1):
             if last - first >= span_bytes:
-                yield start + first, last - first
+                yield start + first, last - first, packed
                 first = offset
             last = offset + record
         if last > first:
-            yield start + first, last - first
+            yield start + first, last - first, packed
+        elif size and not last:
+            yield start, size, packed
+
+
+def _records_of(file, known: dict, name: str, only: bool) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records of a WARC member by its index; nothing if it has none."""
+    base = name.rpartition("/")[2]
+    own = f"indexes/{base.removesuffix('.gz').removesuffix('.warc')}.cdx"
+    index = own if own in known and own != INDEX_MEMBER else INDEX_MEMBER
+    if index in known:
+        for offset, length, *named in _index(file, *known[index][1:]):
+            if index == own or (named[0] in (name, base) if named else only):
+                yield int(offset), int(length)
 
 
-def _index(file, start: int, size: int, block: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _index(file, start: int, size: int, block: int = 1 << 20) -> Iterator[list[str]]:
+    """The fields of each line of an index, read a block at a time."""
     rest, end = b"", start + size
     while start < end:
         file.seek(start)
@@ -255,12 +272,43 @@ def _index(file, start: int, size: int, block: int = 1 << 20) -> Iterator[tuple[
         start += len(data)
         *lines, rest = (rest + data).split(b"\n")
         for line in lines:
-            offset, length = line.split()
-            yield int(offset), int(length)
+            yield line.decode().split()
+    if rest.strip():
+        yield rest.decode().split()
+
+
+def _plain_records(file, start: int, size: int, block: int = 1 << 20) -> Iterator[bytes]:
+    """The records of a byte range that is not packed; each ends where its header says."""
+    file.seek(start)
+    left, data = size, b""
+
+    def more() -> bytes:
+        nonlocal left
+        if not left:
+            raise ValueError("the range ends inside a record")
+        got = file.read(min(block, left))
+        left -= len(got)
+        return got
+
+    while left or data:
+        while (at := data.find(b"\r\n\r\n")) < 0:
+            data += more()
+        fields = dict(line.split(b": ", 1) for line in data[:at].split(b"\r\n")[1:])
+        whole = at + 4 + int(fields[b"Content-Length"]) + 4
+        parts, got = [data], len(data)
+        while got < whole:
+            parts.append(more())
+            got += len(parts[-1])
+        data = b"".join(parts)
+        yield data[:whole]
+        data = data[whole:]
 
 
 def read_records(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
-    """The records of the packages named by ``path``, by range reads."""
+    """The records of the packages named by ``path``, by range reads, in a task a range.
+
+    ``bytes``, if the table of packages has it, tells how many ranges to expect.
+    """
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,10 +316,11 @@ def read_records(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
                 system, inner = _file_system(path)
                 with system.open_input_file(inner) as file:
                     found = list(_spans(file, file.size(), span_bytes))
-                columns = list(zip(*found)) if found else [[], []]
+                columns = list(zip(*found)) if found else [[], [], []]
+                types = (pa.int64(), pa.int64(), pa.bool_())
                 names = pa.array([path] * len(found), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [names, *[pa.array(c, pa.int64()) for c in columns]], ["path", "start", "size"]
+                    [names, *map(pa.array, columns, types)], ["path", "start", "size", "packed"]
                 )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +330,8 @@ def read_records(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
                 system, inner = _file_system(span["path"])
                 with system.open_input_file(inner) as file:
                     rows = []
-                    for raw in _gzip_members(file, span["start"], span["size"]):
+                    each = _gzip_members if span["packed"] else _plain_records
+                    for raw in each(file, span["start"], span["size"]):
                         rows.append(_parse(span["path"], raw))
                         if len(rows) == 256:
                             yield _batch(rows, schema)
@@ -291,8 +341,13 @@ def read_records(packages: DataFrame, span_bytes: int = 4 << 20) -> DataFrame:
 
     names = [part.split()[0] for part in RECORDS.split(",")]
     spans = packages.select("path").mapInArrow(locate, SPANS)
-    # Without this the task that read a package's directory would read all its records.
-    return spans.repartition("path", "start").mapInArrow(fetch, RECORDS)
+    # Without this the task that read a package's directory would read all its records; without
+    # a number the few small rows of ``spans`` would be merged into one partition.
+    tasks = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if "bytes" in packages.columns:
+        total = packages.agg(F.sum("bytes")).first()[0] or 0
+        tasks = min(MOST_TASKS, 1 + total // span_bytes)
+    return spans.repartition(tasks, "path", "start").mapInArrow(fetch, RECORDS)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -355,7 +410,8 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
 def resolve(records: DataFrame) -> DataFrame:
     """Records with the size and digest of their full payload; a revisit has its response's.
 
-    The digest of a response is computed from the bytes read, not taken from its header.
+    The digest of a response is computed from the bytes read, not taken from its header. The records
+    are read once: what is used of them, without their payloads, is staged.
     """
     seen = records.select(
         "record_id",
@@ -365,6 +421,9 @@ def resolve(records: DataFrame) -> DataFrame:
         F.octet_length("payload").cast("bigint").alias("bytes"),
         F.sha2("payload", 256).alias("digest"),
     )
+    staged = scratch_path(records.sparkSession, "warc-records")
+    seen.write.parquet(staged)
+    seen = records.sparkSession.read.schema(seen.schema).parquet(staged)
     responses = (
         seen.where("record_type = 'response'")
         .select(
