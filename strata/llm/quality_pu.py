@@ -169,7 +169,6 @@ def minimise(u: np.ndarray, p: np.ndarray, prior: float, s: Settings) -> np.ndar
     if not u[0, 0] or not p[0, 0]:
         return np.zeros(SIZE)
     u, p = u / u[0, 0], p / p[0, 0]
-    w = np.zeros(SIZE)
 
     def loss(m, w, sign):
         return (1 - 2 * sign * (m[0] * w).sum() + (w * _times(m, w)).sum()) / 4
@@ -177,17 +176,32 @@ def minimise(u: np.ndarray, p: np.ndarray, prior: float, s: Settings) -> np.ndar
     def slope(m, w, sign):
         return (_times(m, w) - sign * m[0]) / 2
 
-    # A fixed change of scale lets one step length fit all directions.
-    scale = _inverse(u + s.ridge * np.eye(SIZE))
-    for _ in range(s.steps):
-        negative = loss(u, w, -1) - prior * loss(p, w, -1)
-        down = slope(u, w, -1) - prior * slope(p, w, -1)
-        if negative < 0:
-            step = -down
-        else:
-            step = prior * slope(p, w, 1) + down
-        w -= s.rate * _times(scale, step + s.ridge * w / 2)
-    return w
+    def descend(scale, rate):
+        w = np.zeros(SIZE)
+        for _ in range(s.steps):
+            negative = loss(u, w, -1) - prior * loss(p, w, -1)
+            down = slope(u, w, -1) - prior * slope(p, w, -1)
+            if negative < 0:
+                step = -down
+            else:
+                step = prior * slope(p, w, 1) + down
+            w -= rate * _times(scale, step + s.ridge * w / 2)
+        return w
+
+    def risk(w):
+        return prior * loss(p, w, 1) + max(loss(u, w, -1) - prior * loss(p, w, -1), 0.0)
+
+    # A fixed change of scale lets one step length fit all directions. A few positives that lie far
+    # out make the loss steeper than the unlabelled texts tell, and the steps grow without end; then
+    # the scale takes them in too, and the steps get shorter until the risk is below that of no weights.
+    most, rate, spread = risk(np.zeros(SIZE)), s.rate, u
+    for _ in range(8):
+        with np.errstate(over="ignore", invalid="ignore"):
+            w = descend(_inverse(spread + s.ridge * np.eye(SIZE)), rate)
+            if np.isfinite(w).all() and risk(w) <= most:
+                return w
+        rate, spread = rate / 2, u + p
+    return np.zeros(SIZE)
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: Column, s: Settings = Settings()) -> np.ndarray:
