@@ -18,7 +18,11 @@ set of links; its id is the smallest document id in it.
    no bucket holds two classes, so there is no cap on a bucket's size. Members of one class are
    never compared to tell what is known, whatever their number; members of different classes
    of a bucket are, unless bounds exclude a link, so that none is lost. Bands take their pivots in
-   four different orders, so a large group does not hang on one pivot.
+   four different orders, so a large group does not hang on one pivot. The strongest bound is what a
+   text has to itself: shingles that no other text still in a bucket has are part of every union
+   and of no overlap. It is counted anew in each round. A member leaves a bucket if what it
+   has to itself, with the least that any member has, leaves too little for a link. So many
+   variants of one text, all alike and none linked, go without being compared with each other.
 4. In each round pairs are first compared by their registers (one byte each), and those that could
    reach the threshold by the exact overlap of the whole multisets, so classes are exact at once.
 
@@ -42,6 +46,7 @@ from strata.session import scratch_path
 
 U = np.uint64
 SHINGLE = 5
+_EPS = 1e-6  # for bounds in doubles
 
 
 @dataclass(frozen=True)
@@ -150,6 +155,16 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(int(weight.sum()) - shared, 1)
 
 
+def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(first text, one past the last, first word, one past the last) of at most 2^20 words, or one text."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + (1 << 20), "right")))
+        yield start, stop, done, int(ends[stop - 1])
+        start = stop
+
+
 def _lists(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     return rows.flatten().to_numpy(zero_copy_only=False), sizes
@@ -161,15 +176,11 @@ def sketches(text: Column, s: Settings) -> Column:
     @F.arrow_udf("struct<buckets array<bigint>, registers binary, size int>")
     def compute(rows: pa.Array) -> pa.Array:
         flat, sizes = _lists(rows)
-        ends, buckets, registers, start = np.cumsum(sizes), [], [], 0
-        while start < len(sizes):
-            done = int(ends[start - 1]) if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + (1 << 20), "right")))
-            part = sizes[start:stop]
-            one, two = sketch(flat[done : done + int(part.sum())], part, s)
+        buckets, registers = [], []
+        for start, stop, low, high in _parts(sizes):
+            one, two = sketch(flat[low:high], sizes[start:stop], s)
             buckets.append(one.view(np.int64).ravel())
             registers += [row.tobytes() for row in two]
-            start = stop
         offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * s.bands)
         values = pa.array(np.concatenate(buckets) if buckets else np.zeros(0, np.int64))
         return pa.StructArray.from_arrays(
@@ -187,9 +198,10 @@ def sketches(text: Column, s: Settings) -> Column:
 def _agreement(a: Column, b: Column) -> Column:
     @F.arrow_udf("double")
     def share(left: pa.Array, right: pa.Array) -> pa.Array:
-        rows = zip(left.to_pylist(), right.to_pylist())
-        equal = [np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) for x, y in rows]
-        return pa.array(equal, pa.float64())
+        if not len(left):
+            return pa.array([], pa.float64())
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (left, right))
+        return pa.array((a == b).mean(axis=1), pa.float64())
 
     # A filter on the share must not make Spark compute it twice; so with the overlap below.
     return share.asNondeterministic()(a, b)
@@ -209,6 +221,25 @@ def _overlap(a: Column, b: Column) -> Column:
     return exact.asNondeterministic()(a, b)
 
 
+def _weights(words: Column) -> Column:
+    """The distinct shingles of a text with how often each occurs."""
+
+    @F.arrow_udf("array<struct<shingle bigint, n int>>")
+    def counted(rows: pa.Array) -> pa.Array:
+        flat, sizes = _lists(rows)
+        ends, values, counts = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, stop, low, high in _parts(sizes):
+            doc, value, n = weighted(*shingles(flat[low:high], sizes[start:stop]))
+            ends.append(ends[-1][-1] + np.searchsorted(doc, np.arange(stop - start), "right"))
+            values.append(value.view(np.int64))
+            counts.append(n)
+        items = [pa.array(np.concatenate(values)), pa.array(np.concatenate(counts), pa.int32())]
+        offsets = pa.array(np.concatenate(ends), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(items, ["shingle", "n"]))
+
+    return counted(words)
+
+
 # --- Plan ---------------------------------------------------------------------------------------
 
 
@@ -283,6 +314,7 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
         now = stage.kept(now.join(open_, "bucket", "left_semi"))
         if now.isEmpty():
             break
+        now = stage.kept(_hopeful(_with_own(now, texts, stage), s))
         pivots *= 4
         heads = stage.kept(_first(now, pivots))
         ahead = heads.select(
@@ -291,17 +323,20 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
             F.col("class").alias("pivot_class"),
             F.col("agree").alias("pivot_agree"),
             F.col("size").alias("pivot_size"),
+            F.col("own").alias("pivot_own"),
         )
         # One minus the similarity is a metric: two texts whose distances to the first pivot differ
         # by more than the threshold allows cannot be linked (the slack is over three deviations);
-        # nor can two of which one has too few shingles.
+        # nor can two of which one has too few shingles, or too few that are not its own.
         apart = 1 - s.threshold + s.slack
+        shared = F.least(F.col("member.size") - F.col("own"), F.col("pivot_size") - F.col("pivot_own"))
         differ = (
             (F.col("bucket") == F.col("of"))
             & (F.col("class") != F.col("pivot_class"))
             & (F.abs(F.col("agree") - F.col("pivot_agree")) <= apart)
             & (F.col("member.size") >= s.threshold * F.col("pivot_size"))
             & (F.col("pivot_size") >= s.threshold * F.col("member.size"))
+            & (shared * (1 + s.threshold) >= s.threshold * (F.col("member.size") + F.col("pivot_size")) - _EPS)
         )
         # A pair that met in another bucket is not compared again.
         pairs = _ordered(now.join(ahead, differ)).distinct()
@@ -310,7 +345,7 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
         links = stage.kept(_linked(_compared(pairs, nodes), texts, s))
         label = _merged(label, links, stage)
         # A pivot has now been compared with every member that is not in its class.
-        rest = stage.kept(now.drop("class").join(heads, ["bucket", "node"], "left_anti"))
+        rest = stage.kept(now.drop("class", "own").join(heads, ["bucket", "node"], "left_anti"))
     return label
 
 
@@ -334,7 +369,32 @@ def _first(members: DataFrame, n: int) -> DataFrame:
     # more of the group is close to them than to one another.
     order = Window.partitionBy("bucket").orderBy(F.desc("agree"), "member")
     ranked = members.withColumn("place", F.row_number().over(order))
-    return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "member.size")
+    return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "own", "member.size")
+
+
+def _with_own(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
+    """``members`` with ``own``: how many shingles, repeats counted, no other member has anywhere."""
+    nodes = stage.kept(members.select("node").distinct())
+    found = texts.join(nodes, "node", "left_semi")
+    each = found.select("node.a", "node.b", F.explode(_weights(F.col("words"))).alias("g"))
+    # Sums by shingle start in each task, so a shingle that is everywhere moves little.
+    counted = each.groupBy("g.shingle").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("a").alias("a"), F.min("b").alias("b"), F.sum("g.n").alias("n")
+    )
+    own = counted.where("texts = 1").groupBy("a", "b").agg(F.sum("n").alias("own"))
+    same = (F.col("node.a") == F.col("a")) & (F.col("node.b") == F.col("b"))
+    return members.join(own, same, "left").drop("a", "b").withColumn("own", F.coalesce("own", F.lit(0)))
+
+
+def _hopeful(members: DataFrame, s: Settings) -> DataFrame:
+    """The members that some other one of their bucket could still be linked to.
+
+    A link of x and y shares at most what is not x's own, and its union holds all of x and what is y's own.
+    """
+    least = members.groupBy(F.col("bucket").alias("of")).agg(F.min("own").alias("least"))
+    joined = members.join(least, F.col("bucket") == F.col("of"))
+    size, own = F.col("member.size"), F.col("own")
+    return joined.where(size - own >= s.threshold * (size + F.col("least")) - _EPS).drop("of", "least")
 
 
 def _words_of(first: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
