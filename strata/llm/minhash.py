@@ -305,16 +305,11 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
     label, done = components(links, stage), _ordered(known)
     # The first pivots have been compared with all of their buckets; the other members stay.
     rest = first.join(known, ["node", "pivot"]).select("bucket", "member", "node", "agree")
+    rest = stage.kept(_open(_with_facts(rest, label.withColumn("own", F.lit(0))), s))
     pivots = 1
-    while True:
-        # Buckets that hold members of one class only have no pair left to look at.
-        now = _with_class(rest, label, "node", "class")
-        kinds = now.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        open_ = kinds.where("low != high").select("bucket")
-        now = stage.kept(now.join(open_, "bucket", "left_semi"))
-        if now.isEmpty():
-            break
-        now = stage.kept(_hopeful(_with_own(now, texts, stage), s))
+    while not rest.isEmpty():
+        facts = stage.kept(_with_class(_own(rest, texts, stage), label, "node", "class"))
+        now = stage.kept(_open(_with_facts(rest.drop("class", "own"), facts), s))
         pivots *= 4
         heads = stage.kept(_first(now, pivots))
         ahead = heads.select(
@@ -345,7 +340,7 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
         links = stage.kept(_linked(_compared(pairs, nodes), texts, s))
         label = _merged(label, links, stage)
         # A pivot has now been compared with every member that is not in its class.
-        rest = stage.kept(now.drop("class", "own").join(heads, ["bucket", "node"], "left_anti"))
+        rest = stage.kept(_open(now.join(heads, ["bucket", "node"], "left_anti"), s))
     return label
 
 
@@ -372,8 +367,8 @@ def _first(members: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "own", "member.size")
 
 
-def _with_own(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
-    """``members`` with ``own``: how many shingles, repeats counted, no other member has anywhere."""
+def _own(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
+    """(node, own): how many shingles of each member, repeats counted, no other member has anywhere."""
     nodes = stage.kept(members.select("node").distinct())
     found = texts.join(nodes, "node", "left_semi")
     each = found.select("node.a", "node.b", F.explode(_weights(F.col("words"))).alias("g"))
@@ -383,18 +378,29 @@ def _with_own(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
     )
     own = counted.where("texts = 1").groupBy("a", "b").agg(F.sum("n").alias("own"))
     same = (F.col("node.a") == F.col("a")) & (F.col("node.b") == F.col("b"))
-    return members.join(own, same, "left").drop("a", "b").withColumn("own", F.coalesce("own", F.lit(0)))
+    return nodes.join(own, same, "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
 
 
-def _hopeful(members: DataFrame, s: Settings) -> DataFrame:
-    """The members that some other one of their bucket could still be linked to.
+def _with_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """``members`` with the class and the own shingles of their nodes."""
+    on = facts.select(F.col("node").alias("of"), "class", "own")
+    joined = members.join(on, F.col("node") == F.col("of"), "left").drop("of")
+    return joined.withColumns({"class": F.coalesce("class", "node"), "own": F.coalesce("own", F.lit(0))})
 
-    A link of x and y shares at most what is not x's own, and its union holds all of x and what is y's own.
+
+def _open(members: DataFrame, s: Settings) -> DataFrame:
+    """The members that some other one of their bucket, not of their class, could still be linked to.
+
+    Buckets of one class have no pair left to look at. A link of x and y shares at most what is not
+    x's own, and its union holds all of x and what is y's own.
     """
-    least = members.groupBy(F.col("bucket").alias("of")).agg(F.min("own").alias("least"))
-    joined = members.join(least, F.col("bucket") == F.col("of"))
+    kinds = members.groupBy(F.col("bucket").alias("of")).agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.min("own").alias("least")
+    )
+    joined = members.join(kinds.where("low != high"), F.col("bucket") == F.col("of"))
     size, own = F.col("member.size"), F.col("own")
-    return joined.where(size - own >= s.threshold * (size + F.col("least")) - _EPS).drop("of", "least")
+    hopeful = joined.where(size - own >= s.threshold * (size + F.col("least")) - _EPS)
+    return hopeful.drop("of", "low", "high", "least")
 
 
 def _words_of(first: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:

@@ -55,21 +55,23 @@ def test_own_is_what_no_other_member_has(staged):
     open_ = {i: shingles(t) for i, t in texts.items() if i not in (5, 91)}
     among = collections.Counter(itertools.chain.from_iterable(open_.values()))
     want = {i: sum(n for g, n in s.items() if among[g] == 1) for i, s in open_.items()}
-    got = minhash._with_own(members, words, stage).select("bucket", "node.a", "own").collect()
-    assert len(got) == 3 * len(want) and all(r.own == want[r.a] for r in got)
-    none = minhash._with_own(members.where("false"), words, stage)
-    assert none.count() == 0
+    got = minhash._own(members, words, stage).select("node.a", "own").collect()
+    assert len(got) == len(want) and all(r.own == want[r.a] for r in got)
+    assert minhash._own(members.where("false"), words, stage).count() == 0
 
 
 def test_a_bucket_keeps_every_member_with_a_link(staged):
     s = minhash.Settings()
     texts = {**variants(60, 2, 7, 4), 80: "alone among others here now"}
     members, words, stage = staged(texts, 2)
-    kept = minhash._hopeful(minhash._with_own(members, words, stage), s)
+    # Nothing is linked yet, so each node is its own class; the third bucket has one member.
+    facts = minhash._own(members, words, stage).withColumn("class", F.col("node"))
+    alone = members.where("bucket = 0 AND node.a = 1").withColumn("bucket", F.lit(2).cast("bigint"))
+    kept = minhash._open(minhash._with_facts(members.unionAll(alone), facts), s)
     kept = {(r.bucket, r.a) for r in kept.select("bucket", "node.a").collect()}
     linked = {i for a, b in itertools.combinations(texts, 2) if similarity(texts[a], texts[b]) >= s.threshold for i in (a, b)}
     assert linked and {(b, i) for b in (0, 1) for i in linked} <= kept
-    assert len(kept) < 2 * len(texts)
+    assert len(kept) < 2 * len(texts) and not any(b == 2 for b, _ in kept)
 
 
 def test_lookalikes_without_a_link_are_not_all_compared(spark, monkeypatch):
