@@ -152,6 +152,19 @@ def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
+def file_status(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """All files with ``status``: ``pending``, ``loaded``, or ``size changed`` since they were recorded."""
+    known = ledger.groupBy("source_file").agg(
+        F.max_by("file_size_bytes", "ingested_at").alias("_known_size"), F.lit(True).alias("_known")
+    )
+    status = (
+        F.when(F.col("_known").isNull(), "pending")
+        .when(F.col("_known_size") != F.col("file_size_bytes"), "size changed")
+        .otherwise("loaded")
+    )
+    return files.join(known, "source_file", "left").withColumn("status", status).drop("_known_size", "_known")
+
+
 def with_lineage(rows: DataFrame, files: DataFrame, batch_id: str) -> DataFrame:
     """Add year and month of ``_source_file``, the load time and the batch id.
 

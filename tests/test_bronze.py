@@ -7,6 +7,7 @@ import pytest
 from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from strata.catalogue import bindings, queries
 from strata.operators import checks
 from strata.plans import bronze
 from strata.sources import landing, lookups, snapshots, tables
@@ -318,3 +319,33 @@ def test_a_repeated_micro_batch_of_an_upsert_is_skipped(spark, folder, monkeypat
     spark.createDataFrame([(1, "c", "h3", 3, 2024, 1), (2, "x", "h", 1, 2024, 2)], schema).write.mode("append").parquet(f"{folder}/in")
     go()
     assert rows_of(tables.read(spark, f"{folder}/t"), "k", "v") == [(1, "c"), (2, "x")]
+
+
+def test_file_status_tells_the_state_of_every_file(spark):
+    files = spark.createDataFrame(
+        [("a", 5, 2024, 1), ("b", 6, 2024, 2), ("c", 7, 2024, 3), ("d", 8, 2024, 4)], landing.FILE_SCHEMA
+    )
+    book = spark.createDataFrame(
+        [
+            ("a", 5, dt.datetime(2024, 5, 1), "one", 1),
+            ("b", 6, dt.datetime(2024, 5, 1), "one", 1),
+            ("b", 9, dt.datetime(2024, 5, 2), "two", 1),
+            ("d", None, dt.datetime(2024, 5, 1), "one", 1),
+        ],
+        landing.LEDGER_SCHEMA,
+    )
+    found = landing.file_status(files, book)
+    assert found.columns == [*files.columns, "status"]
+    assert rows_of(found, "source_file", "status") == [
+        ("a", "loaded"), ("b", "size changed"), ("c", "pending"), ("d", "loaded"),
+    ]
+
+
+def test_pending_files_reports_every_month(spark, folder):
+    orders = [(i, 1, "O", 1.0, at, "1-URGENT") for i, at in enumerate(
+        [dt.datetime(1995, 3, 1), dt.datetime(1996, 1, 5), dt.datetime(1996, 2, 5), dt.datetime(1997, 1, 1)]
+    )]
+    spark.createDataFrame(orders, bindings.SCHEMAS["orders"]).write.parquet(f"{folder}/orders.parquet")
+    assert rows_of(queries.pending_files(spark, folder), "year", "month", "status", "months") == [
+        (1995, 3, "loaded", 1), (1996, 1, "pending", 1), (1996, 2, "pending", 1), (1997, 1, "loaded", 1),
+    ]
