@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,8 @@ from strata.sources.tables import in_partitions
 
 ACTION = "_action"
 CHANGED = ("inserted", "updated")
+# Rows of a table partition that are merged in one bucket, and become one file.
+ROWS_PER_BUCKET = 500_000
 
 
 def _keys_match(keys: Sequence[str], null_safe: bool) -> Column:
@@ -105,9 +109,85 @@ def actions(
     return found.select(*[F.col(f"s.{key}") for key in keys], action.alias(ACTION), "_file")
 
 
-def _with_keys(rows: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """The rows (not) among the keys of ``found``; NULL keys are equal here, as both sides are the same rows."""
-    return rows.alias("t").join(found.select(*keys).alias("s"), _keys_match(keys, True), how)
+def packed(rows: DataFrame, hash_column: str, row_hash: Column | None) -> DataFrame:
+    """The rows with a hash only where it is not what their columns give, so it is neither moved nor staged.
+
+    A hash of 64 characters would be most of a narrow row. ``unpacked`` gives back every hash as it was.
+    """
+    if row_hash is None:
+        return rows
+    own = F.col(hash_column)
+    return rows.withColumn(hash_column, F.when(~own.eqNullSafe(row_hash), F.struct(own.alias("kept"))))
+
+
+def _hash_of(hash_column: str, row_hash: Column | None) -> Column:
+    """The hash of a packed row."""
+    own = F.col(hash_column)
+    return own if row_hash is None else F.when(own.isNull(), row_hash).otherwise(own["kept"])
+
+
+def unpacked(rows: DataFrame, hash_column: str, row_hash: Column | None) -> DataFrame:
+    return rows.withColumn(hash_column, _hash_of(hash_column, row_hash))
+
+
+def _dealt(rows: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """The rows shuffled once: all of a key together, and each table partition over as many buckets as it needs.
+
+    Counted per table partition, so a busy month is dealt over several tasks, and a task writes few files.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy(*partition_by).agg(F.count("*").alias("_buckets")).collect()
+    fields = [T.StructField(f"_of_{c}", rows.schema[c].dataType) for c in partition_by]
+    schema = T.StructType([*fields, T.StructField("_buckets", T.LongType())])
+    listed = [(*row[:-1], -(-row[-1] // ROWS_PER_BUCKET)) for row in sizes]
+    same = X.all_of(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in partition_by)
+    dealt = rows.join(F.broadcast(tables.inline_rows(spark, listed, schema)), same, "left")
+    bucket = F.pmod(F.xxhash64(*keys), F.col("_buckets"))
+    return dealt.select(*rows.columns, bucket.alias("_bucket")).repartition(*partition_by, "_bucket")
+
+
+def _matched(
+    rows: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    hash_column: str,
+    version_column: str,
+    null_safe: bool,
+    row_hash: Column | None,
+) -> DataFrame:
+    """Packed rows of target and batch (``_new``), each with its action.
+
+    Rows of the batch: ``inserted``, ``updated`` or ``unchanged``; of the target: ``kept`` (its key is not in the
+    batch), ``matched`` (an unchanged key) or ``replaced``. ``twice``: the key is in the batch more than once, or
+    matches several target rows.
+    """
+    # With plain equality a NULL key finds nothing: both sides stay apart.
+    apart = F.lit(None).cast("boolean")
+    if not null_safe:
+        apart = F.when(reduce(or_, [F.col(key).isNull() for key in keys]), F.col("_new"))
+    dealt = _dealt(rows, keys, partition_by).withColumns({"_hash": _hash_of(hash_column, row_hash), "_apart": apart})
+    key = Window.partitionBy(*partition_by, "_bucket", *keys, "_apart")
+    side = lambda new, c: F.max(F.when(F.col("_new") == new, F.col(c))).over(key)
+    found = dealt.withColumns(
+        {
+            "_n_old": F.count_if(~F.col("_new")).over(key),
+            "_n_new": F.count_if(F.col("_new")).over(key),
+            "_newer": F.coalesce(
+                (side(True, "_hash") != side(False, "_hash"))
+                & (side(True, version_column) > side(False, version_column)),
+                F.lit(False),
+            ),
+        }
+    )
+    twice = (F.col("_n_new") > 1) | ((F.col("_n_new") == 1) & (F.col("_n_old") > 1))
+    action = (
+        F.when(twice, "twice")
+        .when(F.col("_new") & (F.col("_n_old") == 0), "inserted")
+        .when(F.col("_new"), F.when(F.col("_newer"), "updated").otherwise("unchanged"))
+        .when(F.col("_newer"), "replaced")
+        .otherwise(F.when(F.col("_n_new") > 0, "matched").otherwise("kept"))
+    )
+    return found.select(*rows.columns, action.alias(ACTION))
 
 
 def upsert(
@@ -119,15 +199,20 @@ def upsert(
     version_column: str,
     null_safe: bool = True,
     stream: tuple[str, int] | None = None,
+    row_hash: Column | None = None,
 ) -> DataFrame:
     """Merge ``source`` into the table at ``target``, a path or a catalog name; returns the action counts.
 
     ``partition_by`` must be a function of the key: of the target only the partitions the source
-    touches are looked at. A join of keys, hashes and versions finds which *files* hold a row
-    that changes. These files alone are written anew, without their old rows and with the new ones,
+    touches are looked at. Their rows and the batch are shuffled once, by table partition and key, which
+    tells the action of each row and so which *files* hold a row that changes. These files alone are
+    written anew, without their old rows and with the new ones,
     and one commit swaps them (``snapshots``): a reader sees the table before or after, and a
     run that dies before its commit has changed nothing. A batch that changes nothing writes nothing.
 
+    ``row_hash`` is the expression over the other columns that ``hash_column`` is made with, if known: a
+    hash that equals it is computed where it is needed instead of being moved.
+
     The plan of ``source`` is run once, into a staged table. One writer at a time. ``stream`` (name and
     batch number) is kept with the commit, see ``snapshots.streams``; such a batch always commits.
     """
@@ -135,24 +220,25 @@ def upsert(
     path = snapshots.place(spark, target)
     based_on = snapshots.latest(spark, path)
     if based_on is None and not tables.path_exists(spark, path):
-        counts = _first_load(source, path, keys, partition_by, stream)
+        counts = _first_load(source, path, keys, partition_by, stream, hash_column, row_hash)
     else:
         counts = _merge_files(
-            source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream
+            source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream, row_hash
         )
     if path != target:
         snapshots.publish(spark, target, path, source.columns)
     return counts
 
 
-def _first_load(source, path, keys, partition_by, stream) -> DataFrame:
+def _first_load(source, path, keys, partition_by, stream, hash_column, row_hash) -> DataFrame:
     """Written in place, then looked at, then committed: the source plan is run once.
 
     A commit of no files comes first, so files of a run that died here are never taken for a table.
     """
     spark = source.sparkSession
     empty = snapshots.commit(spark, path, snapshots.no_files(spark), None)
-    files = snapshots.append_files(source, path, partition_by)
+    rows = tables.rebalanced(packed(source, hash_column, row_hash), partition_by)
+    files = snapshots.append_files(unpacked(rows, hash_column, row_hash), path, partition_by, spread=False)
     paths = [row.path for row in files.select("path").collect()]
     written = snapshots.read_files(spark, path, paths, source.schema)
     require_unique(written, keys)
@@ -161,29 +247,41 @@ def _first_load(source, path, keys, partition_by, stream) -> DataFrame:
 
 
 def _merge_files(
-    source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream
+    source, path, keys, partition_by, hash_column, version_column, null_safe, based_on, stream, row_hash
 ) -> DataFrame:
-    spark = source.sparkSession
-    batch = tables.overwrite(source, scratch_path(spark, "upsert-batch"))
+    spark, columns = source.sparkSession, source.columns
+    batch = tables.overwrite(packed(source, hash_column, row_hash), scratch_path(spark, "upsert-batch"))
     current = tables.read(spark, path, source.schema)
     touched = in_partitions(current, partition_by, partitions_of(batch, partition_by))
-    found = actions(touched, batch, keys, hash_column, version_column, null_safe)
-    found = tables.overwrite(found, scratch_path(spark, "upsert-actions"))
-    require_unique(found, keys)
-    counts = {row.action: row.row_count for row in action_counts(found).collect()}
-    matched = counts.get("updated", 0) + counts.get("unchanged", 0)
-    counts["kept"] = touched.count() - matched
+    # A row names its file by number. The list of files is on the driver for the scan already.
     valid = snapshots.files(spark, path)
+    numbered = [(row.file, i) for i, row in enumerate(valid.select("file").collect())]
+    schema = T.StructType([T.StructField("_path", T.StringType()), T.StructField("_file", T.IntegerType())])
+    numbers = tables.inline_rows(spark, numbered, schema)
+    old = touched.select(*columns, F.col("_metadata.file_path").alias("_path"))
+    old = packed(old.join(F.broadcast(numbers), "_path", "left"), hash_column, row_hash)
+    new = batch.select(*columns, F.lit(None).cast("int").alias("_file"), F.lit(True).alias("_new"))
+    rows = old.select(*columns, "_file", F.lit(False).alias("_new")).unionAll(new)
+    found = _matched(rows, keys, partition_by, hash_column, version_column, null_safe, row_hash)
+    # Staged as the table is parted, so the files that change are written from it without another shuffle.
+    found = tables.overwrite(found, scratch_path(spark, "upsert-actions"), partition_by, spread=False)
+    counts = {row.action: row.row_count for row in action_counts(found).collect()}
+    if counts.get("twice"):
+        raise ValueError(f"the source holds a key ({', '.join(keys)}) more than once")
+    # Files, never rows: at most the file index of the table.
+    replaced = found.where(F.col(ACTION) == "replaced").select("_file").distinct()
+    stale = [row["_file"] for row in replaced.collect()]
+    counts = {action: n for action, n in counts.items() if action not in ("matched", "replaced")}
     if any(counts.get(action) for action in CHANGED):
-        updated = found.where(F.col(ACTION) == "updated")
-        # Files, never rows: at most the file index of the table.
-        stale = updated.select(F.col("_file").alias("file")).distinct().join(valid, "file")
-        stale = tables.overwrite(stale.select("file", "path"), scratch_path(spark, "upsert-files"))
-        old = snapshots.read_files(spark, path, [row.path for row in stale.collect()], source.schema)
-        fresh = _with_keys(batch, found.where(F.col(ACTION).isin(*CHANGED)), keys, "left_semi")
-        rest = _with_keys(old, updated, keys, "left_anti")
-        added = snapshots.append_files(rest.unionByName(fresh), path, partition_by)
-        valid = valid.join(stale, "file", "left_anti").unionByName(added)
+        rest = F.col(ACTION).isin("kept", "matched") & F.col("_file").isin(stale)
+        rows = unpacked(found.where(F.col(ACTION).isin(*CHANGED) | rest), hash_column, row_hash)
+        gone = tables.inline_rows(spark, [numbered[i] for i in stale], schema)
+        valid = tables.overwrite(
+            valid.join(F.broadcast(gone), valid["file"] == F.col("_path"), "left_anti"),
+            scratch_path(spark, "upsert-files"),
+        )
+        added = snapshots.append_files(rows.select(*columns), path, partition_by, spread=False)
+        valid = valid.unionByName(added)
     elif stream is None:
         return _summary(spark, counts)
     snapshots.commit(spark, path, valid, based_on, stream)

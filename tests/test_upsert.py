@@ -192,3 +192,57 @@ def test_a_source_with_a_key_twice_is_refused(spark):
     upsert.require_unique(rows.dropDuplicates(["k"]), ["k"])
     with pytest.raises(ValueError):
         upsert.require_unique(rows, ["k"])
+
+
+def written_plans(monkeypatch):
+    """The plans of all frames written from here on."""
+    plans, writer = [], tables._writer
+
+    def record(df, mode, partition_by):
+        plans.append(plan_of(df))
+        return writer(df, mode, partition_by)
+
+    monkeypatch.setattr(tables, "_writer", record)
+    return plans
+
+
+def test_a_merge_shuffles_its_rows_once(spark, folder, monkeypatch):
+    target = f"{folder}/t"
+    upsert.upsert(batch(spark, *FIRST), target, *ARGS)
+    plans = written_plans(monkeypatch)
+    upsert.upsert(batch(spark, *SECOND), target, *ARGS)
+    assert sum(plan.count("Exchange hashpartitioning") for plan in plans) == 1
+    assert not any("SortMergeJoin" in plan or "ShuffledHashJoin" in plan for plan in plans)
+    assert rows_of(tables.read(spark, target), "k", "v", "ts") == sorted(MERGED, key=repr)
+
+
+def test_a_known_hash_is_not_shuffled_and_any_other_is_kept(spark, folder, monkeypatch):
+    row_hash = F.sha2("v", 256)
+    own = lambda rows: rows.withColumn("h", F.when(F.col("k") == 3, F.col("h")).otherwise(row_hash))
+    plain, packed = f"{folder}/plain", f"{folder}/packed"
+    plans = written_plans(monkeypatch)
+    for rows in (FIRST, SECOND):
+        upsert.upsert(own(batch(spark, *rows)), plain, *ARGS)
+        upsert.upsert(batch(spark, *rows).withColumn("h", row_hash), packed, *ARGS, row_hash=row_hash)
+        other = own(batch(spark, *rows))
+        upsert.upsert(other, f"{folder}/other", *ARGS, row_hash=row_hash)
+    assert same(tables.read(spark, plain), tables.read(spark, f"{folder}/other"))
+    assert rows_of(tables.read(spark, f"{folder}/other").where("k = 3"), "h") == [("h3",)]
+    assert rows_of(tables.read(spark, packed), "k", "v", "ts") == sorted(MERGED, key=repr)
+    assert tables.read(spark, packed).where(~F.col("h").eqNullSafe(row_hash)).isEmpty()
+
+
+def test_a_busy_table_partition_is_dealt_over_several_buckets(spark, folder, monkeypatch):
+    monkeypatch.setattr(upsert, "ROWS_PER_BUCKET", 10)
+    target = f"{folder}/t"
+    rows = [(i, "a", f"h{i % 7}", 1, 2024, 1) for i in range(100)]
+    upsert.upsert(batch(spark, *rows), target, *ARGS)
+    newer = batch(spark, *[(i, "b", f"h{i % 5}", 2, 2024, 1) for i in range(50, 120)])
+    assert counts(upsert.upsert(newer, target, *ARGS)) == {
+        "inserted": 20, "updated": sum(i % 7 != i % 5 for i in range(50, 100)),
+        "unchanged": sum(i % 7 == i % 5 for i in range(50, 100)), "kept": 50,
+    }
+    stored = tables.read(spark, target)
+    assert stored.count() == stored.select("k").distinct().count() == 120
+    with pytest.raises(ValueError):
+        upsert.upsert(newer.unionAll(newer), target, *ARGS)
