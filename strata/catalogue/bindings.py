@@ -59,10 +59,10 @@ def order_trips(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    # The short sides are joined first, so the order lines are shuffled once, by their order.
+    sold = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        sold, F.col("l_orderkey") == F.col("o_orderkey")
     )
     flag = F.col("l_returnflag")
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")

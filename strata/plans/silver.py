@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from strata import trips
 from strata.functions import expressions as X
 from strata.operators import dedup, rules, upsert
 from strata.operators.normalize import normalize, with_month
+from strata.session import scratch_path
 from strata.sources import tables
 from strata.specs import Rule
 
@@ -53,9 +54,13 @@ def normalized_trips(
     return with_month(rows, trips.START)
 
 
+def row_hash(columns: Iterable[str], skip: Sequence[str] = trips.HASH_SKIP) -> Column:
+    return X.content_hash(c for c in columns if c not in skip)
+
+
 def with_row_hash(df: DataFrame, skip: Sequence[str] = trips.HASH_SKIP) -> DataFrame:
     """Add the hash of the business columns: all but load time, source file and partitions."""
-    return df.withColumn(trips.ROW_HASH, X.content_hash(c for c in df.columns if c not in skip))
+    return df.withColumn(trips.ROW_HASH, row_hash(df.columns, skip))
 
 
 def clean_batch(normalized: DataFrame, checks: Sequence[Rule]) -> DataFrame:
@@ -96,8 +101,8 @@ def run(
 ) -> DataFrame:
     """Bronze to silver; returns the metrics row of this run.
 
-    ``target`` holds paths or catalog names. Three scans of bronze: one writes the rejected rows, one the
-    clean batch, one counts the rows read and the valid ones. A value that its type cannot hold fails
+    ``target`` holds paths or catalog names. The plan of bronze is run once, into a staged table of normalised
+    and judged rows; the rejected rows, the clean batch and the counts come from it. A value that its type cannot hold fails
     the row by a rule of its own (``rules.cast_rules``), before ``checks``. The other counts come from the files just written (their footers), not
     from accumulators, so a lost executor or a repeated task cannot count a row twice.
 
@@ -108,12 +113,16 @@ def run(
     checks = (*rules.cast_rules(trips.TRIP_COLUMNS), *(trips.trip_rules() if checks is None else checks))
     load_time = F.lit(started_at) if load_time is None else load_time
     rows = normalized_trips(bronze, load_time, track_casts=True)
-    bad = rules.without_flags(rules.quarantine(rows, checks), trips.TRIP_COLUMNS)
-    rejected = tables.overwrite(bad, target.quarantine, PARTITIONS)
+    rows = tables.overwrite(rows, scratch_path(spark, "normalised"))
+    # The codes are built behind the shuffle of the write, so their text is not moved.
+    bad = tables.rebalanced(rows.where(~rules.valid(checks)), PARTITIONS)
+    bad = rules.without_flags(rules.quarantine(bad, checks), trips.TRIP_COLUMNS)
+    rejected = tables.overwrite(bad, target.quarantine, PARTITIONS, spread=False)
     unique = clean_batch(rows, checks)
     merged = upsert.upsert(
-        unique, target.clean, trips.TRIP_KEY, PARTITIONS, trips.ROW_HASH, trips.LOADED_AT, null_safe
-    )
+        unique, target.clean, trips.TRIP_KEY, PARTITIONS, trips.ROW_HASH, trips.LOADED_AT, null_safe,
+        row_hash=row_hash(c for c in unique.columns if c != trips.ROW_HASH),
+    )
     batch = sum(row.row_count for row in merged.collect() if row.action != "kept")
     # Measured in one pass, not a remainder: a row lost on the way would else pass as a duplicate.
     rows_in, valid = rows.agg(F.count("*"), F.count_if(rules.valid(checks))).first()

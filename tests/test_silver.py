@@ -5,6 +5,7 @@ from helpers import at, plan_of, raw_trips, rows_of, same
 from pyspark.sql import functions as F
 
 from strata import trips
+from strata.catalogue import bindings
 from strata.operators import dedup, rules
 from strata.plans import silver
 from strata.sources import tables
@@ -182,3 +183,33 @@ def test_a_changed_row_replaces_the_old_one(spark, folder):
     assert tables.read(spark, target.clean).first().tip_amount == 2.0
     silver.run(changed, target, "trips", load_time=at("2024-08-01 00:00:00"))
     assert rows_of(tables.read(spark, target.clean), "tip_amount") == [(9.0,)]
+
+
+def test_a_run_evaluates_bronze_once(spark, folder):
+    """Every bronze row raises a counter when it is read; three evaluations counted it three times."""
+    read = spark.sparkContext.accumulator(0)
+    kinds = raw_trips(spark, {}, {"fare_amount": -1.0}, {}).schema
+
+    def seen(parts):
+        for part in parts:
+            read.add(part.num_rows)
+            yield part
+
+    bronze = raw_trips(spark, {}, {"fare_amount": -1.0}, {}).coalesce(1).mapInArrow(seen, kinds)
+    target = silver.SilverTables(f"{folder}/clean", f"{folder}/bad", f"{folder}/metrics")
+    ran = silver.run(bronze, target, "trips", load_time=at(NOW)).first()
+    assert (ran.rows_in, ran.rows_clean, ran.rows_quarantined, ran.rows_deduped) == (3, 1, 1, 1)
+    assert read.value == 3
+    assert tables.read(spark, target.quarantine).first().validation_failures == ["invalid_fare_amount"]
+
+
+def test_the_order_lines_of_the_trips_are_joined_with_orders_that_know_their_customer(spark, folder):
+    """The join with customers is below the one with order lines, which would else be shuffled by customer too."""
+    for name in ("lineitem", "orders", "supplier", "customer"):
+        spark.createDataFrame([], bindings.SCHEMAS[name]).write.parquet(f"{folder}/{name}.parquet")
+    plan = bindings.order_trips(spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at_join = next(i for i, line in enumerate(plan) if "Join Inner" in line and "o_custkey" in line)
+    below = [line for line in plan[at_join + 1 :] if depth(line) > depth(plan[at_join])]
+    assert any("customer" in line or "c_custkey" in line for line in below)
+    assert not any("l_orderkey" in line for line in below)
