@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,20 +36,23 @@ def upsert_available(
     partition_by: Sequence[str],
     hash_column: str,
     version_column: str,
+    row_hash: Column | None = None,
 ) -> StreamingQuery:
     """Upsert all a stream has to give into a table (a path or a catalog name), batch by batch, and stop.
 
     A batch holds the latest row per key, so a key that changed often in it is merged once. The
-    name of the stream in the commits is its checkpoint folder.
+    name of the stream in the commits is its checkpoint folder. ``row_hash`` as in ``upsert.upsert``.
     """
     spark = source.sparkSession
 
     def merge(batch: DataFrame, number: int) -> None:
         if not is_done(spark, target, checkpoint, number):
-            latest = dedup.latest_per_key(batch, keys, version_column)
+            latest = dedup.latest_per_key(upsert.packed(batch, hash_column, row_hash), keys, version_column)
+            latest = upsert.unpacked(latest, hash_column, row_hash)
             upsert.upsert(
-                latest, target, keys, partition_by, hash_column, version_column, stream=(checkpoint, number)
-            )
+                latest, target, keys, partition_by, hash_column, version_column,
+                stream=(checkpoint, number), row_hash=row_hash,
+            )
 
     return (
         source.writeStream.foreachBatch(merge)

@@ -349,3 +349,24 @@ def test_pending_files_reports_every_month(spark, folder):
     assert rows_of(queries.pending_files(spark, folder), "year", "month", "status", "months") == [
         (1995, 3, "loaded", 1), (1996, 1, "pending", 1), (1996, 2, "pending", 1), (1997, 1, "loaded", 1),
     ]
+
+
+def test_the_stream_lands_a_load_without_bringing_it_into_one_task(spark, folder, monkeypatch):
+    at = dt.datetime(1995, 3, 1)
+    orders = [(i, 1, "O", 1.0, at, "1-URGENT") for i in range(4)]
+    lines = [
+        (i, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(year, 5, 1)) for i in range(4) for year in (1996, 2000)
+    ]
+    spark.createDataFrame(orders, bindings.SCHEMAS["orders"]).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, bindings.SCHEMAS["lineitem"]).write.parquet(f"{folder}/lineitem.parquet")
+    plans, append = [], tables.append
+
+    def record(df, target, partition_by=()):
+        if target.endswith("/landing"):
+            plans.append(plan_of(df))
+        append(df, target, partition_by)
+
+    monkeypatch.setattr(tables, "append", record)
+    result = queries.stream_upsert(spark, folder)
+    assert rows_of(result, "l_orderkey", "l_shipdate") == [(i, dt.datetime(2000, 5, 1)) for i in range(4)]
+    assert len(plans) == 2 and not any("SinglePartition" in p or "REPARTITION_BY_NUM" in p for p in plans)
