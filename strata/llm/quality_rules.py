@@ -71,8 +71,8 @@ def _side_by_side(left: Column, right: Column, gap: int) -> Column:
     """The hash of each element with the one of ``right`` that is ``gap`` places on."""
 
     def pairs(a: Column, b: Column) -> Column:
-        first = F.slice(a, 1, F.greatest(F.size(b) - gap, F.lit(0)))
-        return F.transform(first, lambda h, i: F.xxhash64(h, F.get(b, i + gap)))
+        n = F.greatest(F.size(b) - gap, F.lit(0))
+        return F.zip_with(F.slice(a, 1, n), F.slice(b, gap + 1, n), lambda x, y: F.xxhash64(x, y))
 
     if left is right:
         return X.let(left, lambda a: pairs(a, a))
@@ -103,21 +103,34 @@ def repeated_words(words: Column, n: int) -> Column:
     return F.when(F.size(words) > n, counted).otherwise(F.lit(0))
 
 
-def buckets(words: Column, n: int) -> Column:
-    """Bucket of each word (below ``n``) and of each pair of neighbours (``n`` to 2 ``n``), in lower case."""
-    hashes = F.transform(words, lambda w: F.xxhash64(F.lower(w)))
+def may_repeat(fours: Column, n: int) -> Column:
+    """Whether a text can hold an n-word window twice, by the hashes of its four-word windows.
+
+    Of a window found again, the n - 3 four-word windows in it are found again too. Few texts hold so many.
+    """
+    if n < 4:
+        return F.lit(True)
+    return F.size(fours) - F.size(F.array_distinct(fours)) > n - 4
 
-    def pair(all_, i):
-        hashed = F.xxhash64(F.get(all_, i), F.get(all_, i + 1))
-        return (F.pmod(hashed, F.lit(n)) + n).cast("int")
 
-    def both(all_):
-        single = F.transform(all_, lambda h: F.pmod(h, F.lit(n)).cast("int"))
-        starts = F.sequence(F.lit(0), F.size(all_) - 2)
-        pairs = F.transform(starts, lambda i: pair(all_, i))
-        return F.when(F.size(all_) > 1, F.concat(single, pairs)).otherwise(single)
+def word_hashes(words: Column) -> Column:
+    """The hash of each word in lower case."""
+    return F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
-    return X.let(hashes, both)
+
+def bucket(hashed: Column, n: int, first: int = 0) -> Column:
+    """Words have the buckets below ``n``, pairs of neighbours those from ``n`` to 2 ``n``."""
+    return (F.pmod(hashed, F.lit(n)) + first).cast("int")
+
+
+def buckets(words: Column, n: int) -> Column:
+    """All buckets of a text in one array, as ``log_ratios`` counts them and ``judge`` adds them up."""
+
+    def both(hashes: Column) -> Column:
+        pairs = F.transform(_side_by_side(hashes, hashes, 1), lambda h: bucket(h, n, n))
+        return F.concat(F.transform(hashes, lambda h: bucket(h, n)), pairs)
+
+    return X.let(word_hashes(words), both)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
@@ -130,10 +143,17 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
     """
     wanted = trusted.select(F.col("doc_id").alias("trusted_id")).distinct()
     rows = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("trusted_id"), "left")
-    grams = rows.select(
+    hashed = rows.select(
         F.col("trusted_id").isNotNull().alias("target"),
-        F.explode(buckets(X.words(F.col("text")), s.buckets)).alias("bucket"),
+        word_hashes(X.words(F.col("text"))).alias("hashes"),
     )
+    # The inner form would filter by the size of the array first and so make each array twice.
+    each = hashed.select("target", "hashes", F.posexplode_outer("hashes").alias("at", "word"))
+    # Buckets are made row by row, where Spark generates code, and not in lambdas, where it does not.
+    after = F.get("hashes", F.col("at") + 1)
+    pair = F.when(after.isNotNull(), bucket(F.xxhash64("word", after), s.buckets, s.buckets))
+    single = bucket(F.col("word"), s.buckets)
+    grams = each.select("target", F.stack(F.lit(2), single, pair).alias("bucket")).where("bucket IS NOT NULL")
     counts = grams.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")
     )
@@ -164,25 +184,37 @@ def judge(docs: DataFrame, trusted: DataFrame, s: Settings = Settings()) -> Data
     rows = docs.select("doc_id", "text")
     # The one row of ratios is a scalar subquery: computed once and sent to each task.
     ratios = log_ratios(rows, trusted, s).scalar()
-    text = X.filled(F.col("text"))
-    measured = rows.select("doc_id", text.alias("text"), X.words(text).alias("words")).select(
+    text, words = X.filled(F.col("text")), F.col("words")
+    read = rows.select("doc_id", text.alias("text"), X.words(text).alias("words"))
+    hashed = read.select("*", word_hashes(words).alias("hashes"))
+    paired = hashed.select("*", _side_by_side(F.col("hashes"), F.col("hashes"), 1).alias("pairs"))
+    fours = paired.select("*", _side_by_side(F.col("pairs"), F.col("pairs"), 2).alias("fours"))
+    measured = fours.select(
         "doc_id",
         F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         duplicate_lines(F.col("text")).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("words"), s.window).cast("bigint").alias("n_repeat_words"),
-        buckets(F.col("words"), s.buckets).alias("grams"),
+        F.when(may_repeat(F.col("fours"), s.window), repeated_words(words, s.window))
+        .otherwise(F.lit(0))
+        .cast("bigint")
+        .alias("n_repeat_words"),
+        "hashes",
+        "pairs",
     )
+
+    def add(first: int, r: Column):
+        return lambda sum_, h: sum_ + F.get(r, bucket(h, s.buckets, first))
+
     total = X.let(
         F.col("ratios"),
-        lambda r: F.aggregate("grams", F.lit(0.0), lambda sum_, b: sum_ + F.get(r, b)),
+        lambda r: F.aggregate("pairs", F.aggregate("hashes", F.lit(0.0), add(0, r)), add(s.buckets, r)),
     )
     scored = measured.withColumn("ratios", ratios).withColumn(
-        "score", total / F.greatest(F.size("grams"), F.lit(1))
+        "score", total / F.greatest(F.size("hashes") + F.size("pairs"), F.lit(1))
     )
     many = 100 * F.col("n_repeat_words") > s.max_repeat_percent * F.col("n_words")
     failed = (F.col("n_words") < s.min_words) | many
-    return scored.drop("grams", "ratios").withColumns(
+    return scored.drop("hashes", "pairs", "ratios").withColumns(
         {"base_failed": failed, "kept": ~failed & (F.col("score") >= s.threshold)}
     )

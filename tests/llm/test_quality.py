@@ -72,3 +72,32 @@ def test_a_document_with_both_labels_is_not_trusted(spark):
     assert [tuple(r) for r in one.collect()] == [(2, 1)]
     assert {tuple(r) for r in X.labelled_sample(labels, "quality", F.lit(True), 10).collect()} == {(1, 0), (2, 1), (3, 0)}
     assert X.labelled_sample(labels, "quality", F.lit(True), 1, only=1).count() == 1
+
+
+def test_grams_are_counted_in_generated_code_from_words_made_once(spark, tmp_path):
+    spark.createDataFrame(list(TEXTS.items()), "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    learnt = quality_rules.log_ratios(docs, docs.select("doc_id"), quality_rules.Settings(buckets=16))
+    learnt.collect()
+    execution = learnt._jdf.queryExecution()
+    assert execution.optimizedPlan().toString().count("split(") == 1
+    final = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    explodes = [line for line in final.split("\n") if " Generate " in line]
+    # The explosion of an array made by lambdas ran outside generated code, as did its buckets.
+    assert explodes and all("*(" in line for line in explodes)
+
+
+@pytest.mark.parametrize("n", [2, 4, 8])
+def test_repeated_windows_are_found_at_any_distance_and_told_by_case(spark, n):
+    rng = np.random.default_rng(n)
+    window = [f"a{k}" for k in range(n)]
+    texts = [window + window, window + ["x"] + window, window[1:] + window, ["b"] * (n + 1), ["b"] * n, window]
+    texts += [window + [w.upper() for w in window], window + [w.upper() for w in window[:1]] + window[1:]]
+    texts += [[str(w) for w in rng.integers(0, k, 60)] for k in (2, 3, 5, 9) for _ in range(8)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = quality_rules.judge(docs, docs.select("doc_id"), quality_rules.Settings(buckets=16, window=n))
+    got = {r.doc_id: r.n_repeat_words for r in rows.collect()}
+    for i, words in enumerate(texts):
+        windows = [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
+        times = collections.Counter(windows)
+        assert got[i] == len({k + j for k, w in enumerate(windows) if times[w] > 1 for j in range(n)}), words
