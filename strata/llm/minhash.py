@@ -14,7 +14,7 @@ set of links; its id is the smallest document id in it.
    next point comes later than all registers.
 3. Banding: texts that agree in all registers of a band share a bucket. Buckets are never expanded
    into all pairs. In each round every member is compared with a few pivots of its bucket that are
-   not in its class yet. A pivot then leaves the bucket. The number of pivots grows fourfold until
+   not in its class yet. A pivot then leaves the bucket. The number of pivots grows eightfold until
    no bucket holds two classes, so there is no cap on a bucket's size. Members of one class are
    never compared to tell what is known, whatever their number; members of different classes
    of a bucket are, unless bounds exclude a link, so that none is lost. Bands take their pivots in
@@ -301,16 +301,19 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
     )
     known = stage.kept(_compared(first.select("node", "pivot").distinct(), nodes))
     texts = stage.kept(_words_of(first, nodes, rows))
-    links = stage.kept(_linked(known, texts, s))
+    alike = known.where(F.col("agree") >= s.maybe)
+    links = stage.kept(_linked(alike.select("node", "pivot"), texts, s))
     label, done = components(links, stage), _ordered(known)
     # The first pivots have been compared with all of their buckets; the other members stay.
     rest = first.join(known, ["node", "pivot"]).select("bucket", "member", "node", "agree")
     rest = stage.kept(_open(_with_facts(rest, label.withColumn("own", F.lit(0))), s))
     pivots = 1
     while not rest.isEmpty():
-        facts = stage.kept(_with_class(_own(rest, texts, stage), label, "node", "class"))
+        # The texts of members that are still in a bucket; each round has fewer.
+        texts = _held(rest, texts, stage)
+        facts = stage.kept(_with_class(_own_among(texts), label, "node", "class"))
         now = stage.kept(_open(_with_facts(rest.drop("class", "own"), facts), s))
-        pivots *= 4
+        pivots *= 8
         heads = stage.kept(_first(now, pivots))
         ahead = heads.select(
             F.col("bucket").alias("of"),
@@ -337,7 +340,7 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
         pairs = _ordered(now.join(ahead, differ)).distinct()
         pairs = stage.kept(pairs.join(done, ["node", "pivot"], "left_anti"))
         done = done.unionAll(pairs)
-        links = stage.kept(_linked(_compared(pairs, nodes), texts, s))
+        links = stage.kept(_linked(pairs, texts, s))
         label = _merged(label, links, stage)
         # A pivot has now been compared with every member that is not in its class.
         rest = stage.kept(_open(now.join(heads, ["bucket", "node"], "left_anti"), s))
@@ -367,18 +370,26 @@ def _first(members: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.col("place") <= n).select("bucket", "node", "class", "agree", "own", "member.size")
 
 
+def _held(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
+    """The texts of members."""
+    return stage.kept(texts.join(members.select("node").distinct(), "node", "left_semi"))
+
+
 def _own(members: DataFrame, texts: DataFrame, stage: _Stage) -> DataFrame:
     """(node, own): how many shingles of each member, repeats counted, no other member has anywhere."""
-    nodes = stage.kept(members.select("node").distinct())
-    found = texts.join(nodes, "node", "left_semi")
-    each = found.select("node.a", "node.b", F.explode(_weights(F.col("words"))).alias("g"))
+    return _own_among(_held(members, texts, stage))
+
+
+def _own_among(texts: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of each text, repeats counted, no other text has anywhere."""
+    each = texts.select("node.a", "node.b", F.explode(_weights(F.col("words"))).alias("g"))
     # Sums by shingle start in each task, so a shingle that is everywhere moves little.
     counted = each.groupBy("g.shingle").agg(
         F.count(F.lit(1)).alias("texts"), F.min("a").alias("a"), F.min("b").alias("b"), F.sum("g.n").alias("n")
     )
     own = counted.where("texts = 1").groupBy("a", "b").agg(F.sum("n").alias("own"))
     same = (F.col("node.a") == F.col("a")) & (F.col("node.b") == F.col("b"))
-    return nodes.join(own, same, "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
+    return texts.select("node").join(own, same, "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
 
 
 def _with_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
@@ -404,23 +415,26 @@ def _open(members: DataFrame, s: Settings) -> DataFrame:
 
 
 def _words_of(first: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Word hashes of every node that shares a bucket. Only their texts are moved."""
+    """Word hashes and registers of every node that shares a bucket. Only their texts are moved."""
     names = first.select("node").union(first.select(F.col("pivot").alias("node"))).distinct()
-    wanted = names.join(nodes.select("node", "id"), "node").select(
-        F.col("node").alias("of"), F.col("id").alias("of_id")
+    wanted = names.join(nodes.select("node", "id", "registers"), "node").select(
+        F.col("node").alias("of"), F.col("id").alias("of_id"), "registers"
     )
     one = (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("of_id"))
-    moved = rows.join(wanted, one, "left_semi").dropDuplicates(["node"])
-    return moved.select("node", word_hashes(F.col("text")).alias("words"))
+    moved = rows.join(wanted, one).dropDuplicates(["node"])
+    return moved.select("node", word_hashes(F.col("text")).alias("words"), "registers")
 
 
-def _linked(compared: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold."""
-    pairs = compared.where(F.col("agree") >= s.maybe).select("node", "pivot")
-    a = texts.select("node", F.col("words").alias("a"))
-    b = texts.select(F.col("node").alias("pivot"), F.col("words").alias("b"))
-    both = pairs.join(a, "node").join(b, "pivot")
-    exact = both.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity"))
+def _linked(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose exact similarity reaches the threshold.
+
+    A pair's registers come with its words, so both sides are fetched once.
+    """
+    a = texts.select("node", F.col("words").alias("a"), F.col("registers").alias("ra"))
+    b = texts.select(F.col("node").alias("pivot"), F.col("words").alias("b"), F.col("registers").alias("rb"))
+    both = pairs.join(a, "node").join(b, "pivot").withColumn("agree", _agreement(F.col("ra"), F.col("rb")))
+    alike = both.where(F.col("agree") >= s.maybe)
+    exact = alike.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity"))
     return exact.where(F.col("similarity") >= s.threshold)
 
 

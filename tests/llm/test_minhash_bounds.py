@@ -90,3 +90,35 @@ def test_lookalikes_without_a_link_are_not_all_compared(spark, monkeypatch):
     assert all(r.class_id == r.doc_id for r in got) and len(got) == 200
     # Each text meets at most the four first pivots of its buckets and a few more, not all 199 others.
     assert sum(pairs) < 200 * 12
+
+
+def test_a_pair_is_fetched_once_and_only_texts_still_in_a_bucket_are_moved(spark, monkeypatch):
+    moved, plans, held, linked = [], [], minhash._held, minhash._linked
+
+    def counted(members, texts, stage):
+        moved.append(held(members, texts, stage))
+        return moved[-1]
+
+    def seen(pairs, texts, s):
+        plans.append(linked(pairs, texts, s))
+        return plans[-1]
+
+    monkeypatch.setattr(minhash, "_held", counted)
+    monkeypatch.setattr(minhash, "_linked", seen)
+    texts = {**variants(60, 7, 10, 5), 500: " ".join(BASE), 501: " ".join(BASE + ["tail"])}
+    texts |= {600 + i: " ".join(f"u{i}x{k}" for k in range(60)) + " a" * (i % 2) for i in range(0, 20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    links = [p for p in itertools.combinations(texts, 2) if similarity(texts[p[0]], texts[p[1]]) >= 0.8]
+    assert all(got[a] == got[b] for a, b in links if {a, b} == {500, 501})
+    parent = {i: i for i in texts}
+    for a, b in links:
+        one, two = parent[a], parent[b]
+        parent = {i: one if of == two else of for i, of in parent.items()}
+    # No class holds texts that no chain of links joins.
+    assert all(parent[i] == parent[of] for i, of in got.items())
+    sizes = [frame.count() for frame in moved]
+    assert sizes and sizes[0] < len(texts) and sizes == sorted(sizes, reverse=True)
+    for plan in plans:
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2
+        assert "registers" in plan._jdf.queryExecution().analyzed().toString()
