@@ -46,6 +46,7 @@ from strata.session import scratch_path
 
 U = np.uint64
 SHINGLE = 5
+PART = 1 << 17  # words a worker looks at together; it holds some 20 arrays of that length
 _EPS = 1e-6  # for bounds in doubles
 
 
@@ -156,11 +157,11 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(first text, one past the last, first word, one past the last) of at most 2^20 words, or one text."""
+    """(first text, one past the last, first word, one past the last) of at most ``PART`` words, or one text."""
     ends, start = np.cumsum(sizes), 0
     while start < len(sizes):
         done = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + (1 << 20), "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + PART, "right")))
         yield start, stop, done, int(ends[stop - 1])
         start = stop
 
@@ -195,30 +196,41 @@ def sketches(text: Column, s: Settings) -> Column:
     return compute(word_hashes(text))
 
 
+def _equal_share(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """The share of equal registers of each pair."""
+    if not len(left):
+        return np.zeros(0)
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (left, right))
+    return (a == b).mean(axis=1)
+
+
 def _agreement(a: Column, b: Column) -> Column:
     @F.arrow_udf("double")
     def share(left: pa.Array, right: pa.Array) -> pa.Array:
-        if not len(left):
-            return pa.array([], pa.float64())
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (left, right))
-        return pa.array((a == b).mean(axis=1), pa.float64())
+        return pa.array(_equal_share(left, right), pa.float64())
 
     # A filter on the share must not make Spark compute it twice; so with the overlap below.
     return share.asNondeterministic()(a, b)
 
 
-def _overlap(a: Column, b: Column) -> Column:
+def _overlap(a: Column, b: Column, ra: Column, rb: Column, s: Settings) -> Column:
+    """The exact similarity of texts whose registers could reach the threshold, else null.
+
+    Registers and words go to one function: two in a row would hold two workers a task.
+    """
+    maybe = s.maybe
+
     @F.arrow_udf("double")
-    def exact(left: pa.Array, right: pa.Array) -> pa.Array:
+    def exact(left: pa.Array, right: pa.Array, one: pa.Array, two: pa.Array) -> pa.Array:
         def arrays(rows: pa.Array) -> Iterator[np.ndarray]:
             flat, sizes = _lists(rows)
             ends = np.cumsum(sizes)
             return (flat[end - size : end] for end, size in zip(ends, sizes))
 
-        pairs = zip(arrays(left), arrays(right))
-        return pa.array([similarity(x, y) for x, y in pairs], pa.float64())
+        pairs = zip(arrays(left), arrays(right), _equal_share(one, two) >= maybe)
+        return pa.array([similarity(x, y) if alike else None for x, y, alike in pairs], pa.float64())
 
-    return exact.asNondeterministic()(a, b)
+    return exact.asNondeterministic()(a, b, ra, rb)
 
 
 def _weights(words: Column) -> Column:
@@ -432,9 +444,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """
     a = texts.select("node", F.col("words").alias("a"), F.col("registers").alias("ra"))
     b = texts.select(F.col("node").alias("pivot"), F.col("words").alias("b"), F.col("registers").alias("rb"))
-    both = pairs.join(a, "node").join(b, "pivot").withColumn("agree", _agreement(F.col("ra"), F.col("rb")))
-    alike = both.where(F.col("agree") >= s.maybe)
-    exact = alike.select("node", "pivot", _overlap(F.col("a"), F.col("b")).alias("similarity"))
+    both = pairs.join(a, "node").join(b, "pivot")
+    overlap = _overlap(F.col("a"), F.col("b"), F.col("ra"), F.col("rb"), s)
+    exact = both.select("node", "pivot", overlap.alias("similarity"))
     return exact.where(F.col("similarity") >= s.threshold)
 
 

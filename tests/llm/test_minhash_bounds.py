@@ -122,3 +122,25 @@ def test_a_pair_is_fetched_once_and_only_texts_still_in_a_bucket_are_moved(spark
     for plan in plans:
         assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2
         assert "registers" in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_worker_looks_at_a_bounded_slice_of_words(spark):
+    sizes = np.array([0, 5, 1 << 18, 0, *[700] * 1000, 1 << 17, 3])
+    parts = list(minhash._parts(sizes))
+    assert [p[0] for p in parts] == [0, *(p[1] for p in parts[:-1])] and parts[-1][1] == len(sizes)
+    assert all(low == sizes[:start].sum() and high == sizes[:stop].sum() for start, stop, low, high in parts)
+    assert all(high - low <= 1 << 17 or sizes[start:stop].max() == high - low for start, stop, low, high in parts)
+
+
+def test_pairs_go_through_one_python_function(spark):
+    docs = spark.createDataFrame([(i, " ".join(BASE) + " t" * i) for i in range(3)], "a bigint, text string")
+    node = F.struct("a", F.col("a").alias("b"))
+    sketch = minhash.sketches(F.col("text"), minhash.Settings())
+    texts = docs.select(node.alias("node"), minhash.word_hashes(F.col("text")).alias("words"), sketch.registers.alias("registers"))
+    texts = minhash._Stage(docs).kept(texts)
+    pairs = texts.select("node").join(texts.select(F.col("node").alias("pivot")), F.col("node.a") < F.col("pivot.a"))
+    plan = minhash._linked(pairs, texts, minhash.Settings())
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    got = {(r.node.a, r.pivot.a): r.similarity for r in plan.collect()}
+    full = {r.a: r.text for r in docs.collect()}
+    assert got == {p: pytest.approx(similarity(full[p[0]], full[p[1]])) for p in ((0, 1), (0, 2), (1, 2))}
