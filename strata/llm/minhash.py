@@ -20,9 +20,10 @@ set of links; its id is the smallest document id in it.
    of a bucket are, unless bounds exclude a link, so that none is lost. Bands take their pivots in
    four different orders, so a large group does not hang on one pivot. The strongest bound is what a
    text has to itself: shingles that no other text still in a bucket has are part of every union
-   and of no overlap. It is counted anew in each round. A member leaves a bucket if what it
-   has to itself, with the least that any member has, leaves too little for a link. So many
-   variants of one text, all alike and none linked, go without being compared with each other.
+   and of no overlap. Shingles are counted anew in each round and taken from the rarest on: a member
+   leaves a bucket if no text of another class, of a size that fits, has a shingle as early in
+   that order as a link needs. So most variants of one text that are alike and not linked go without
+   being compared with each other. Those that stay are still compared with their buckets' pivots.
 4. In each round pairs are first compared by their registers (one byte each), and those that could
    reach the threshold by the exact overlap of the whole multisets, so classes are exact at once.
 
@@ -38,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import text as X
@@ -323,8 +324,8 @@ def classified(nodes: DataFrame, rows: DataFrame, stage: _Stage, s: Settings) ->
     while not rest.isEmpty():
         # The texts of members that are still in a bucket; each round has fewer.
         texts = _held(rest, texts, stage)
-        facts = stage.kept(_with_class(_own_among(texts), label, "node", "class"))
-        now = stage.kept(_open(_with_facts(rest.drop("class", "own"), facts), s))
+        facts = _hopeful(_with_class(texts, label, "node", "class"), stage, s)
+        now = stage.kept(_open(rest.drop("class", "own").join(facts, "node"), s))
         pivots *= 8
         heads = stage.kept(_first(now, pivots))
         ahead = heads.select(
@@ -373,8 +374,6 @@ def _merged(label: DataFrame, links: DataFrame, stage: _Stage) -> DataFrame:
 
 def _first(members: DataFrame, n: int) -> DataFrame:
     """The first ``n`` members of each bucket; Spark limits each group before the shuffle."""
-    from pyspark.sql import Window
-
     # Those most like the first pivot come first: they lie in the middle of a group of variants, so
     # more of the group is close to them than to one another.
     order = Window.partitionBy("bucket").orderBy(F.desc("agree"), "member")
@@ -404,6 +403,52 @@ def _own_among(texts: DataFrame) -> DataFrame:
     return texts.select("node").join(own, same, "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
 
 
+def _hopeful(texts: DataFrame, stage: _Stage, s: Settings) -> DataFrame:
+    """(node, class, own) of the texts that another one, not of their class, could be linked to.
+
+    Shingles are put in one order, rare ones first; what a text has ``left`` at a shingle is its
+    number of shingles from there on. A link of x and y has a first common shingle, and shares at
+    most what either has left there, so both have left at least t / (1 + t) (size of x + size of y).
+    The smaller one thus has left 2 t / (1 + t) of its size, and what the larger one has left bounds
+    the sizes of the smaller. Texts are only counted by shingle and size, never paired.
+    """
+    each = texts.select("node.a", "node.b", F.explode(_weights(F.col("words"))).alias("g"))
+    spread = each.groupBy(F.col("g.shingle").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
+    met = each.join(spread.where("texts > 1"), F.col("g.shingle") == F.col("of"))
+    met = met.select("a", "b", "of", "texts", F.col("g.n").alias("n"))
+    whole = Window.partitionBy("a", "b")
+    onward = whole.orderBy(F.desc("texts"), "of").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.select("a", "b", "of", F.sum("n").over(onward).alias("left"), F.sum("n").over(whole).alias("known"))
+    size = F.greatest(F.size("words") - (SHINGLE - 1), F.lit(1)).alias("size")
+    named = texts.select(F.col("node.a").alias("na"), F.col("node.b").alias("nb"), "class", size)
+    firsts = met.join(named, (F.col("a") == F.col("na")) & (F.col("b") == F.col("nb")))
+    firsts = firsts.where(F.col("left") >= s.threshold * F.col("size") - _EPS)
+    # A link has both sizes in one bin of the smaller one; bins are narrow, so few others are in it.
+    part, bin_of = s.threshold / (1 + s.threshold), lambda n: F.floor(F.log(n.cast("double")) * 100)
+    low = F.greatest(F.ceil(s.threshold * F.col("size") - _EPS), F.lit(1))
+    high = F.least("size", F.floor(F.col("left") / part - F.col("size") + _EPS))
+    firsts = stage.kept(
+        firsts.select(
+            F.struct("a", "b").alias("node"),
+            "class",
+            (F.col("size") - F.col("known")).alias("own"),
+            "of",
+            F.when(F.col("left") >= 2 * part * F.col("size") - _EPS, bin_of(F.col("size"))).alias("bin"),
+            F.when(low <= high, bin_of(low)).alias("low"),
+            F.when(low <= high, bin_of(high)).alias("high"),
+        )
+    )
+    smaller, larger = firsts.where("bin IS NOT NULL"), firsts.where("low IS NOT NULL")
+    kinds = F.min("class").alias("one"), F.max("class").alias("two")
+    below = smaller.groupBy(F.col("of").alias("at"), F.col("bin").alias("b")).agg(*kinds)
+    above = larger.groupBy(F.col("of").alias("at"), F.col("low").alias("l"), F.col("high").alias("h")).agg(*kinds)
+    other = (F.col("of") == F.col("at")) & ((F.col("one") != F.col("class")) | (F.col("two") != F.col("class")))
+    hopeful = larger.join(below, other & F.col("b").between(F.col("low"), F.col("high")), "left_semi").unionAll(
+        smaller.join(above, other & F.col("bin").between(F.col("l"), F.col("h")), "left_semi")
+    )
+    return stage.kept(hopeful.select("node", "class", "own").distinct())
+
+
 def _with_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
     """``members`` with the class and the own shingles of their nodes."""
     on = facts.select(F.col("node").alias("of"), "class", "own")

@@ -124,6 +124,67 @@ def test_a_pair_is_fetched_once_and_only_texts_still_in_a_bucket_are_moved(spark
         assert "registers" in plan._jdf.queryExecution().analyzed().toString()
 
 
+def near_copies(n, seed):
+    """Variants of one text of 150 words with up to six words replaced."""
+    rng, texts = np.random.default_rng(seed), {}
+    for i in range(n):
+        words = [f"w{k}" for k in range(150)]
+        for at in rng.choice(150, rng.integers(1, 7), replace=False):
+            words[at] = f"v{rng.integers(0, 40)}"
+        texts[i] = " ".join(words)
+    return texts
+
+
+def linked_ids(texts, s):
+    each = {i: shingles(t) for i, t in texts.items()}
+    size = {i: sum(c.values()) for i, c in each.items()}
+    found = []
+    for a, b in itertools.combinations(texts, 2):
+        same = sum((each[a] & each[b]).values())
+        if same >= s.threshold * (size[a] + size[b] - same):
+            found.append((a, b))
+    return found
+
+
+def test_no_text_with_a_link_to_another_class_is_hopeless(spark):
+    s = minhash.Settings()
+    rng = np.random.default_rng(8)
+    texts = near_copies(60, 2)
+    # Other sizes: repeated shingles, parts and lengthened copies; short texts; one alone.
+    texts |= {100 + i: " ".join(texts[i].split()[: rng.integers(110, 150)]) for i in range(30)}
+    texts |= {200 + i: texts[i] + " w1 w2 w3 w4 w5 w6" * int(rng.integers(1, 8)) for i in range(30)}
+    texts |= {300: "one two", 301: "one two three four five six", 302: "x " * 50, 303: "x " * 60, 304: "quite alone here among them all"}
+    own = {i: i if i % 3 else 0 for i in texts}  # a third of them are one class already
+    rows = spark.createDataFrame([(i, own[i], t) for i, t in texts.items()], "id bigint, c bigint, text string")
+    node = [F.struct(F.col(c).alias("a"), (F.col(c) * 7).alias("b")).alias(n) for c, n in (("id", "node"), ("c", "class"))]
+    frame = rows.select(*node, minhash.word_hashes(F.col("text")).alias("words"))
+    got = {r.a: r for r in minhash._hopeful(frame, minhash._Stage(rows), s).select("node.a", "class", "own").collect()}
+    wanted = {i for a, b in linked_ids(texts, s) if own[a] != own[b] for i in (a, b)}
+    assert len(wanted) > 60 and {302, 303} <= wanted and wanted <= set(got)
+    assert not {300, 301, 304} & set(got)
+    each = {i: shingles(t) for i, t in texts.items()}
+    among = collections.Counter(itertools.chain.from_iterable(each.values()))
+    assert all(r.own == sum(n for g, n in each[i].items() if among[g] == 1) for i, r in got.items())
+    assert all(getattr(r, "class").a == own[i] for i, r in got.items())
+
+
+def test_near_copies_around_one_text_are_not_all_compared(spark, monkeypatch):
+    pairs, linked = [], minhash._linked
+    monkeypatch.setattr(minhash, "_linked", lambda p, t, s: pairs.append(p.count()) or linked(p, t, s))
+    texts = near_copies(400, 6)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    parent = {i: i for i in texts}
+    for a, b in linked_ids(texts, minhash.Settings()):
+        one, two = sorted((parent[a], parent[b]))
+        parent = {i: one if of == two else of for i, of in parent.items()}
+    # No class joins what links do not, and all but a few of the links are found.
+    assert all(parent[i] == parent[of] for i, of in got.items())
+    assert len(set(got.values())) <= len(set(parent.values())) + 4
+    # 3,666 after the first pivots; 7,762 where a bucket lets only texts go that have much to themselves.
+    assert sum(pairs[1:]) < 5000
+
+
 def test_a_worker_looks_at_a_bounded_slice_of_words(spark):
     sizes = np.array([0, 5, 1 << 18, 0, *[700] * 1000, 1 << 17, 3])
     parts = list(minhash._parts(sizes))
